@@ -89,7 +89,12 @@ class Words:
         low += U64(1)
         low *= up[:n]
         np.cumsum(low, out=c[1:])
-        self.hash = mix((c[self.end] - c[self.start]) * down[self.start] + (self.end - self.start).astype(U64) * U64(0xD6E8FEB86659FD93))
+        self._sums, self._down = c, down
+        self.hash = self.part(self.start, self.end)
+
+    def part(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Hash of the lower-cased bytes from ``lo`` to ``hi``."""
+        return mix((self._sums[hi] - self._sums[lo]) * self._down[lo] + (hi - lo).astype(U64) * U64(0xD6E8FEB86659FD93))
 
     def doc(self) -> np.ndarray:
         """The text of each word."""

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from .license_diag import op10_license
 from .packing import op9_packing
+from .toxic_crf import op6_toxicity
 
 QUERIES = {
+    "op6_toxicity": op6_toxicity,
     "op9_packing": op9_packing,
     "op10_license": op10_license,
 }
