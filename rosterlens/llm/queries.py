@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from .license_diag import op10_license
 from .packing import op9_packing
+from .pii_skipchain import op7_pii
 from .toxic_crf import op6_toxicity
 
 QUERIES = {
     "op6_toxicity": op6_toxicity,
+    "op7_pii": op7_pii,
     "op9_packing": op9_packing,
     "op10_license": op10_license,
 }
