@@ -139,20 +139,27 @@ def _tags(feats: list[np.ndarray], doc: np.ndarray, toxic: np.ndarray, bar: floa
     return tag & toxic[doc].astype(bool)
 
 
-def fit_texts(texts: list[str], toxic: list[int], crf_docs: int = 1200, rounds: int = 40, bar: float = 9.0) -> Model:
+def fit_texts(texts: list[str], toxic: list[int], crf_docs: int = 1000, rounds: int = 40, bar: float = 9.0) -> Model:
     """Fit on the driver from a bounded number of texts."""
     y = np.asarray(toxic, float)
     if not len(y) or y.min() == y.max():
         return Model(prior=float(y.mean()) if len(y) else 0.0)
-    words = [Words(d, o) for _, _, d, o in slices(pa.array(texts, pa.large_string()), 1 << 40)][0]
-    feats = features(words)
-    tag = _tags(feats, words.doc(), y, bar)
+    parts, sizes = [], []
+    for _, _, data, off in slices(pa.array(texts, pa.large_string())):
+        w = Words(data, off)
+        parts.append(features(w))
+        sizes.append(np.diff(w.first))
+    feats = [np.concatenate(f) for f in zip(*parts, strict=True)]
+    sizes = np.concatenate(sizes)
+    starts, doc = np.concatenate(([0], np.cumsum(sizes))), np.repeat(np.arange(len(y)), sizes)
+    tag = _tags(feats, doc, y, bar + 6 * min(1.0, y.sum() / 500))
     slots = _slots(feats)
+    del feats, parts
     # the field: toxic texts and as many others
     bad, good = np.flatnonzero(y == 1)[: crf_docs // 2], np.flatnonzero(y == 0)[: crf_docs // 2]
     use = np.sort(np.concatenate([bad, good]))
-    size = np.diff(words.first)[use]
-    pick = np.concatenate([np.arange(words.first[d], words.first[d + 1]) for d in use]) if size.sum() else np.zeros(0, np.int64)
+    size = sizes[use]
+    pick = np.concatenate([np.arange(starts[d], starts[d + 1]) for d in use]) if size.sum() else np.zeros(0, np.int64)
     first = np.concatenate(([0], np.cumsum(size)))
     s, z = slots[:, pick], tag[pick].astype(float)
     model = Model(float(y.mean()), np.zeros(1 << BITS, np.float32), float(np.log((z.sum() + 1) / (len(z) + 2))))
@@ -174,9 +181,12 @@ def fit_texts(texts: list[str], toxic: list[int], crf_docs: int = 1200, rounds:
         d = steps.reshape(2, 2) - truth
         step_sum += d * d
         model.steps = model.steps - 0.2 * d / np.sqrt(step_sum)
-    e = model.weights[slots].sum(axis=0) + model.bias
-    p, _ = marginals(np.exp(np.clip(e, -30, 30)), words.first, model.steps)
-    c = _count(p, words.doc(), len(y))
+    c = np.empty(len(y))
+    for d in range(0, len(y), 256):
+        f = starts[d : d + 257]
+        e = model.weights[slots[:, f[0] : f[-1]]].sum(axis=0) + model.bias
+        p, _ = marginals(np.exp(np.clip(e, -30, 30)), f - f[0], model.steps)
+        c[d : d + 256] = _count(p, doc[f[0] : f[-1]] - d, len(f) - 1)
     a, b = -1.0, 1.0
     for _ in range(60):  # Newton steps of the logistic curve, lightly held back
         q = 1 / (1 + np.exp(-(a + b * c)))
@@ -194,7 +204,7 @@ def _count(p: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return np.log(np.bincount(doc, np.where(p >= 0.5, p, 0.0), n) + 0.01)
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_docs: int = 6000, most_chars: int = 200_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, most_docs: int = 5000, most_chars: int = 200_000) -> Model:
     """Fit on at most ``most_docs`` labelled texts that aren't held out (the first by a hash of doc_id), each read up to ``most_chars``."""
     known = (
         labels.selectExpr("cast(doc_id as long) doc_id", "cast(toxic as int) toxic")
