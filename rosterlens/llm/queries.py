@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from .chat_template import op2_chat
+from .dart_minhash import op4_minhash
 from .license_diag import op10_license
 from .packing import op9_packing
 from .pii_skipchain import op7_pii
 from .toxic_crf import op6_toxicity
 
 QUERIES = {
+    "op2_chat": op2_chat,
+    "op4_minhash": op4_minhash,
     "op6_toxicity": op6_toxicity,
     "op7_pii": op7_pii,
     "op9_packing": op9_packing,
