@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from .additive_quant import op5_additive
 from .chat_template import op2_chat
 from .dart_minhash import op4_minhash
+from .ego_join import op3_ego
 from .license_diag import op10_license
 from .packing import op9_packing
 from .pii_skipchain import op7_pii
@@ -11,7 +13,9 @@ from .toxic_crf import op6_toxicity
 
 QUERIES = {
     "op2_chat": op2_chat,
+    "op3_ego": op3_ego,
     "op4_minhash": op4_minhash,
+    "op5_additive": op5_additive,
     "op6_toxicity": op6_toxicity,
     "op7_pii": op7_pii,
     "op9_packing": op9_packing,
