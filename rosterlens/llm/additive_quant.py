@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .store import materialise, table
 from .vectors import matrix, rows_of
 
-BOOKS, WORDS, BEAM = 8, 64, 4
+BOOKS, WORDS, BEAM = 16, 64, 4
 
 
 @dataclass
@@ -45,6 +45,7 @@ class Books:
         flat = self.words.reshape(books * words, -1)
         dot, cross = x @ flat.T, flat @ flat.T
         square = np.diag(cross)
+        cross = cross.reshape(books, words, books, words)
         n = len(x)
         codes = np.zeros((n, 1, 0), np.int64)
         cost = np.zeros((n, 1))
@@ -53,7 +54,7 @@ class Books:
             at = slice(m * words, (m + 1) * words)
             step = (square[at] - 2 * dot[:, at])[:, None, :] + cost[:, :, None]
             for b in range(m):
-                step = step + 2 * cross[codes[:, :, b] + b * words][:, :, at]
+                step = step + 2 * np.ascontiguousarray(cross[b, :, m])[codes[:, :, b]]
             flat_cost = step.reshape(n, -1)
             keep = min(beam, flat_cost.shape[1])
             best = np.argpartition(flat_cost, keep - 1, axis=1)[:, :keep]
@@ -212,7 +213,7 @@ def _answers(joined: DataFrame, books: Books, k: int, shortlist: int) -> DataFra
     return joined.select("ids", "codes", "norms", "vecs", "qids", "qvecs").mapInArrow(run, "query_id long, vec_id long, score double")
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, sample: int = 8192, block: int = 4096, query_block: int = 512, shortlist: int = 128) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, sample: int = 8192, block: int = 4096, query_block: int = 512, shortlist: int = 384) -> DataFrame:
     """The k nearest rows found of every row whose vec_id is divisible by ``every``: query_id, rank, vec_id, score."""
     rows = usable(vectors)
     n = rows.count()
