@@ -6,18 +6,22 @@ from .additive_quant import op5_additive
 from .chat_template import op2_chat
 from .dart_minhash import op4_minhash
 from .ego_join import op3_ego
+from .html_suffix import op1_html
 from .license_diag import op10_license
 from .packing import op9_packing
 from .pii_skipchain import op7_pii
+from .sp_scan import op8_sentencepiece
 from .toxic_crf import op6_toxicity
 
 QUERIES = {
+    "op1_html": op1_html,
     "op2_chat": op2_chat,
     "op3_ego": op3_ego,
     "op4_minhash": op4_minhash,
     "op5_additive": op5_additive,
     "op6_toxicity": op6_toxicity,
     "op7_pii": op7_pii,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_packing": op9_packing,
     "op10_license": op10_license,
 }
