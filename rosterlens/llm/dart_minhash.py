@@ -9,11 +9,14 @@ Ranks are looked at only up to a bound that gives k(ln k + 3) darts a text, what
 length; the few texts with a coordinate still empty look twice as far again.
 
 Bands of ``rows`` coordinates are buckets. Equal word sequences are one node (the
-smallest doc_id), so a bucket holds different texts only. Every member of a bucket is
-compared with the bucket's smallest id by exact weighted Jaccard similarity over all
-shingles; where that fails, the failing member is compared with every other member that
-isn't yet in its class, unless lengths or one-bit sketches rule a link out. With 42
-bands of 6, a pair at similarity 0.8 shares no bucket with probability 3e-6.
+smallest doc_id), so a bucket holds different texts only. The smallest id of a bucket is
+its centre; the union of the buckets with one centre is a star, and every pair of texts
+that share a bucket share a star. Stars are cut into blocks, and every pair of blocks is
+one group of rows, compared whole inside a task: pairs of different classes whose
+signatures leave room for the wanted similarity are settled by exact weighted Jaccard
+similarity over all shingles, likeliest first, and a group sends its links as a forest.
+With 42 bands of 6, a pair at similarity 0.8 shares no bucket with probability 3e-6, and
+the signature test (4.5 standard deviations) errs about as rarely.
 
 Null and empty texts have no shingles and are alone in their class. Rows with a null
 doc_id get a negative id made from their text. Rows that repeat a doc_id share a node.
@@ -33,6 +36,7 @@ from .store import materialise, table
 SHINGLE = 5
 ROWS, BANDS = 6, 42
 SIMILARITY = 0.8
+BLOCK = 256  # texts of a star
 
 
 def cells(w: Words, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -84,16 +88,13 @@ def signatures(doc: np.ndarray, key: np.ndarray, n: int, k: int = ROWS * BANDS)
         bound[empty] *= 2
 
 
-_SIG = "doc_id long, t1 long, t2 long, cells long, bands array<long>, sketch array<long>"
+_SIG = "doc_id long, t1 long, t2 long, bands array<long>"
 
 
 def signed(docs: DataFrame, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
-    """Content hashes, number of regions, band hashes and a one-bit sketch of each row of ``docs(doc_id, text)``."""
+    """Content hashes and band hashes of each row of ``docs(doc_id, text)``; no bands without words."""
     k = rows * bands
 
-    def lists(x: np.ndarray) -> pa.ListArray:
-        return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel().view(np.int64)))
-
     def run(batches):
         for batch in batches:
             for i, j, data, off in slices(batch.column(1)):
@@ -105,123 +106,115 @@ def signed(docs: DataFrame, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
                 h = np.zeros((n, bands), U64)
                 for r in range(rows):
                     h = mix(h + sig[:, r::rows][:, :bands] + band)
-                bits = np.zeros((n, 256), np.uint8)
-                bits[:, : min(k, 256)] = (mix(sig[:, :256]) & U64(1)).astype(np.uint8)
-                sketch = np.packbits(bits, axis=1).view(U64)
+                some = np.bincount(doc, minlength=n) > 0
+                ends = pa.array(np.concatenate(([0], np.cumsum(some * bands))).astype(np.int32))
                 t1, t2 = (c.view(np.int64) for c in w.content())
                 ids = batch.column(0).slice(i, n)
                 if ids.null_count:
                     ids = pa.array([x if x is not None else -1 - abs(int(t) >> 1) for x, t in zip(ids.to_pylist(), t1, strict=True)], pa.int64())
-                yield pa.RecordBatch.from_arrays([ids, pa.array(t1), pa.array(t2), pa.array(np.bincount(doc, minlength=n)), lists(h), lists(sketch)], names=["doc_id", "t1", "t2", "cells", "bands", "sketch"])
+                yield pa.RecordBatch.from_arrays([ids, pa.array(t1), pa.array(t2), pa.ListArray.from_arrays(ends, pa.array(h[some].ravel().view(np.int64)))], names=["doc_id", "t1", "t2", "bands"])
 
     return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(run, _SIG)
 
 
-def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, regions): sorted 32-bit region keys of the named documents."""
+def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """(id, signature, regions): one byte of each coordinate, and sorted 32-bit region keys, of the named documents."""
 
     def run(batches):
         for batch in batches:
             for i, j, data, off in slices(batch.column(1)):
+                n = j - i
                 doc, key = cells(Words(data, off))
+                sig = (mix(signatures(doc, key, n, k)) & U64(0xFF)).astype(np.uint8)
                 short = (key >> U64(32)).astype(np.uint32)
-                order = np.lexsort((short, doc))
-                cut = np.searchsorted(doc, np.arange(j - i + 1))
-                short = short[order]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([short[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())], names=["id", "regions"])
+                short = short[np.lexsort((short, doc))]
+                cut = np.searchsorted(doc, np.arange(n + 1))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, n), pa.array([row.tobytes() for row in sig], pa.binary()), pa.array([short[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())],
+                    names=["id", "signature", "regions"],
+                )
 
     found = docs.selectExpr("cast(doc_id as long) id", "cast(text as string) text").join(ids, "id", "left_semi")
-    return found.mapInArrow(run, "id long, regions binary").dropDuplicates(["id"])
+    return found.mapInArrow(run, "id long, signature binary, regions binary").dropDuplicates(["id"])
 
 
-def _common(a: bytes, b: bytes) -> tuple[int, int]:
-    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+def jaccard(x: np.ndarray, y: np.ndarray) -> float:
+    """Similarity of two sorted arrays of distinct region keys."""
     both = np.concatenate([x, y])
     both.sort(kind="stable")
     same = int((both[1:] == both[:-1]).sum())
-    return same, len(both) - same
+    return same / (len(both) - same) if len(both) else 0.0
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b, similarity) of ``pairs(a, b)`` by exact weighted Jaccard similarity."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = materialise(_sets(docs, ids))
+def forest(ids: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], similarity: float, deviations: float = 4.5) -> list[tuple[int, int]]:
+    """Links that join the classes of some texts, each pair of different classes that may be similar being settled exactly.
 
-    def run(batches):
-        for batch in batches:
-            x, y = batch.column(2), batch.column(3)
-            sims = []
-            for p, q in zip(x, y, strict=True):
-                same, total = _common(p.as_py(), q.as_py())
-                sims.append(same / total if total else 0.0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sims, pa.float64())], names=["a", "b", "similarity"])
-
-    both = pairs.join(sets.selectExpr("id a", "regions x"), "a").join(sets.selectExpr("id b", "regions y"), "b")
-    return materialise(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long, similarity double"))
-
-
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One row per row of ``docs``: doc_id, text_id (smallest id with the same words), class_id (smallest id of its class), n_links (different texts found similar to its text), kept."""
-    signs = materialise(signed(docs))
-    texts = materialise(
-        signs.filter("cells > 0").groupBy("t1", "t2")
-        .agg(F.min("doc_id").alias("id"), F.first("cells").alias("cells"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    )
+    Every round takes, for each text, the likeliest unsettled partner of another class.
+    """
+    n, k = sig.shape
+    least = similarity - deviations * (similarity * (1 - similarity) / k) ** 0.5
+    size = np.array([len(s) for s in sets], float)
+    near = np.zeros((n, n), np.float32)
+    for i in range(n):
+        share = (sig[i + 1 :] == sig[i]).mean(axis=1)
+        share[np.minimum(size[i + 1 :], size[i]) < similarity * np.maximum(size[i + 1 :], size[i])] = 0
+        near[i, i + 1 :] = share
+    near = np.maximum(near, near.T)
+    near[near < least + (1 - least) / 256] = 0
+    root, out = np.arange(n), []
+    while True:
+        near[root[:, None] == root[None, :]] = 0
+        best = near.argmax(axis=1)
+        some = np.flatnonzero(near[np.arange(n), best] > 0)
+        if not len(some):
+            return out
+        for i in some:
+            j = best[i]
+            if root[i] == root[j] or not near[i, j]:
+                continue
+            near[i, j] = near[j, i] = 0
+            if jaccard(sets[i], sets[j]) >= similarity:
+                out.append((int(ids[i]), int(ids[j])))
+                root[root == max(root[i], root[j])] = min(root[i], root[j])
+
+
+def links(docs: DataFrame, pairs: DataFrame, similarity: float, k: int, block: int = BLOCK) -> DataFrame:
+    """(a, b): a forest of the similar texts within every star of ``pairs(a, b)``; a is the centre."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets = materialise(_sets(docs, ids, k))
+    sizes = materialise(pairs.groupBy("a").agg(F.ceil((F.count("*") + 1) / block).cast("int").alias("blocks")))
+    members = pairs.select("a", F.col("b").alias("id")).unionByName(sizes.select("a", F.col("a").alias("id")))
+    own = F.expr("cast(pmod(xxhash64(id), blocks) as int)")
+    dealt = members.join(sizes, "a").withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    keyed = dealt.select("id", "a", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).join(sets, "id")
+
+    def run(group: pa.Table) -> pa.Table:
+        order = group.column("id").to_numpy().argsort()
+        found = [group.column(c).take(pa.array(order)).to_pylist() for c in ("id", "signature", "regions")]
+        sig = np.frombuffer(b"".join(found[1]), np.uint8).reshape(len(order), -1)
+        edges = forest(np.asarray(found[0]), sig, [np.frombuffer(r, np.uint32) for r in found[2]], similarity)
+        return pa.table({"a": pa.array([x for x, _ in edges], pa.int64()), "b": pa.array([y for _, y in edges], pa.int64())})
+
+    return materialise(keyed.groupBy("a", "i", "j").applyInArrow(run, "a long, b long"))
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
+    """One row per row of ``docs``: doc_id, text_id (smallest id with the same words), class_id (smallest id of its class), kept."""
+    signs = materialise(signed(docs, rows, bands))
+    texts = materialise(signs.filter(F.size("bands") > 0).groupBy("t1", "t2").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")))
     members = texts.select("id", F.explode("bands").alias("h"))
     shared = materialise(members.groupBy("h").agg(F.min("id").alias("a"), F.count("*").alias("n")).filter("n > 1").select("h", "a"))
-    stars = materialise(members.join(shared, "h").filter("id <> a").select("h", "a", F.col("id").alias("b")))
-    first = verified(materialise(stars.select("a", "b").distinct()), docs)
-    links = first.filter(F.col("similarity") >= similarity).select("a", "b")
-    failed = first.filter(F.col("similarity") < similarity)
-    if not failed.isEmpty():
-        more = _missed(stars, failed, components(links), texts, first, similarity)
-        if not more.isEmpty():
-            second = verified(more, docs)
-            links = links.unionByName(second.filter(F.col("similarity") >= similarity).select("a", "b"))
-    links = materialise(links)
-    classes = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
-    named = materialise(
-        texts.select("t1", "t2", F.col("id").alias("text_id")).join(classes.withColumnRenamed("id", "text_id"), "text_id", "left").join(degree.withColumnRenamed("id", "text_id"), "text_id", "left")
-    )
+    stars = materialise(members.join(shared, "h").filter("id <> a").select("a", F.col("id").alias("b")).distinct())
+    classes = components(links(docs, stars, similarity, rows * bands))
+    named = materialise(texts.select("t1", "t2", F.col("id").alias("text_id")).join(classes.withColumnRenamed("id", "text_id"), "text_id", "left"))
     out = signs.select("doc_id", "t1", "t2").join(named, ["t1", "t2"], "left")
     return out.select(
         "doc_id",
         F.coalesce("text_id", "doc_id").alias("text_id"),
         F.coalesce("component", "text_id", "doc_id").alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
         (F.col("doc_id") == F.coalesce("component", "text_id", "doc_id")).alias("kept"),
     )
 
 
-def _missed(stars: DataFrame, failed: DataFrame, classes: DataFrame, texts: DataFrame, tried: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of a bucket that the comparison with its smallest id leaves open.
-
-    Both are members, at least one failed against the smallest id, their classes differ,
-    and neither lengths nor sketches rule the link out: two texts at the wanted
-    similarity agree on (1+s)/2 of the 252 bits, less seven standard deviations here.
-    """
-    bits = ROWS * BANDS
-    agree = (1 + similarity) / 2
-    least = int(bits * agree - 7 * (bits * agree * (1 - agree)) ** 0.5)
-    told = materialise(
-        texts.select("id", "cells", "sketch").join(classes, "id", "left").select("id", F.coalesce("component", "id").alias("c"), "cells", "sketch")
-    )
-    bad = materialise(stars.join(failed.select("a", "b"), ["a", "b"]).select("h", F.col("b").alias("id")))
-    hot = bad.select("h").distinct()
-    every = stars.join(hot, "h", "left_semi")
-    every = every.select("h", F.col("b").alias("id")).unionByName(every.select("h", F.col("a").alias("id")).distinct())
-    x = materialise(bad.join(told, "id")).select("h", *(F.col(c).alias(f"x_{c}") for c in ("id", "c", "cells", "sketch")))
-    y = materialise(every.join(told, "id")).select("h", *(F.col(c).alias(f"y_{c}") for c in ("id", "c", "cells", "sketch")))
-    differ = F.expr(" + ".join(f"bit_count(x_sketch[{i}] ^ y_sketch[{i}])" for i in range(4)))
-    close = (
-        (F.col("x_c") != F.col("y_c"))
-        & (F.least("x_cells", "y_cells") >= similarity * F.greatest("x_cells", "y_cells"))
-        & (differ <= bits - least)
-    )
-    pairs = x.join(y, "h").filter(close).select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
-    return materialise(pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti"))
-
-
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
