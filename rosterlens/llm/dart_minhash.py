@@ -134,7 +134,8 @@ def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
                     names=["id", "signature", "regions"],
                 )
 
-    found = docs.selectExpr("cast(doc_id as long) id", "cast(text as string) text").join(ids, "id", "left_semi")
+    # no size bound is known for ids: the join is a merge at every size
+    found = docs.selectExpr("cast(doc_id as long) id", "cast(text as string) text").join(ids.hint("merge"), "id", "left_semi")
     return found.mapInArrow(run, "id long, signature binary, regions binary").dropDuplicates(["id"])
 
 
