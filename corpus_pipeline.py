@@ -19,9 +19,15 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def minhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class: the one with the smallest doc_id; a doc_id that occurs twice stays once."""
-    gone = dart_minhash.near_duplicates(docs).filter("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(docs.columns)
+    """One document of each near-duplicate class: the one with the smallest doc_id; rows that repeat another stay once.
+
+    Texts move once: dealt by id, they meet both their own repeats and the ids that go.
+    """
+    own = docs.withColumn("_id", F.coalesce("doc_id", -1 - F.abs(F.shiftright(F.xxhash64("text"), 1))))
+    found = dart_minhash.near_duplicates(own.select(F.col("_id").alias("doc_id"), "text"))
+    gone = found.filter("not kept").select(F.col("doc_id").alias("_id")).distinct()
+    once = own.repartition("_id").dropDuplicates(["_id", "text"])
+    return once.join(gone, "_id", "left_anti").select(docs.columns)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
