@@ -26,6 +26,26 @@ QUERIES = {
     "op10_license": op10_license,
 }
 
-_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_ESCAPES = "len(regexp_extract_all({c}, '<\\\\*(/s>|s>)|\\[\\\\*(INST\\]|/INST\\]|GEN\\]|/GEN\\])'))".replace("\\\\", "\\")
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_chat": f"""
+with c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+select conv_id, count(*)::bigint as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+  sum(22 + length(role) + length(text) + {_ESCAPES.format(c="role")} + {_ESCAPES.format(c="text")})::bigint as formatted_chars
+from c group by conv_id""",
+    "op3_ego": """
+with recursive v as (select vec_id, label, embedding::double[] as e from embeddings where label is not null),
+links as (select a.vec_id as x, b.vec_id as y from v a join v b on a.label = b.label and a.vec_id <> b.vec_id where list_cosine_similarity(a.e, b.e) >= 0.93),
+reach as (select x, y from links union select r.x, l.y from reach r join links l on r.y = l.x)
+select vec_id, (select count(*) from links where x = vec_id)::bigint as n_links,
+  coalesce(least(vec_id, (select min(y) from reach where x = vec_id)), vec_id) as component_id,
+  vec_id = coalesce(least(vec_id, (select min(y) from reach where x = vec_id)), vec_id) as kept
+from embeddings""",
+}
