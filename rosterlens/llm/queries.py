@@ -26,7 +26,7 @@ QUERIES = {
     "op10_license": op10_license,
 }
 
-_ESCAPES = "len(regexp_extract_all({c}, '<\\\\*(/s>|s>)|\\[\\\\*(INST\\]|/INST\\]|GEN\\]|/GEN\\])'))".replace("\\\\", "\\")
+_ESCAPES = r"len(regexp_extract_all({c}, '<\\*(/s>|s>)|\[\\*(INST\]|/INST\]|GEN\]|/GEN\])'))"
 
 ORACLE_SQL: dict[str, str] = {
     "op2_chat": f"""
