@@ -52,11 +52,13 @@ def targets(tables: dict[str, DataFrame], names) -> DataFrame:
 def check_all(tables: dict[str, DataFrame], checks: tuple[Check, ...] = CHECKS) -> DataFrame:
     """(payer_id, label, total, resolved, dangling, pct) of every check, and a row with a null label per payer: one join for all.
 
-    Only the target table counts, not the type that a reference names.
+    Only the target table counts, not the type that a reference names. Equal references are
+    counted before the join, so an organization that a third of all roles name is one row in it.
     """
     held = targets(tables, sorted({c.target for c in checks})).withColumn("hit", F.lit(1))
-    joined = edges(tables, checks).join(held, ["payer_id", "target", "ref_id"], "left")
-    counted = joined.groupBy("payer_id", "label").agg(F.count("*").alias("total"), F.count("hit").alias("resolved"))
+    some = edges(tables, checks).groupBy("payer_id", "label", "target", "ref_id").agg(F.count("*").alias("n"))
+    joined = some.join(held, ["payer_id", "target", "ref_id"], "left")
+    counted = joined.groupBy("payer_id", "label").agg(F.sum("n").alias("total"), F.sum(F.when(F.col("hit") == 1, F.col("n")).otherwise(0)).alias("resolved"))
     both = counted.unionByName(counted.groupBy("payer_id").agg(F.sum("total").alias("total"), F.sum("resolved").alias("resolved")).withColumn("label", F.lit(None).cast("string")))
     return both.select("payer_id", "label", "total", "resolved", (F.col("total") - F.col("resolved")).alias("dangling"), pct(F.col("resolved"), F.col("total")).alias("pct"))
 
@@ -64,7 +66,7 @@ def check_all(tables: dict[str, DataFrame], checks: tuple[Check, ...] = CHECKS)
 def orphans(rows: DataFrame, referring: DataFrame, column: str, many: bool = False) -> DataFrame:
     """Rows that no reference in ``column`` of ``referring`` reaches within the payer."""
     refs = referring.select("payer_id", (F.explode(column) if many else F.col(column)).alias("ref"))
-    reached = refs.filter(F.col("ref").isNotNull()).select("payer_id", ref_id(F.col("ref")).alias("id"))
+    reached = refs.filter(F.col("ref").isNotNull()).select("payer_id", ref_id(F.col("ref")).alias("id")).distinct()
     return rows.join(reached, ["payer_id", "id"], "left_anti")
 
 

@@ -146,3 +146,8 @@ def bulk_reconciliation(lines: DataFrame, loaded: DataFrame) -> DataFrame:
     n = lines.filter(F.trim("value") != "").agg(F.count("*").alias("lines"))
     m = loaded.agg(F.countDistinct("payer_id", "id").alias("loaded"))
     return n.join(m, F.lit(True)).select("lines", "loaded", pct(F.col("loaded"), F.col("lines")).alias("coverage_pct"))
+
+
+def append(runs: DataFrame, path: str) -> None:
+    """Add finished runs to the provenance table."""
+    runs.write.mode("append").parquet(path)

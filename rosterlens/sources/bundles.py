@@ -65,3 +65,15 @@ def landed_counts(tables: dict[str, DataFrame]) -> DataFrame:
         c = df.groupBy("payer_id").agg(F.count("*").alias("n")).withColumn("resource_type", F.lit(name))
         out = c if out is None else out.unionByName(c)
     return out.select("payer_id", "resource_type", "n")
+
+
+def select_endpoints(manifest: DataFrame, keys: list[str] | None = None, status: str | None = None) -> DataFrame:
+    """Endpoints by key, by status, or all; keys that the manifest doesn't hold select nothing."""
+    out = manifest if keys is None else manifest.filter(F.col("key").isin(keys))
+    return out if status is None else out.filter(F.col("status") == status)
+
+
+def expected_units(manifest: DataFrame, types: DataFrame) -> DataFrame:
+    """(key, resource_type) that an endpoint should serve: its ``resources`` subset, or all of ``types`` where that is null."""
+    grid = manifest.select("key", "resources").crossJoin(F.broadcast(types.select("resource_type")))  # eight types, whatever the data
+    return grid.filter(F.col("resources").isNull() | F.array_contains("resources", F.col("resource_type"))).select("key", "resource_type")

@@ -8,12 +8,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_TEMPORARY: dict[str, str] = {}
+
+
 def pinned_root(spark: SparkSession) -> str:
-    """A new folder's path under ``spark.checkpoint.dir`` (a temporary folder only where that is unset)."""
+    """A new folder's path under ``spark.checkpoint.dir`` (a temporary folder of the application only where that is unset)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="rosterlens-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _TEMPORARY.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="rosterlens-"))
     return f"{root.rstrip('/')}/p-{uuid.uuid4().hex}"
 
 

@@ -55,3 +55,20 @@ def test_prefix_leaves_and_residual(spark):
 def test_batches_of_ids(spark):
     ids = spark.range(10).select(F.lit("p").alias("payer_id"), F.col("id").cast("string").alias("id"))
     assert sorted(r.n for r in refs.chain_batches(ids, 3).collect()) == [1, 3, 3, 3]
+
+
+def test_expected_units(spark):
+    from rosterlens.sources import bundles
+
+    m = spark.createDataFrame([("a", ["x"]), ("b", None)], "key string, resources array<string>")
+    types = spark.createDataFrame([("x",), ("y",)], "resource_type string")
+    assert {tuple(r) for r in bundles.expected_units(m, types).collect()} == {("a", "x"), ("b", "x"), ("b", "y")}
+    assert bundles.select_endpoints(m, ["a", "zz"]).count() == 1
+
+
+def test_finalised_run(spark):
+    row = ("p", "organization", datetime(2024, 1, 2), None, 90, False, "daterange", None, "search", None, None, 90, 0, 0)
+    done = spark.createDataFrame([row], "payer_id string, resource_type string, started_at timestamp, bare_total long, counted_total long, count_gaps boolean, mode string, match_all boolean, method string, note string, extract_error string, loaded long, fetch_errors long, transform_errors long")
+    history = spark.createDataFrame([("p", "organization", 1, datetime(2024, 1, 1), 120, "ok"), ("p", "organization", 2, datetime(2024, 1, 1, 5), 1, "error")], "payer_id string, resource_type string, run_id long, started_at timestamp, resource_count long, status string")
+    r = runs.finalised(done, history).first()
+    assert (r.server_total, r.total_source, r.status, r.prior_count, r.pct_change) == (90, "daterange_window_sum", "ok", 120, -25.0) and len(r.run_id) == 64
