@@ -13,15 +13,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_TEMPORARY: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a fresh temporary folder only where it is unset.
+    """``spark.checkpoint.dir`` of the session; a temporary folder of the application only where it is unset.
 
     The fallback is for single-machine tests: a cluster names its shared folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="rosterlens-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        path = _TEMPORARY.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="rosterlens-"))
     return path.rstrip("/")
 
 
