@@ -17,6 +17,8 @@ def test_main_text_of_marked_pages():
         '<aside>side</aside><form>f<input type=text></form><div class="comments"><p>reader</p><div>x</div></div><p>Seven</article><footer>&copy;</footer></body></html>'
     )
     assert [t for r, t in pages.blocks(page) if r == pages.ARTICLE] == ["Title", "One & two — three four", "Five six", "Seven"]
+    named = '<article><div class="article-header"><h2>T</h2></div><div class="header">h</div><ol class="commentlist"><li>c</ol><p class="address">stays</p><div id="ad-slot-3">ad</div><p>x</p></article>'
+    assert [t for r, t in pages.blocks(named) if r == pages.ARTICLE] == ["T", "stays", "x"]
     assert pages.blocks("a < b <b>c</b>") == [(pages.PLAIN, "a < b c")]
     assert pages.blocks("<p>a<!-- x") == [(pages.PLAIN, "a")] and pages.blocks("<script>x") == []
 
