@@ -574,6 +574,6 @@ def stream_ingest(spark, d):
     from .streaming.ingest import ingest
 
     root = pinned_root(spark)
-    P.location_resources(spark, d).select(F.col("resource").alias("value")).repartition(4).write.text(f"{root}/in")
-    ingest(spark, f"{root}/in", "payer_0", "https://h.example/fhir", ("location",), f"{root}/out", f"{root}/mark", AS_OF, files=2).awaitTermination()
+    P.location_resources(spark, d).select(F.col("resource").alias("value")).write.text(f"{root}/in")
+    ingest(spark, f"{root}/in", "payer_0", "https://h.example/fhir", ("location",), f"{root}/out", f"{root}/mark", AS_OF).awaitTermination()
     return spark.read.parquet(f"{root}/out/location").select("id", "name", "address_city")
