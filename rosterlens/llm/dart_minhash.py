@@ -218,4 +218,4 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, rows: int =
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
