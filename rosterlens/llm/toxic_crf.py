@@ -2,8 +2,8 @@
 
 A word's tag is toxic or not. Labels exist for documents only, so the training tags come
 from them: in labelled-toxic texts, the words whose form or beginning occurs in toxic
-training texts and (nearly) nowhere else are tagged toxic (a likelihood-ratio test with
-a fixed bar), every other word is not. The field has hashed features of the word (form,
+training texts and (nearly) nowhere else are tagged toxic (a likelihood-ratio test
+whose bar rises from 9 to 15 with the number of toxic texts), every other word is not. The field has hashed features of the word (form,
 beginnings) and transition weights between neighbours' tags; forward-backward gives the
 marginals. A document's score is a logistic function, fitted on the training texts, of
 the expected number of toxic words among those likelier toxic than not; these words are
