@@ -2,10 +2,10 @@
 
 A word's tag is toxic or not. Labels exist for documents only, so the training tags come
 from them: in labelled-toxic texts, the words whose form or beginning occurs in toxic
-training texts and (nearly) nowhere else are tagged toxic (a likelihood-ratio test
-whose bar rises from 9 to 15 with the number of toxic texts), every other word is not. The field has hashed features of the word (form,
-beginnings) and transition weights between neighbours' tags; forward-backward gives the
-marginals. A document's score is a logistic function, fitted on the training texts, of
+training texts and (nearly) nowhere else are tagged toxic (a likelihood-ratio test whose
+bar rises from 9 to 15 with the number of toxic texts), every other word is not. The
+field has hashed features of the word (form, beginnings) and transition weights between
+neighbours' tags; forward-backward gives the marginals. A document's score is a logistic function, fitted on the training texts, of
 the expected number of toxic words among those likelier toxic than not; these words are
 the offending spans.
 
@@ -40,7 +40,8 @@ SCHEMA = "doc_id long, score double, spans array<struct<start:int,end:int,p:doub
 class Model:
     prior: float = 0.0
     weights: np.ndarray | None = None  # by hashed feature
-    bias: float = 0.0
+    known: np.ndarray = field(default_factory=lambda: np.zeros(0, U64))  # features of tagged words: no other feature counts for toxicity
+    bias: float = 0.0  # log odds of a tagged word, kept: what a word with no known feature starts from
     steps: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))  # log weight of tag i then j
     scale: tuple[float, float] = (0.0, 0.0)
 
@@ -53,8 +54,16 @@ def features(w: Words) -> list[np.ndarray]:
     return out
 
 
-def _slots(hashes: list[np.ndarray]) -> np.ndarray:
-    return np.stack([(h >> U64(64 - BITS)).astype(np.int32) for h in hashes])
+def _emissions(model: Model, w: Words) -> np.ndarray:
+    """exp(score of toxic against not) of each word; a feature that only shares its slot with one that marks toxic words counts nothing."""
+    e = np.full(len(w.hash), model.bias)
+    for h in features(w):
+        x = model.weights[(h >> U64(64 - BITS)).astype(np.int32)]
+        hot = np.flatnonzero(x > 0.1)
+        at = np.minimum(np.searchsorted(model.known, h[hot]), max(0, len(model.known) - 1))
+        x[hot[model.known[at] != h[hot]] if len(model.known) else hot] = 0
+        e += x
+    return np.exp(np.clip(e, -30, 30))
 
 
 def marginals(x: np.ndarray, first: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,19 +133,16 @@ def marginals(x: np.ndarray, first: np.ndarray, steps: np.ndarray) -> tuple[np.n
     return p, (parts / parts.sum(axis=0)).sum(axis=1)
 
 
-def _tags(feats: list[np.ndarray], doc: np.ndarray, toxic: np.ndarray, bar: float) -> np.ndarray:
-    """Training tags from document labels: words of toxic texts with a form or beginning that marks them."""
+def _marked(h: np.ndarray, doc: np.ndarray, toxic: np.ndarray, bar: float) -> np.ndarray:
+    """Words whose feature (form or beginning) marks toxic texts, by document labels."""
     share = toxic.mean()
-    tag = np.zeros(len(doc), bool)
-    for h in feats[:4]:
-        seen, at = np.unique(h, return_inverse=True)
-        pair = np.unique(at.astype(np.int64) * len(toxic) + doc)
-        which, text = pair // len(toxic), pair % len(toxic)
-        bad = np.bincount(which, toxic[text], len(seen))
-        good = np.bincount(which, minlength=len(seen)) - bad
-        gain = bad * -np.log(share) + np.where(good > 0, good * np.log(np.maximum(good, 1) / (bad + good) / (1 - share)), 0)
-        tag |= ((gain > bar) & (good <= 0.02 * bad))[at]
-    return tag & toxic[doc].astype(bool)
+    seen, at = np.unique(h, return_inverse=True)
+    pair = np.unique(at.astype(np.int64) * len(toxic) + doc)
+    which, text = pair // len(toxic), pair % len(toxic)
+    bad = np.bincount(which, toxic[text], len(seen))
+    good = np.bincount(which, minlength=len(seen)) - bad
+    gain = bad * -np.log(share) + np.where(good > 0, good * np.log(np.maximum(good, 1) / (bad + good) / (1 - share)), 0)
+    return ((gain > bar) & (good <= 0.02 * bad))[at]
 
 
 def fit_texts(texts: list[str], toxic: list[int], crf_docs: int = 1000, rounds: int = 40, bar: float = 9.0) -> Model:
@@ -149,12 +155,17 @@ def fit_texts(texts: list[str], toxic: list[int], crf_docs: int = 1000, rounds:
         w = Words(data, off)
         parts.append(features(w))
         sizes.append(np.diff(w.first))
-    feats = [np.concatenate(f) for f in zip(*parts, strict=True)]
     sizes = np.concatenate(sizes)
     starts, doc = np.concatenate(([0], np.cumsum(sizes))), np.repeat(np.arange(len(y)), sizes)
-    tag = _tags(feats, doc, y, bar + 6 * min(1.0, y.sum() / 500))
-    slots = _slots(feats)
-    del feats, parts
+    columns = [list(f) for f in zip(*parts, strict=True)]
+    del parts
+    tag, slots = np.zeros(len(doc), bool), np.empty((len(columns), len(doc)), np.int32)
+    for i, column in enumerate(columns):  # one feature at a time: the driver's memory is small
+        h = np.concatenate(column)
+        column.clear()
+        tag |= _marked(h, doc, y, bar + 6 * min(1.0, y.sum() / 500))
+        slots[i] = h >> U64(64 - BITS)
+    tag &= y[doc].astype(bool)
     # the field: toxic texts and as many others
     bad, good = np.flatnonzero(y == 1)[: crf_docs // 2], np.flatnonzero(y == 0)[: crf_docs // 2]
     use = np.sort(np.concatenate([bad, good]))
@@ -162,12 +173,12 @@ def fit_texts(texts: list[str], toxic: list[int], crf_docs: int = 1000, rounds:
     pick = np.concatenate([np.arange(starts[d], starts[d + 1]) for d in use]) if size.sum() else np.zeros(0, np.int64)
     first = np.concatenate(([0], np.cumsum(size)))
     s, z = slots[:, pick], tag[pick].astype(float)
-    model = Model(float(y.mean()), np.zeros(1 << BITS, np.float32), float(np.log((z.sum() + 1) / (len(z) + 2))))
+    model = Model(prior=float(y.mean()), weights=np.zeros(1 << BITS, np.float32), bias=float(np.log((z.sum() + 1) / (len(z) + 2))))
     before = np.zeros(len(pick), int)
     before[1:] = z[:-1]
     before[first[:-1][size > 0]] = -1
     truth = np.array([[((before == i) & (z == j)).sum() for j in (0, 1)] for i in (0, 1)], float)
-    total, bias_sum, step_sum = np.full(1 << BITS, 0.1), 1.0, np.full((2, 2), 1.0)
+    total, step_sum = np.full(1 << BITS, 0.1), np.full((2, 2), 1.0)
     for _ in range(rounds if len(pick) else 0):
         e = model.weights[s].sum(axis=0) + model.bias
         p, steps = marginals(np.exp(np.clip(e, -30, 30)), first, model.steps)
@@ -175,18 +186,24 @@ def fit_texts(texts: list[str], toxic: list[int], crf_docs: int = 1000, rounds:
         g = np.bincount(s.ravel(), np.tile(err, len(s)), 1 << BITS) + 0.5 * model.weights
         total += g * g
         model.weights = (model.weights - 0.7 * g / np.sqrt(total)).astype(np.float32)
-        b = err.sum()
-        bias_sum += b * b
-        model.bias -= 0.5 * b / bias_sum**0.5
         d = steps.reshape(2, 2) - truth
         step_sum += d * d
         model.steps = model.steps - 0.2 * d / np.sqrt(step_sum)
-    c = np.empty(len(y))
-    for d in range(0, len(y), 256):
-        f = starts[d : d + 257]
-        e = model.weights[slots[:, f[0] : f[-1]]].sum(axis=0) + model.bias
-        p, _ = marginals(np.exp(np.clip(e, -30, 30)), f - f[0], model.steps)
-        c[d : d + 256] = _count(p, doc[f[0] : f[-1]] - d, len(f) - 1)
+    own = [[] for _ in slots]
+    toxic_tags, done = tag[y[doc] == 1], 0
+    for _, _, data, off in slices(pa.array([t for t, bad_ in zip(texts, y, strict=True) if bad_], pa.large_string())):
+        w = Words(data, off)
+        some = toxic_tags[done : done + len(w.hash)]
+        done += len(w.hash)
+        for k, h in zip(own, features(w), strict=True):
+            k.append(h[some])
+    model.known = np.unique(np.concatenate([h for k in own for h in k]))
+    counts = []
+    for _, _, data, off in slices(pa.array(texts, pa.large_string())):
+        w = Words(data, off)
+        p, _ = marginals(_emissions(model, w), w.first, model.steps)
+        counts.append(_count(p, w.doc(), len(off) - 1))
+    c = np.concatenate(counts)
     a, b = -1.0, 1.0
     for _ in range(60):  # Newton steps of the logistic curve, lightly held back
         q = 1 / (1 + np.exp(-(a + b * c)))
@@ -200,11 +217,11 @@ def fit_texts(texts: list[str], toxic: list[int], crf_docs: int = 1000, rounds:
 
 
 def _count(p: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
-    """log of the expected number of toxic words among those likelier toxic than not, from -log(100) at none."""
-    return np.log(np.bincount(doc, np.where(p >= 0.5, p, 0.0), n) + 0.01)
+    """Expected number of toxic words among those likelier toxic than not, four and more alike."""
+    return np.minimum(np.bincount(doc, np.where(p >= 0.5, p, 0.0), n), 4.0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_docs: int = 5000, most_chars: int = 200_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, most_docs: int = 4000, most_chars: int = 200_000) -> Model:
     """Fit on at most ``most_docs`` labelled texts that aren't held out (the first by a hash of doc_id), each read up to ``most_chars``."""
     known = (
         labels.selectExpr("cast(doc_id as long) doc_id", "cast(toxic as int) toxic")
@@ -236,10 +253,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
                     w = None
                 else:
                     w = Words(data, off)
-                    e = np.full(len(w.hash), m.bias)
-                    for h in features(w):
-                        e += m.weights[(h >> U64(64 - BITS)).astype(np.int32)]
-                    p, _ = marginals(np.exp(np.clip(e, -30, 30)), w.first, m.steps)
+                    p, _ = marginals(_emissions(m, w), w.first, m.steps)
                     values = 1 / (1 + np.exp(-(m.scale[0] + m.scale[1] * _count(p, w.doc(), n))))
                     at = np.flatnonzero(p >= threshold)
                 doc = np.zeros(0, np.int64)
@@ -269,10 +283,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFra
                     keep = np.full(j - i, m.prior < threshold)
                 else:
                     w = Words(data, off)
-                    e = np.full(len(w.hash), m.bias)
-                    for h in features(w):
-                        e += m.weights[(h >> U64(64 - BITS)).astype(np.int32)]
-                    p, _ = marginals(np.exp(np.clip(e, -30, 30)), w.first, m.steps)
+                    p, _ = marginals(_emissions(m, w), w.first, m.steps)
                     keep = m.scale[0] + m.scale[1] * _count(p, w.doc(), j - i) < np.log(threshold / (1 - threshold))
                 yield batch.slice(i, j - i).filter(pa.array(keep))
 
