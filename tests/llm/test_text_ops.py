@@ -116,6 +116,31 @@ def test_pii_repeats_share_a_label(spark):
     assert red[40].text == "call <PHONE> today, later <PHONE> works" and red[42].text is None and red[44].text == "<PHONE>" and red[44].lang == "en"
 
 
+@pytest.mark.parametrize("skip", [np.log(50), 6.0])
+@pytest.mark.parametrize("chain", [-1.0, 0.0, 1.0])
+def test_pii_links_outweigh_neighbours(skip, chain):
+    """Every bare repeat is found whatever stands around it; a bare number without a full one isn't, also between two full ones."""
+    field = pii.Field(skip=skip, chain=chain)
+    full, bare, alone = "+1 (321) 555-7788", "(321) 555-7788", "(444) 555-6666"
+    for n in (1, 2, 3, 10, 100):
+        for between in (" or ", f" or {alone} or ", f" or {alone} or 222 333 4444 or ", " or +1 (999) 555-0000 or ", " or a@b.example or "):
+            for text in (between.join([full] + [bare] * n + [""]), between.join(["", *[bare] * n, full])):
+                spans = [(text[a:b], k) for a, k, b in pii.tagged(pii.nodes(text), field)]
+                assert spans.count((bare, 3)) == n and not {alone, "222 333 4444"} & {value for value, _ in spans}
+    assert len(pii.tagged(pii.nodes(f"+1 (999) 555-0000, {alone}, +1 (999) 555-0001"), field)) == 2
+
+
+def test_pii_repeats_in_a_corpus_of_bare_numbers(spark):
+    """Thousands of bare numbers without a full one don't hide the repeats of those that have one."""
+    alone = [f"first ({200 + i % 700}) 555-{i:04d} then ({200 + i % 700}) 444-{i:04d}, mail a{i}@b.example" for i in range(3000)]
+    repeated = {n: "+1 (321) 555-7788" + " again (321) 555-7788" * n for n in (1, 2, 3, 10)}
+    d = docs(spark, *alone, *repeated.values())
+    found = pii.candidates(d)
+    rows = {r.doc_id: r for r in pii.decode(found, pii.fit(found)).collect()}
+    assert [rows[3000 + i].spans.count("phone:") for i in range(4)] == [n + 1 for n in repeated]
+    assert not any("phone:" in rows[i].spans for i in range(3000))
+
+
 def test_pii_long_runs_stay_linear():
     for t in ("1" * 100_000, "a" * 100_000, "@" * 50_000, "a@" * 50_000, "1." * 50_000, "+1" * 50_000):
         pii.nodes(t)
