@@ -23,6 +23,38 @@ def test_main_text_of_marked_pages():
     assert pages.blocks("<p>a<!-- x") == [(pages.PLAIN, "a")] and pages.blocks("<script>x") == []
 
 
+BODY = "The story itself runs on for quite a few words, and then for some more."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<main><p>{BODY}</p><div class='comments'><article>reader</article></div></main>",
+        f"<main><p>{BODY}</p><article class='comment'>reader</article></main>",
+        f"<div><p>{BODY}</p></div><section class='related'><article>card</article></section>",
+        f"<script>var x = '<article>';</script><p>{BODY}</p>",
+        f"<!-- <article> --><p>{BODY}</p>",
+        f"<!-- <article> --><nav>menu</nav><main><p>{BODY}</p></main>",
+        f"<div class='content has-sidebar'><article>{BODY}</article></div>",
+        f"<article class='post with-comments no-sidebar'>{BODY}</article><footer>c</footer>",
+        f"<div class='widget'><div><article>{BODY}</article></div></div>",
+        f"<div class='widget'><article>{BODY}</article></div><div>by us</div>",
+        f"<div id='search'><main>{BODY}</main></div><div>by us</div>",
+        f"<article></article><p>{BODY}</p>",
+        f"<article><p>{BODY}</p><div class='share-buttons'>s</div></article><div class='site-footer'>f</div><section class='post-comments'><article>{BODY} {BODY}</article></section>",
+    ],
+)
+def test_pages_keep_their_text(spark, page):
+    rows = pages.main_text(spark.createDataFrame([(1, "http://h.x/1", page)], "page_id long, url string, html string")).collect()
+    assert [(r.text, r.n_chars) for r in rows] == [(BODY, len(BODY))]
+
+
+def test_text_around_a_teaser_stays():
+    found = pages.blocks(f"<main><p>{BODY}</p><article>card</article></main>")
+    assert found == [(pages.ARTICLE, BODY), (pages.ARTICLE, "card")]
+    assert pages.blocks(f"<div><p>{BODY}</p></div><article>card</article>") == [(pages.PLAIN, BODY), (pages.ARTICLE, "card")]
+
+
 def test_host_repeats_decide_unmarked_blocks(spark):
     menu, foot = "Welcome to our great site about many interesting things", "Contact us by mail or phone at any time"
     rows = [(i, f"http://h.x/{i}", f"<body><div>{menu}</div><p>Unique {i} " + " ".join(f"w{i}x{j}" for j in range(30)) + f"</p><p>{foot}</p>", 1) for i in range(5)]
