@@ -18,11 +18,16 @@ with such a place has a matrix of rank one: an entry vector plus an exit vector.
 Words are segmented by dynamic programming, all new words of a slice of texts at once, and
 frequent words come from a bounded cache.
 
+Decoding reads the ids alone. The query decodes every chunk; the chunks of a document are
+decoded in order as one stream, and the length and hash of what comes out stand beside
+those of the source text, which Spark computes from the table.
+
 Null texts count as empty; an empty text has no pieces. Repeated rows get rows each.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from dataclasses import dataclass
@@ -76,6 +81,8 @@ class Vocabulary:
         if any(MARK in p.lstrip(MARK) for p in self.weight):
             raise ValueError("a piece holds a mark after another symbol")
         self.text = [p.replace(MARK, " ") for p in self.pieces]
+        self._is_byte = np.zeros(len(self.pieces), bool)
+        self._is_byte[list(self.byte_of)] = True
         self._tables, left = [], {int(self.hash(np.array([ord(c) for c in p], U64))): i for p, i in self.id.items()}
         for shift in (44, 26, 9, 0):  # each table takes what collided in the one before
             keys, owners, rest = np.zeros(1 << 20, U64), np.full(1 << 20, -1, np.int32), {}
@@ -218,12 +225,13 @@ class Vocabulary:
         self.learn([w for c in cut for w in c])
         return [b"".join([self.cache[w][1] for w in c]) for c in cut]
 
-    def decode(self, ids: list[int], first: bool = True) -> str:
+    def decode(self, ids: list[int] | np.ndarray, first: bool = True) -> str:
         """The text of ids; ``first``: they begin a text, so the mark put in front goes."""
-        if self.byte_of.keys().isdisjoint(ids):
-            out = "".join(map(self.text.__getitem__, ids))
+        ids = np.asarray(ids, np.int64)
+        if self._is_byte[ids].any():
+            out = b"".join(bytes([self.byte_of[i]]) if i in self.byte_of else self.text[i].encode() for i in ids.tolist()).decode()
         else:
-            out = b"".join(bytes([self.byte_of[i]]) if i in self.byte_of else self.text[i].encode() for i in ids).decode()
+            out = "".join(map(self.text.__getitem__, ids.tolist()))
         return out[1:] if first else out
 
 
@@ -347,8 +355,9 @@ def vocabulary(path: str | None) -> Vocabulary:
     return Vocabulary(path or vocabulary_path())
 
 
-_CHUNK = "doc_id long, text_key long, chunk int, opens boolean, own string, ahead string"
-_IDS = "doc_id long, chunk int, n_symbols long, ids array<int>"
+_SOURCE = "text_chars long, text_sha256 string"
+_CHUNK = f"doc_id long, text_key long, chunk int, opens boolean, own string, ahead string, {_SOURCE}"
+_IDS = f"doc_id long, chunk int, n_symbols long, ids array<int>, text_key long, {_SOURCE}"
 
 
 def _mask(text: str) -> str:
@@ -363,17 +372,21 @@ def _unmask(text: str) -> str:
     return re.sub("\U0010fffe(.)", lambda m: "\U0010ffff" if m[1] == "\U0010fffd" else m[1], text, flags=re.S)
 
 
+def _source() -> list:
+    return [F.length("text").cast("long").alias("text_chars"), F.sha2("text", 256).alias("text_sha256")]
+
+
 def chunks(docs: DataFrame, chunk: int = CHUNK, longest: int = 16) -> DataFrame:
     """Chunks of the texts of more than ``chunk`` symbols."""
 
     def run(batches):
         for batch in batches:
             rows = []
-            for doc, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc, key, text, size, sha in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 s = symbols(text)
                 for i, a in enumerate(range(0, len(s), chunk)):
                     opens = a == 0 or (s[a] == MARK and s[a - 1] != MARK)
-                    rows.append((doc, key, i, opens, _mask(s[a : a + chunk]), _mask(s[a + chunk : a + chunk + longest])))
+                    rows.append((doc, key, i, opens, _mask(s[a : a + chunk]), _mask(s[a + chunk : a + chunk + longest]), size, sha))
                     if len(rows) == 256:
                         yield out(rows)
                         rows = []
@@ -381,10 +394,10 @@ def chunks(docs: DataFrame, chunk: int = CHUNK, longest: int = 16) -> DataFrame:
                 yield out(rows)
 
     def out(rows):
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.string(), pa.string()]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.string(), pa.string(), pa.int64(), pa.string()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[f.split()[0] for f in _CHUNK.split(", ")])
 
-    return docs.filter(F.length("text") >= chunk).select("doc_id", F.xxhash64("doc_id", "text").alias("text_key"), "text").mapInArrow(run, _CHUNK)
+    return docs.filter(F.length("text") >= chunk).select("doc_id", F.xxhash64("doc_id", "text").alias("text_key"), "text", *_source()).mapInArrow(run, _CHUNK)
 
 
 def _encode_short(docs: DataFrame, chunk: int, path: str | None) -> DataFrame:
@@ -397,15 +410,21 @@ def _encode_short(docs: DataFrame, chunk: int, path: str | None) -> DataFrame:
                 values = pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32))
                 ends = pa.array(np.concatenate(([0], np.cumsum([len(b) // 4 for b in ids]))).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, len(part)), pa.array([0] * len(part), pa.int32()), pa.array([len(t) + 1 if t else 0 for t in part], pa.int64()), pa.ListArray.from_arrays(ends, values)],
-                    names=["doc_id", "chunk", "n_symbols", "ids"],
+                    [batch.column(0).slice(a, len(part)), pa.array([0] * len(part), pa.int32()), pa.array([len(t) + 1 if t else 0 for t in part], pa.int64()), pa.ListArray.from_arrays(ends, values), pa.nulls(len(part), pa.int64()), *(batch.column(i).slice(a, len(part)) for i in (2, 3))],
+                    names=["doc_id", "chunk", "n_symbols", "ids", "text_key", "text_chars", "text_sha256"],
                 )
 
-    return docs.filter(F.length("text") < chunk).select("doc_id", "text").mapInArrow(run, _IDS)
+    return docs.filter(F.length("text") < chunk).select("doc_id", "text", *_source()).mapInArrow(run, _IDS)
 
 
 def encode(docs: DataFrame, chunk: int = CHUNK, path: str | None = None) -> DataFrame:
-    """Ids of each row of ``docs(doc_id, text)``, one row per chunk: doc_id, chunk, n_symbols, ids (the pieces that start in it)."""
+    """Ids of each row of ``docs(doc_id, text)``, one row per chunk: doc_id, chunk, n_symbols, ids (the pieces that start in it), text_key (of texts that are cut), and length and hash of the document's source text."""
+    short, long = _encoded(docs, chunk, path)
+    return short.unionByName(long)
+
+
+def _encoded(docs: DataFrame, chunk: int, path: str | None) -> tuple[DataFrame, DataFrame]:
+    """``encode`` of the texts that are one chunk, and of those that are cut."""
     given = docs.selectExpr("cast(doc_id as long) doc_id", "coalesce(cast(text as string), '') text")
     parts = materialise(chunks(given, chunk))
 
@@ -428,44 +447,69 @@ def encode(docs: DataFrame, chunk: int = CHUNK, path: str | None = None) -> Data
         v = vocabulary(path)
         for batch in batches:
             for start in range(0, len(batch), 32):
-                docs_, numbers, opens, own, ahead, a, b = (c.to_pylist() for c in batch.slice(start, 32).columns)
+                part = batch.slice(start, 32)
+                docs_, numbers, opens, own, ahead, a, b = (c.to_pylist() for c in part.columns[:7])
                 own = [_unmask(o) for o in own]
                 cuts = [cut_chunk(o, _unmask(x), y) for o, x, y in zip(own, ahead, opens, strict=True)]
                 ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in traces(v, cuts, list(zip(a, b, strict=True)))]
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int32())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((docs_, numbers, [len(o) for o in own], ids), kinds, strict=True)], names=["doc_id", "chunk", "n_symbols", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((docs_, numbers, [len(o) for o in own], ids), kinds, strict=True)] + part.columns[7:], names=["doc_id", "chunk", "n_symbols", "ids", "text_key", "text_chars", "text_sha256"])
 
     one = parts.dropDuplicates(["text_key", "chunk"]).select("text_key", "chunk", "opens", "own", "ahead")
     cuts = one.mapInArrow(matrices, "text_key long, chunk int, matrix binary").groupBy("text_key").applyInPandas(join, "text_key long, chunk int, entry int, exit int")
-    long = parts.join(materialise(cuts), ["text_key", "chunk"]).select("doc_id", "chunk", "opens", "own", "ahead", "entry", "exit")
-    return _encode_short(given, chunk, path).unionByName(long.mapInArrow(trace, _IDS))
+    long = parts.join(materialise(cuts), ["text_key", "chunk"]).select("doc_id", "chunk", "opens", "own", "ahead", "entry", "exit", "text_key", "text_chars", "text_sha256")
+    return _encode_short(given, chunk, path), long.mapInArrow(trace, _IDS)
 
 
-_DIGEST = "doc_id long, chunk int, n_symbols long, n_ids long, ids_crc32 long, decoded_symbols long"
+_DIGEST = f"doc_id long, chunk int, n_symbols long, n_ids long, ids_crc32 long, decoded_symbols long, text_key long, {_SOURCE}, decoded_chars long, decoded_sha256 string"
 
 
 def digest(encoded: DataFrame, path: str | None = None) -> DataFrame:
-    """Per chunk: symbols, ids, the ids' CRC, and the symbols that decoding the ids gives back."""
+    """Per chunk: symbols, ids, the ids' CRC, the symbols, length and hash of the text that decoding the ids gives back; length and hash of the document's source text."""
 
     def run(batches):
         v = vocabulary(path)
         for batch in batches:
-            crc, back, n = [], [], []
-            for ids in batch.column(3):
+            crc, back, n, chars, sha = [], [], [], [], []
+            for chunk, ids in zip(batch.column(1).to_pylist(), batch.column(3), strict=True):
                 x = np.asarray(ids.values)
                 crc.append(zlib.crc32(x.astype("<u4").tobytes()))
-                back.append(_symbols_of(v, x))
+                text = v.decode(x, chunk == 0)
+                back.append(len(text) + (chunk == 0 and len(x) > 0))
                 n.append(len(x))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(c, pa.int64()) for c in (n, crc, back))], names=[f.split()[0] for f in _DIGEST.split(", ")])
+                chars.append(len(text))
+                sha.append(hashlib.sha256(text.encode()).hexdigest())
+            columns = [*batch.columns[:3], *(pa.array(c, pa.int64()) for c in (n, crc, back)), *batch.columns[4:], pa.array(chars, pa.int64()), pa.array(sha, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in _DIGEST.split(", ")])
 
     return encoded.mapInArrow(run, _DIGEST)
 
 
-def _symbols_of(v: Vocabulary, ids: np.ndarray) -> int:
-    """Symbols spelled by ids: code points of pieces, and lead bytes among byte pieces."""
-    if not hasattr(v, "_spelled"):
-        v._spelled = np.array([(v.byte_of[i] & 0xC0 != 0x80) if i in v.byte_of else len(p) for i, p in enumerate(v.pieces)])
-    return int(v._spelled[ids].sum())
+def decoded_whole(encoded: DataFrame, path: str | None = None) -> DataFrame:
+    """(text_key, decoded_chars, decoded_sha256) of every cut text: its chunks are decoded in order, one held at a time."""
+
+    def run(batches):
+        v = vocabulary(path)
+        key, chars, sha = None, 0, None
+        for batch in batches:
+            keys, sizes, shas = [], [], []
+            for k, chunk, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                if k != key:
+                    if key is not None:
+                        keys, sizes, shas = [*keys, key], [*sizes, chars], [*shas, sha.hexdigest()]
+                    key, chars, sha = k, 0, hashlib.sha256()
+                text = v.decode(np.asarray(ids.values), chunk == 0)
+                chars += len(text)
+                sha.update(text.encode())
+            yield out(keys, sizes, shas)
+        if key is not None:
+            yield out([key], [chars], [sha.hexdigest()])
+
+    def out(keys, sizes, shas):
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(shas, pa.string())], names=["text_key", "decoded_chars", "decoded_sha256"])
+
+    one = encoded.select("text_key", "chunk", "ids").dropDuplicates(["text_key", "chunk"])
+    return one.repartition("text_key").sortWithinPartitions("text_key", "chunk").mapInArrow(run, "text_key long, decoded_chars long, decoded_sha256 string")
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -480,5 +524,13 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     return encoded.mapInArrow(run, "doc_id long, chunk int, text string")
 
 
+def encoded_and_decoded(docs: DataFrame, chunk: int = CHUNK, path: str | None = None) -> DataFrame:
+    """``digest`` of each chunk of ``docs``; length and hash of the decoded text are the document's, as those of the source text are."""
+    short, long = _encoded(docs, chunk, path)
+    long = materialise(long)
+    whole = digest(long, path).drop("decoded_chars", "decoded_sha256").join(decoded_whole(long, path), "text_key", "left")
+    return digest(short, path).unionByName(whole).drop("text_key")
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest(encode(table(spark, sf_dir, "documents")))
+    return encoded_and_decoded(table(spark, sf_dir, "documents"))

@@ -159,6 +159,23 @@ def test_pieces_round_trip(spark):
     assert sum(r.n_symbols for r in rows) == sum(r.decoded_symbols for r in rows) == sum(len(t) + 1 for t in texts if t)
 
 
+def test_decoded_texts_stand_beside_their_sources(spark):
+    texts = [None, "", " ", "a", "▁ x  y ", "wörd " * 3000, "z" * 9_000, "\U0010ffff 漢字 \U0001f600 " * 1500, "wörd " * 3000]
+    rows = [(None if i == 7 else i % 8, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame([*rows, rows[5], rows[5]], "doc_id long, text string")
+    got = sp_scan.encoded_and_decoded(df, chunk=4096).collect()
+    assert {(r.doc_id, r.text_chars, r.text_sha256) for r in got} == {(i, len(t or ""), hashlib.sha256((t or "").encode()).hexdigest()) for i, t in rows}
+    assert all((r.decoded_chars, r.decoded_sha256) == (r.text_chars, r.text_sha256) for r in got)
+    assert len([r for r in got if r.doc_id == 5]) == 12 and len({r.chunk for r in got if r.doc_id is None}) > 1
+
+
+def test_decoding_is_seen_in_the_query(spark, data):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
+    for r in sp_scan.op8_sentencepiece(spark, data).collect():
+        t = texts[r.doc_id]
+        assert r.decoded_chars == r.text_chars == len(t) and r.decoded_sha256 == r.text_sha256 == hashlib.sha256(t.encode()).hexdigest()
+
+
 def test_word_by_word_ids_are_the_vocabularys():
     from tokenizers import Tokenizer
 
