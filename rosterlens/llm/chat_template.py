@@ -432,6 +432,13 @@ class Reader:
         self.loss.update(loss.encode())
         self.loss_chars += len(loss)
 
+    def frame(self, pieces: list[tuple[str, bool]]) -> None:
+        """What a template writes before or after its messages: it counts, but holds no turns."""
+        self.chars += sum(len(p) for p, _ in pieces)
+        loss = self.unescape("".join(p for p, mask in pieces if mask))
+        self.loss.update(loss.encode())
+        self.loss_chars += len(loss)
+
     def row(self, conv) -> tuple:
         return conv, self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars
 
@@ -456,20 +463,30 @@ def digests(conversations: DataFrame, source: str = TEMPLATE, controls=CONTROLS)
 
     def each(compiled, rows):
         reader, conv, index, names, out = None, None, 0, {}, []
+
+        def ended():
+            pieces: list = []
+            compiled.finish(names, pieces)
+            reader.frame(pieces)
+            return reader.row(conv)
+
         for c, role, text in rows:
             if reader is None or c != conv:
                 if reader is not None:
-                    out.append(reader.row(conv))
+                    out.append(ended())
                     if len(out) == 4096:
                         yield out
                         out = []
                 reader, conv, index, names = Reader(compiled.unescape), c, 0, {}
+                head: list = []
+                compiled.start(names, head)
+                reader.frame(head)
             pieces: list = []
             compiled.message(names, {"role": role, "text": text}, index, pieces)
             reader.feed(pieces)
             index += 1
         if reader is not None:
-            out.append(reader.row(conv))
+            out.append(ended())
         if out:
             yield out
 
@@ -485,23 +502,33 @@ _PIECE = "conv_id long, turn_index long, text string, loss array<struct<start:in
 
 
 def formatted(conversations: DataFrame, source: str = TEMPLATE, controls=CONTROLS) -> DataFrame:
-    """The formatted text of every message in order (joined, that of the conversation), with the spans under the loss mask in code points."""
+    """The formatted text of every message in order (joined, that of the conversation), with the spans under the loss mask in code points; the template's head is of the first message, its tail of the last."""
 
     def each(compiled, rows):
-        conv, index, names = None, -1, {}
-        for c, role, text in rows:
-            pieces: list = []
-            if index < 0 or c != conv:
-                conv, index, names = c, 0, {}
-                compiled.start(names, pieces)
-            compiled.message(names, {"role": role, "text": text}, index, pieces)
+        conv, index, names, pieces = None, -1, {}, []
+
+        def row():
             at, spans = 0, []
             for p, mask in pieces:
                 if mask:
                     spans.append({"start": at, "end": at + len(p)})
                 at += len(p)
-            yield c, index, "".join(p for p, _ in pieces), spans
-            index += 1
+            return conv, index, "".join(p for p, _ in pieces), spans
+
+        for c, role, text in rows:
+            if index >= 0 and c == conv:
+                yield row()
+                index, pieces = index + 1, []
+            else:
+                if index >= 0:
+                    compiled.finish(names, pieces)
+                    yield row()
+                conv, index, names, pieces = c, 0, {}, []
+                compiled.start(names, pieces)
+            compiled.message(names, {"role": role, "text": text}, index, pieces)
+        if index >= 0:
+            compiled.finish(names, pieces)
+            yield row()
 
     def run(batches):
         rows: list = []

@@ -125,6 +125,19 @@ def test_odd_conversations(spark):
     assert chat.digests(df.limit(0)).count() == 0
 
 
+def test_head_and_tail_of_a_template(spark):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (2, 0, "assistant", "b"), (None, 0, "user", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    source = "<head>" + chat.TEMPLATE + "<tail>"
+    want = {c: "".join(p for p, _ in chat.Compiled(source).render([{"role": r, "text": t} for i, _, r, t in rows if i == c])) for c in (1, 2, None)}
+    got = {}
+    for r in sorted(chat.formatted(df, source).collect(), key=lambda r: r.turn_index):
+        got[r.conv_id] = got.get(r.conv_id, "") + r.text
+        assert [r.text[s.start : s.end] for s in r.loss] == {(1, 1): ["a"], (2, 0): ["b"]}.get((r.conv_id, r.turn_index), [])
+    assert got == want and all(t.startswith("<head>") and t.endswith("<tail>") for t in got.values())
+    assert {r.conv_id: r.formatted_chars for r in chat.digests(df, source).collect()} == {c: len(t) for c, t in want.items()}
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     return sp_scan.Vocabulary(sp_scan.vocabulary_path())
