@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,20 +16,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _TEMPORARY: dict[str, str] = {}
+_WRITTEN: WeakKeyDictionary = WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder of the application only where it is unset.
-
-    The fallback is for single-machine tests: a cluster names its shared folder.
-    """
+    """``spark.checkpoint.dir`` of the session; where it is unset, a temporary folder in local mode and an error on a cluster."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = _TEMPORARY.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="rosterlens-"))
     return path.rstrip("/")
 
 
-def materialise(df: DataFrame, partitions: int | None = None) -> DataFrame:
+def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` as parquet in the shared folder and read it back.
 
     Later jobs then start from files every executor can read, so a lost executor
@@ -35,5 +37,17 @@ def materialise(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
-    (df.coalesce(partitions) if partitions else df).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialise`` wrote and that nothing reads any more; others are left alone."""
+    for df in tables:
+        path = _WRITTEN.pop(df, None)
+        if path:
+            context = df.sparkSession.sparkContext
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

@@ -81,11 +81,19 @@ def test_near_duplicate_edges_of_the_contract(spark):
     assert len(rows) == len(texts)
     got = {x.doc_id: x.class_id for x in rows}
     assert got[1] == got[2] == got[3] == 1 and got[4] == 4 and got[5] == 5 and got[8] == 8 and got[9] == 9
-    null = next(x for x in rows if x.doc_id < 0)
-    assert got[6] == got[7] == null.class_id
+    null = next(x for x in rows if x.doc_id is None)
+    assert got[6] == got[7] == null.class_id == 6 and not null.kept
     assert dm.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_rows_of_one_id_are_documents_of_their_own(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, b), (5, a), (5, b), (None, a + " x"), (None, "p q"), (None, "p q r"), (7, "p q r")]
+    got = {(x.doc_id, x.text_key): (x.class_id, x.kept) for x in dm.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    key = {t: k for t, k in spark.createDataFrame(rows, "doc_id long, text string").selectExpr("text", "xxhash64(text)").collect()}
+    assert got == {(1, key[b]): (1, True), (5, key[a]): (5, True), (5, key[b]): (1, False), (None, key[a + " x"]): (5, False), (None, key["p q"]): (None, True), (None, key["p q r"]): (7, False), (7, key["p q r"]): (7, True)}
+
+
 def test_large_star_is_cut_into_blocks(spark, monkeypatch):
     """A chain of texts, each similar to the next only, split over several blocks, is one class."""
     r = random.Random(7)
@@ -101,6 +109,27 @@ def test_large_star_is_cut_into_blocks(spark, monkeypatch):
     assert {x.doc_id: x.class_id for x in dm.near_duplicates(df).collect()} == near_brute(dict(enumerate(texts)))
 
 
+def test_links_of_a_star_against_brute_force(spark):
+    """Centre, settled and loose members in several blocks: the forest has the classes of all pairs."""
+    r = random.Random(11)
+    families = []
+    for _ in range(5):
+        base = [f"w{r.randrange(10**6)}" for _ in range(80)]
+        families += [base] + [[w if r.random() > p else "q" for w in base] for p in (0.01, 0.02, 0.04, 0.04, 0.08) for _ in range(4)]
+    texts = [" ".join(f) for f in families]
+    (_, _, data, off), *_ = slices(pa.array(texts))
+    doc, key = dm.cells(Words(data, off))
+    sig = (dm.mix(dm.signatures(doc, key, len(texts))) & np.uint64(255)).astype(np.uint8)
+    rows = [(i, bytearray(sig[i].tobytes()), bytearray(np.sort(key[doc == i]).tobytes())) for i in range(len(texts))]
+    sets = spark.createDataFrame(rows, "id long, signature binary, regions binary")
+    star = spark.createDataFrame([(0, i) for i in range(1, len(texts))], "a long, b long")
+    found = [(x.a, x.b) for x in dm.links(sets, star, 0.8, block=7).collect()]
+    own = [shingles(t) for t in texts]
+    linked = [(a, b) for b in range(len(texts)) for a in range(b) if sum((own[a] & own[b]).values()) >= 0.8 * sum((own[a] | own[b]).values())]
+    assert set(found) <= {(min(e), max(e)) for e in linked} | {(max(e), min(e)) for e in linked} and classes(range(len(texts)), found) == classes(range(len(texts)), linked)
+    assert len(set(classes(range(len(texts)), linked).values())) > 6
+
+
 def vectors(seed=1, n=700, dims=16):
     r = np.random.default_rng(seed)
     centres = r.normal(size=(60, dims))
