@@ -67,6 +67,58 @@ def test_host_repeats_decide_unmarked_blocks(spark):
     assert pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string, text int").limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("batch", ["10000", "3"])
+def test_suffix_array_against_brute_force(spark, batch):
+    """Longest repeats of at least 3 (up to 6) tokens on 2 or 3 distinct pages of a host, for any cut of a shard into batches."""
+    r = random.Random(5)
+    texts = []
+    for page in range(40):
+        t = [r.randrange(1, 5) for _ in range(r.randrange(0, 30))]
+        texts.append((page % 3, page, t))
+    texts += [(0, 100 + i, [9, 9, 9, 9, 8, 8, 8]) for i in range(3)] + [(1, 200, [7] * 40)]
+    streams = spark.createDataFrame([(h, c, bytearray(np.array(t, np.uint32).tobytes())) for h, c, t in texts], "host long, content long, tokens binary")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        for least in (2, 3):
+            got = {}
+            for row in pages.suffix_array(streams, 3, 6, least).collect():
+                key = np.frombuffer(row.key, ">u4")
+                got[int(key[1]), tuple(int(x) for x in key[2:] if x)] = row.length
+            held = {}
+            for h, c, t in texts:
+                for i in range(len(t)):
+                    for n in range(3, min(6, len(t) - i) + 1):
+                        held.setdefault((h, tuple(t[i : i + n])), set()).add(c)
+            want = {}
+            for h, c, t in texts:
+                for i in range(len(t) - 2):
+                    best = max((n for n in range(3, min(6, len(t) - i) + 1) if len(held[h, tuple(t[i : i + n])]) >= least), default=0)
+                    if best:
+                        want[h, tuple(t[i : i + 6])] = best
+            assert got == want and len(want) > 100
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_names_and_elements_that_look_like_others():
+    def kept(page):
+        return [t for r, t in pages.blocks(page) if r != pages.CHROME]
+
+    assert kept(f"<article-card>x</article-card><main>{BODY}</main>") == [BODY]
+    assert kept(f"<article><section class='commentary'>a</section><p class='navy'>b</p><div class='legal'>c</div><p>{BODY}</p></article>") == ["a", "b", "c", BODY]
+    assert kept(f"<article>{BODY}<p>x <math><mi>y</mi></math> <label>l</label> <object>o</object><canvas>z</canvas></p></article>") == [BODY, "x y l oz"]
+    assert kept(f"<article>{BODY}<form><label>name</label></form><div class='comments'>c</div><div class='advert'>d</div></article>") == [BODY]
+    assert kept(f"<div class='legal'>c</div><article>{BODY}</article>") == [BODY]
+
+
+def test_very_long_pages(spark):
+    """A page of 100,000 unmarked words and copies of a passage on three pages of its host."""
+    passage = " ".join(f"p{i}" for i in range(50))
+    rows = [(i, f"http://h.x/{i}", f"<div>{passage}</div><p>" + " ".join(f"u{i}x{j}" for j in range(100_000 if i == 0 else 20)) + "</p>") for i in range(3)]
+    got = {r.page_id: r.text for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got[0].split()) == 100_000 and all("p1 " not in t for t in got.values())
+
+
 def test_pages_table(spark, data):
     import html as entities
     import re
