@@ -4,12 +4,15 @@ Every document becomes its token ids and an end id. Whole windows are cut off it
 front; the remainder is an item of size 1..window-1, which goes to the fill level that
 leaves the sum of squared counts of partially filled windows smallest (level 0 opens a
 window). The counts are one array indexed by level. Each input partition packs its own
-stream, in file order, so nothing is shuffled; when a stream ends, the windows still
-open are refilled end to end, and what is left over is cut at powers of two, which need
-no padding.
+stream, in file order, so nothing is shuffled. When a stream ends, every window still open
+keeps what lies in it and is filled from the emptiest ones, whose pieces are cut where a
+window is full; so what moves is as much as the open windows had room for. What is left
+over at last is cut at powers of two, which need no padding.
 
 Null and empty texts hold the end id alone. Repeated rows and repeated doc_ids are
-packed as rows of their own; a null doc_id stays null. Extra columns are ignored.
+packed as rows of their own; a null doc_id stays null. Extra columns, whatever their
+names, are not read; an empty table gives no rows. A very long text is cut into whole
+windows as it comes; ties between levels go to the fullest window.
 """
 
 from __future__ import annotations
@@ -129,9 +132,9 @@ class SumOfSquares:
         self.open[level + size].append(at)
         return None
 
-    def left(self) -> list:
-        """Pieces of the windows that stay open, fullest window first."""
-        return [p for level in range(self.window - 1, 0, -1) for at in self.open[level] for p in self.inside[at]]
+    def left(self) -> list[tuple[int, int]]:
+        """(window, level) of the windows that stay open, fullest first."""
+        return [(at, level) for level in range(self.window - 1, 0, -1) for at in self.open[level]]
 
 
 def _row(doc, start, ids, total, window, offset):
@@ -159,13 +162,34 @@ def pack_stream(docs: Iterator[tuple[int, bytes]], window: int) -> Iterator[tupl
                 yield from closed(*done)
 
     rest = bins.left()
-    tokens = sum(len(p[2]) for p in rest) // 4
+    giving: list = []  # pieces of the window that is taken apart, the last one first
+    i, j = 0, len(rest)
+    while i < j:
+        at, level = rest[i]
+        i += 1
+        own, room = bins.inside[at], window - level
+        while room and (giving or i < j):
+            if not giving:
+                j -= 1
+                giving = bins.inside[rest[j][0]][::-1]
+            doc, start, ids, total = giving.pop()
+            take = min(room, len(ids) // 4)
+            own.append((doc, start, ids[: 4 * take], total))
+            if len(ids) > 4 * take:
+                giving.append((doc, start + take, ids[4 * take :], total))
+            room -= take
+        if not room:
+            yield from closed(at, own)
+        else:
+            giving = own[::-1]
+    tokens = sum(len(p[2]) for p in giving) // 4
     room, at, offset = 0, None, 0
-    for doc, start, ids, total in rest:
+    while giving:
+        doc, start, ids, total = giving.pop()
         while ids:
-            if not room:  # a whole window, or the largest power of two that can still be filled
+            if not room:  # the largest power of two that can still be filled
                 at, offset = bins.new(), 0
-                room = window if tokens >= window else 1 << (tokens.bit_length() - 1)
+                room = 1 << (tokens.bit_length() - 1)
             take = min(room, len(ids) // 4)
             yield _row(doc, start, ids[: 4 * take], total, at, offset)
             ids, start, offset, room, tokens = ids[4 * take :], start + take, offset + take, room - take, tokens - take
