@@ -13,8 +13,12 @@ intervals gives link counts and, by union-find, one edge for each linked vector
 smallest vector it reaches in the pair, so that dense groups send no list of pairs.
 
 Vectors that are null, empty, zero, or hold null or non-finite components, and rows with a
-null label or vec_id, link with nothing. Vectors of different length never link. Repeated
-rows are equal vectors: each row counts as another vector.
+null label or vec_id, link with nothing. Others are divided by their largest magnitude
+before their length is taken, so the smallest and largest doubles link like any others.
+Labels of any type are equal if they are equal as text. Vectors of different length never
+link; the axes are those of the first 1024 components, so one wide vector costs itself
+only. Repeated rows are equal vectors: each row counts as another vector. Other columns,
+whatever their names, are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,10 +34,11 @@ from .components import components
 from .store import materialise, table
 from .vectors import matrix, rows_of
 
-BLOCK = 1024
-LEAF = 128
+BLOCK = 4096
+LEAF = 256
 AXES = 4  # of the grid
 BOX = 12  # of the boxes
+WIDEST = 1024  # components that the axes are taken from
 
 
 def _unit_rows(vectors: DataFrame) -> DataFrame:
@@ -44,21 +49,25 @@ def _unit_rows(vectors: DataFrame) -> DataFrame:
             values, off, ok = rows_of(batch.column(2))
             ok &= ~np.asarray(batch.column(0).is_null()) & ~np.asarray(batch.column(1).is_null())
             raw = [np.ascontiguousarray(values[a:b]).tobytes() if good else None for a, b, good in zip(off, off[1:], ok)]
-            keys = [None if r is None else hashlib.blake2b(r, digest_size=16, salt=str(y).encode()[:16]).digest() for r, y in zip(raw, batch.column(1).to_pylist(), strict=True)]
+            keys = [None if r is None else hashlib.blake2b(r, digest_size=16, key=hashlib.blake2b(y.encode()).digest()).digest() for r, y in zip(raw, batch.column(1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(raw, pa.binary())], names=["vec_id", "label", "key", "vec"])
 
-    return vectors.selectExpr("cast(vec_id as long) vec_id", "cast(label as long) label", "cast(embedding as array<double>) embedding").mapInArrow(run, "vec_id long, label long, key binary, vec binary")
+    return vectors.selectExpr("cast(vec_id as long) vec_id", "cast(label as string) label", "cast(embedding as array<double>) embedding").mapInArrow(run, "vec_id long, label string, key binary, vec binary")
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def _axes(nodes: DataFrame, size: int) -> np.ndarray:
-    """Principal axes, strongest first, from sums of products over all vectors (size^2 numbers reach the driver)."""
+    """Principal axes of the first ``size`` components, strongest first, from sums of products over all vectors (size^2 numbers reach the driver)."""
 
     def run(batches):
         total = np.zeros((size + 1, size))
         for batch in batches:
             for rows in _same_length(batch.column(0).to_pylist()).values():
-                x = matrix([r for _, r in rows])
-                x = x / np.linalg.norm(x, axis=1, keepdims=True)
+                x = _unit(matrix([r for _, r in rows]))[:, :size]
                 total[: x.shape[1], : x.shape[1]] += x.T @ x
                 total[size, : x.shape[1]] += x.sum(axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size + 1)), pa.array(total.tolist(), pa.list_(pa.float64()))], names=["i", "v"])
@@ -67,7 +76,7 @@ def _axes(nodes: DataFrame, size: int) -> np.ndarray:
     out = np.zeros((size + 1, size))
     for r in sums.groupBy("i", "j").agg(F.sum("v").alias("v")).collect():
         out[r["i"], r["j"]] = r["v"]
-    n = max(1.0, float(np.trace(out[:size])))  # unit vectors: the trace counts them
+    n = max(1.0, float(np.trace(out[:size])))  # about the number of vectors, as they are of length 1
     mean = out[size] / n
     _, axes = np.linalg.eigh(out[:size] / n - np.outer(mean, mean))
     return axes[:, ::-1]
@@ -80,11 +89,12 @@ def _same_length(raw: list[bytes]) -> dict[int, list[tuple[int, bytes]]]:
     return out
 
 
-def _turned(x: np.ndarray, axes: np.ndarray, n: int) -> np.ndarray:
-    return (x / np.linalg.norm(x, axis=1, keepdims=True)) @ axes[: x.shape[1], :n]
+def _turned(unit: np.ndarray, axes: np.ndarray, n: int) -> np.ndarray:
+    """Places of unit vectors on the leading axes; distances there are no larger than those of the vectors."""
+    return unit[:, : len(axes)] @ axes[: unit.shape[1], :n]
 
 
-_BLOCK = "label long, width int, block long, low array<double>, high array<double>, ids binary, times binary, vecs binary"
+_BLOCK = "label string, width int, block long, low array<double>, high array<double>, ids binary, times binary, vecs binary"
 
 
 def _blocks(nodes: DataFrame, axes: np.ndarray, eps: float, most: int) -> DataFrame:
@@ -97,7 +107,7 @@ def _blocks(nodes: DataFrame, axes: np.ndarray, eps: float, most: int) -> DataFr
             grid = np.zeros((len(raw), dims), np.int64)
             for rows in _same_length(raw).values():
                 at = [i for i, _ in rows]
-                y = _turned(matrix([r for _, r in rows]), axes, dims)
+                y = _turned(_unit(matrix([r for _, r in rows])), axes, dims)
                 grid[at, : y.shape[1]] = np.floor(y / eps)
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(grid[:, i]) for i in range(dims))], names=["id", "label", "times", "vec", *(f"c{i}" for i in range(dims))])
 
@@ -111,12 +121,12 @@ def _blocks(nodes: DataFrame, axes: np.ndarray, eps: float, most: int) -> DataFr
         def block():
             nonlocal number
             x = matrix([h[2] for h in held])
-            y = _turned(x, axes, BOX)
+            y = _turned(_unit(x), axes, BOX)
             number += 1
             return [key[0], key[1], number - 1, y.min(axis=0).tolist(), y.max(axis=0).tolist(), np.asarray([h[0] for h in held], np.int64).tobytes(), np.asarray([h[1] for h in held], np.int64).tobytes(), x.tobytes()]
 
         def out(rows):
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.binary(), pa.binary(), pa.binary()]
+            kinds = [pa.string(), pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.binary(), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[f.split()[0] for f in _BLOCK.split(", ")])
 
         for batch in batches:
@@ -133,7 +143,7 @@ def _blocks(nodes: DataFrame, axes: np.ndarray, eps: float, most: int) -> DataFr
             yield out([block()])
 
     order = ["label", F.length("vec"), *(f"c{i}" for i in range(dims)), "id"]
-    kinds = "id long, label long, times long, vec binary, " + ", ".join(f"c{i} long" for i in range(dims))
+    kinds = "id long, label string, times long, vec binary, " + ", ".join(f"c{i} long" for i in range(dims))
     ordered = nodes.select("id", "label", "times", "vec").mapInArrow(cells, kinds).repartitionByRange(*order).sortWithinPartitions(*order)
     return materialise(ordered.select("id", "label", "times", "vec").mapInArrow(cut, _BLOCK))
 
@@ -185,9 +195,9 @@ def _linked(pairs: DataFrame, axes: np.ndarray, cosine: float, eps: float) -> Da
                 ia, ib = np.frombuffer(ia, np.int64), np.frombuffer(ib, np.int64)
                 ta, tb = np.frombuffer(ta, np.int64), np.frombuffer(tb, np.int64)
                 x, y = np.frombuffer(va).reshape(len(ia), -1), np.frombuffer(vb).reshape(len(ib), -1)
-                x, y = x / np.linalg.norm(x, axis=1, keepdims=True), y / np.linalg.norm(y, axis=1, keepdims=True)
+                x, y = _unit(x), _unit(y)
                 found: list = []
-                _meet(x, y, slice(0, len(x)), slice(0, len(y)), x @ axes[: x.shape[1], :BOX], y @ axes[: y.shape[1], :BOX], cosine, eps, found)
+                _meet(x, y, slice(0, len(x)), slice(0, len(y)), _turned(x, axes, BOX), _turned(y, axes, BOX), cosine, eps, found)
                 if not found:
                     continue
                 i, j = (np.concatenate(c) for c in zip(*found, strict=True))
@@ -218,7 +228,7 @@ def similar(vectors: DataFrame, cosine: float = 0.93, block: int = BLOCK) -> Dat
     size = nodes.agg(F.max(F.length("vec"))).first()[0]
     if size is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    axes = _axes(nodes, size // 8)
+    axes = _axes(nodes, min(WIDEST, size // 8))
     blocks = _blocks(nodes, axes, eps, block)
     pairs = _pairs(blocks, eps)
     data = blocks.select("block", "ids", "times", "vecs")

@@ -158,6 +158,12 @@ def test_vector_links(spark):
     assert ego_join.similar(df.limit(0)).count() == 0
 
 
+def test_links_of_extreme_vectors_and_labels(spark):
+    rows = [(1, [1e-200, 2e-200], "a"), (2, [1e-200, 2.0000001e-200], "a"), (3, [1e200, 2e200], "a"), (4, [5e-324, 1e-323], "b"), (5, [1.0, 2.0], "b"), (6, [1.0, 2.0], "a.5"), (7, [float(i % 7 + 1) for i in range(5000)], "a"), (8, [float(i % 7 + 1) * 2 for i in range(5000)], "a")]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in ego_join.similar(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (1, 4), 5: (1, 4), 6: (0, 6), 7: (1, 7), 8: (1, 7)}
+
+
 def test_nearest_neighbours(spark, data):
     rows = vectors(2, 1200)
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
@@ -178,6 +184,19 @@ def test_nearest_neighbours(spark, data):
     assert additive_quant.nearest(df.limit(0)).count() == 0
 
 
+def test_nearest_of_other_lengths_repeats_and_clashing_columns(spark):
+    rows = [(i, [float(i), 1.0], 0.5) for i in range(1, 41)] + [(i, [float(i), 1.0, 2.0], 0.5) for i in range(100, 109)] + [(20, [5.0, 5.0], 0.5), (20, [5.0, 5.0, 5.0], 0.5), (200, [3.0], 0.5)]
+    got = {}
+    for r in additive_quant.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>, score double"), k=3).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    twenty = min(np.array(v).tobytes() for i, v, _ in rows if i == 20 and len(v) == 2)
+    q = np.frombuffer(twenty)
+    want = sorted((-float(q @ np.array(v)), i) for i, v, _ in rows if i < 41 and i != 20 and len(v) == 2)[:3]
+    assert sorted(got[20]) == [(k + 1, i, -s) for k, (s, i) in enumerate(want)]
+    assert sorted(got[100]) == [(1, 108, 10805.0), (2, 107, 10705.0), (3, 106, 10605.0)] and 200 not in got
+    assert {i for x in got[40] for i in x[1:2]} == {39, 38, 37}
+
+
 def test_recall_of_the_table(spark, data):
     rows = spark.read.parquet(f"{data}/embeddings.parquet").collect()
     ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
