@@ -16,8 +16,11 @@ groups are merged. Equal vectors count once in a shortlist and come back with th
 smallest ids.
 
 Rows that are null, empty, zero, or hold null or non-finite components take no part, nor
-do rows without vec_id or whose vectors are not of the most frequent length. Rows that
-repeat a vec_id count once (equal vectors: the same row).
+do rows without vec_id. Inner products exist between vectors of one length only: those of
+the most frequent length are indexed, those of any other are scored exactly within their
+length. Rows that repeat a vec_id count once: with different vectors, that of the most
+frequent length, then the one with the smallest bytes counts, as query and as candidate.
+Other columns, whatever their names, are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -98,7 +101,7 @@ def fit(x: np.ndarray, books: int = BOOKS, words: int = WORDS, refits: int = 2,
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, vec) of rows that take part, once each; ``vec`` holds the components as doubles."""
+    """(vec_id, vec) of rows that take part; ``vec`` holds the components as doubles."""
 
     def run(batches):
         for batch in batches:
@@ -107,16 +110,14 @@ def usable(vectors: DataFrame) -> DataFrame:
             at = np.flatnonzero(ok)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array([np.ascontiguousarray(values[off[i] : off[i + 1]]).tobytes() for i in at], pa.binary())], names=["vec_id", "vec"])
 
-    rows = materialise(vectors.selectExpr("cast(vec_id as long) vec_id", "cast(embedding as array<double>) embedding").mapInArrow(run, "vec_id long, vec binary"))
-    size = rows.groupBy(F.length("vec").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.filter(F.length("vec") == (size["n"] if size else 0))
+    return vectors.selectExpr("cast(vec_id as long) vec_id", "cast(embedding as array<double>) embedding").mapInArrow(run, "vec_id long, vec binary")
 
 
-_INDEX = "part int, ids binary, codes binary, norms binary, vecs binary"
+_INDEX = "part long, ids binary, codes binary, norms binary, vecs binary"
 
 
-def index(rows: DataFrame, books: Books, parts: int) -> DataFrame:
-    """One row per group: ids, codes, stored norm corrections and vectors of all its rows, equal vectors side by side."""
+def index(rows: DataFrame, books: Books | None, parts: int) -> DataFrame:
+    """One row per group: ids, codes, stored norm corrections and vectors of all its rows, equal vectors side by side. Without books, groups are of one length and hold no codes."""
     shared = rows.sparkSession.sparkContext.broadcast(books)
 
     def run(batches):
@@ -134,66 +135,78 @@ def index(rows: DataFrame, books: Books, parts: int) -> DataFrame:
     def out(part, rows_):
         order = sorted(rows_, key=lambda i: (rows_[i], i))
         x = matrix([rows_[i] for i in order])
-        codes = shared.value.encode(x)
-        near = np.linalg.norm(shared.value.decode(codes), axis=1)
-        scale = np.linalg.norm(x, axis=1) / np.where(near > 0, near, 1)
-        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *(pa.array([b.tobytes()], pa.binary()) for b in (np.asarray(order, np.int64), codes, scale, x))], names=["part", "ids", "codes", "norms", "vecs"])
+        if shared.value is None:
+            codes, scale = np.zeros((len(x), 0), np.uint8), np.ones(len(x))
+        else:
+            codes = shared.value.encode(x)
+            near = np.linalg.norm(shared.value.decode(codes), axis=1)
+            scale = np.linalg.norm(x, axis=1) / np.where(near > 0, near, 1)
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), *(pa.array([b.tobytes()], pa.binary()) for b in (np.asarray(order, np.int64), codes, scale, x))], names=["part", "ids", "codes", "norms", "vecs"])
 
-    dealt = rows.withColumn("part", F.expr(f"cast(pmod(xxhash64(vec_id), {parts}) as int)"))
-    return dealt.select("part", "vec_id", "vec").repartition(F.col("part")).sortWithinPartitions("part").mapInArrow(run, _INDEX)
+    return rows.select(_part(parts), "vec_id", "vec").repartition(F.col("part")).sortWithinPartitions("part").mapInArrow(run, _INDEX)
+
+
+def _part(parts: int):
+    """Group of a row: its length in the high bits, a hash of vec_id in the low ones."""
+    return F.expr(f"shiftleft(cast(length(vec) as long), 24) + pmod(xxhash64(vec_id), {parts})").alias("part")
 
 
 def _query_blocks(rows: DataFrame, every: int, most: int) -> DataFrame:
-    """(qids, qvecs): blocks of at most ``most`` queries, cut within the partitions of the scan."""
+    """(width, qids, qvecs): blocks of at most ``most`` queries of one length, cut within partitions."""
 
     def run(batches):
         ids: list = []
         vecs: list = []
 
         def out():
-            return pa.RecordBatch.from_arrays([pa.array([np.asarray(ids, np.int64).tobytes()], pa.binary()), pa.array([b"".join(vecs)], pa.binary())], names=["qids", "qvecs"])
+            return pa.RecordBatch.from_arrays([pa.array([len(vecs[0])], pa.int64()), pa.array([np.asarray(ids, np.int64).tobytes()], pa.binary()), pa.array([b"".join(vecs)], pa.binary())], names=["width", "qids", "qvecs"])
 
         for batch in batches:
             for i, v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids.append(i)
-                vecs.append(v)
-                if len(ids) == most:
+                if ids and (len(ids) == most or len(v) != len(vecs[0])):
                     yield out()
                     ids.clear()
                     vecs.clear()
+                ids.append(i)
+                vecs.append(v)
         if ids:
             yield out()
 
-    return rows.filter(f"vec_id % {every} = 0").dropDuplicates(["vec_id"]).select("vec_id", "vec").mapInArrow(run, "qids binary, qvecs binary")
+    return rows.filter(f"vec_id % {every} = 0").select("vec_id", "vec").sortWithinPartitions(F.length("vec")).mapInArrow(run, "width long, qids binary, qvecs binary")
 
 
-def _answers(joined: DataFrame, books: Books, k: int, shortlist: int) -> DataFrame:
-    """(query_id, vec_id, score): the best k rows of every group for every query of a block."""
+def _answers(joined: DataFrame, books: Books | None, k: int, shortlist: int) -> DataFrame:
+    """(query_id, vec_id, score): the best k rows of every group for every query of a block; without books every row of the group is on the shortlist."""
     shared = joined.sparkSession.sparkContext.broadcast(books)
 
     def run(batches):
-        words = shared.value.words
-        m, w, dims = words.shape
-        flat = words.reshape(m * w, dims)
+        m = w = 0
+        if shared.value is not None:
+            words = shared.value.words
+            m, w, _ = words.shape
+            flat = words.reshape(m * w, -1)
         for batch in batches:
             for ids, codes, norms, vecs, qids, qvecs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids, norms = np.frombuffer(ids, np.int64), np.frombuffer(norms)
-                codes, x = np.frombuffer(codes, np.uint8).reshape(len(ids), m), np.frombuffer(vecs).reshape(len(ids), dims)
-                qids, q = np.frombuffer(qids, np.int64), np.frombuffer(qvecs).reshape(-1, dims)
+                codes, x = np.frombuffer(codes, np.uint8).reshape(len(ids), m), np.frombuffer(vecs).reshape(len(ids), -1)
+                qids, q = np.frombuffer(qids, np.int64), np.frombuffer(qvecs).reshape(len(qids) // 8, -1)
                 new = np.ones(len(ids), bool)
                 new[1:] = (x[1:] != x[:-1]).any(axis=1)
                 lead = np.flatnonzero(new)
                 until = np.append(lead[1:], len(ids))
                 place = codes[lead] + np.arange(m) * w
-                keep = min(shortlist, len(lead))
+                keep = min(shortlist, len(lead)) if m else len(lead)
                 for a in range(0, len(q), 64):
                     part = q[a : a + 64]
-                    look = np.ascontiguousarray((part @ flat.T).T)
-                    near = look[place[:, 0]]
-                    for b in range(1, m):
-                        near = near + look[place[:, b]]
-                    near = (near * norms[lead][:, None]).T
-                    best = np.argpartition(-near, keep - 1, axis=1)[:, :keep]
+                    if m:
+                        look = np.ascontiguousarray((part @ flat.T).T)
+                        near = look[place[:, 0]]
+                        for b in range(1, m):
+                            near = near + look[place[:, b]]
+                        near = (near * norms[lead][:, None]).T
+                        best = np.argpartition(-near, keep - 1, axis=1)[:, :keep]
+                    else:
+                        best = np.tile(np.arange(len(lead)), (len(part), 1))
                     score = (part[:, None, :] * x[lead[best]]).sum(axis=2)
                     out_q, out_v, out_s = [], [], []
                     for row, (qid, b, s) in enumerate(zip(qids[a : a + 64], best, score, strict=True)):
@@ -215,18 +228,27 @@ def _answers(joined: DataFrame, books: Books, k: int, shortlist: int) -> DataFra
 
 def nearest(vectors: DataFrame, every: int = 20, k: int = 20, sample: int = 8192, block: int = 4096, query_block: int = 512, shortlist: int = 384) -> DataFrame:
     """The k nearest rows found of every row whose vec_id is divisible by ``every``: query_id, rank, vec_id, score."""
-    rows = usable(vectors)
-    n = rows.count()
+    given = materialise(usable(vectors))
     spark = vectors.sparkSession
-    if n == 0:
+    sizes = given.groupBy(F.length("vec").alias("n")).count().orderBy(F.desc("count"), "n").limit(2).collect()
+    if not sizes:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toPandas()
+    size, n = sizes[0]["n"], sizes[0]["count"]
+    # an id counts once
+    rows = materialise(given.groupBy("vec_id").agg(F.min(F.struct((F.length("vec") != size).alias("other"), "vec")).alias("own")).select("vec_id", "own.vec"))
+    usual = F.length("vec") == size
+    picked = rows.filter(usual).orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toPandas()
     books = fit(matrix(list(picked["vec"])))
-    parts = -(-n // block)
-    data = materialise(index(rows, books, parts))
-    queries = materialise(_query_blocks(rows, every, query_block)).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    found = materialise(_answers(data.join(queries, "part"), books, k, shortlist))
-    best = found.withColumn("rank", F.expr("cast(row_number() over (partition by query_id order by score desc, vec_id) as int)"))
+
+    def search(own: DataFrame, books: Books | None, parts: int) -> DataFrame:
+        data = materialise(index(own, books, parts))
+        queries = _query_blocks(own, every, query_block).withColumn("part", F.explode(F.expr(f"transform(sequence(0L, {parts - 1}L), p -> shiftleft(width, 24) + p)")))
+        return _answers(data.join(queries, "part"), books, k, shortlist)
+
+    found = search(rows.filter(usual), books, -(-n // block))
+    if len(sizes) > 1:
+        found = found.unionByName(search(rows.filter(~usual), None, -(-given.filter(~usual).count() // block)))
+    best = materialise(found).withColumn("rank", F.expr("cast(row_number() over (partition by query_id order by score desc, vec_id) as int)"))
     return best.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
