@@ -4,10 +4,12 @@ A word's tag is toxic or not. Labels exist for documents only, so the training t
 from them: in labelled-toxic texts, the words whose form or beginning occurs in toxic
 training texts and (nearly) nowhere else are tagged toxic (a likelihood-ratio test whose
 bar rises from 9 to 15 with the number of toxic texts), every other word is not. The
-field has hashed features of the word (form, beginnings) and transition weights between
-neighbours' tags; forward-backward gives the marginals. A document's score is a logistic function, fitted on the training texts, of
-the expected number of toxic words among those likelier toxic than not; these words are
-the offending spans.
+field has features of the word (form, beginnings), each a weight of its own, and
+transition weights between neighbours' tags; it is trained on every text of the sample,
+and features that no training text holds have weight 0. Forward-backward gives the
+marginals. A document's score is a logistic function, fitted on the training texts, of the
+logarithm of 1 + the expected number of toxic words among those likelier toxic than not;
+these words are the offending spans.
 
 Forward-backward runs on ratios: one step maps alpha1/alpha0 by a 2x2 matrix, chunks of
 words multiply their matrices, chunk ends are joined text by text, and the chunks are
@@ -16,7 +18,11 @@ then filled in independently, all texts of a slice at once.
 Null and empty texts have no words: their score is that of an expected count of 0. Without
 labelled texts of both classes every score is the share of toxic among the labelled
 (0 if none is labelled). Labels other than 0 and 1 and labels of unknown texts are
-ignored; repeated labels of a text count once, as toxic if any is.
+ignored; repeated labels of a text count once, as toxic if any is. Repeated rows get a
+score each, rows of one doc_id with different texts each that of its text. Other columns,
+whatever their names, are not read; an empty table gives no rows. Texts of any length are
+scored whole, in memory proportional to the longest; ties in the order of the sample are
+settled by doc_id, then by the hash of the text.
 """
 
 from __future__ import annotations
@@ -31,7 +37,6 @@ from pyspark.sql import functions as F
 from .arrowtext import U64, Words, mix, slices
 from .store import table
 
-BITS = 21
 CHUNK = 32
 SCHEMA = "doc_id long, score double, spans array<struct<start:int,end:int,p:double>>"
 
@@ -39,31 +44,31 @@ SCHEMA = "doc_id long, score double, spans array<struct<start:int,end:int,p:doub
 @dataclass
 class Model:
     prior: float = 0.0
-    weights: np.ndarray | None = None  # by hashed feature
-    known: np.ndarray = field(default_factory=lambda: np.zeros(0, U64))  # features of tagged words: no other feature counts for toxicity
-    bias: float = 0.0  # log odds of a tagged word, kept: what a word with no known feature starts from
+    fitted: bool = False
+    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, U64))  # features, sorted
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
+    bias: float = 0.0  # log odds of a tagged word, kept: what a word without known features starts from
     steps: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))  # log weight of tag i then j
     scale: tuple[float, float] = (0.0, 0.0)
 
 
-def features(w: Words) -> list[np.ndarray]:
-    """Hashes of each word's form and of its beginnings of 4, 5 and 6 bytes."""
-    out = [w.hash]
+def features(w: Words, at: np.ndarray) -> np.ndarray:
+    """Hashes of the form and of the beginnings of 4, 5 and 6 bytes of the words ``at``, a row each."""
+    out, lo, hi = [w.hash[at]], w.start[at], w.end[at]
     for i, n in enumerate((4, 5, 6)):
-        out.append(mix(w.part(w.start, np.minimum(w.start + n, w.end)) + U64(101 + i)))
-    return out
+        out.append(mix(w.part(lo, np.minimum(lo + n, hi)) + U64(101 + i)))
+    return np.stack(out)
 
 
 def _emissions(model: Model, w: Words) -> np.ndarray:
-    """exp(score of toxic against not) of each word; a feature that only shares its slot with one that marks toxic words counts nothing."""
-    e = np.full(len(w.hash), model.bias)
-    for h in features(w):
-        x = model.weights[(h >> U64(64 - BITS)).astype(np.int32)]
-        hot = np.flatnonzero(x > 0.1)
-        at = np.minimum(np.searchsorted(model.known, h[hot]), max(0, len(model.known) - 1))
-        x[hot[model.known[at] != h[hot]] if len(model.known) else hot] = 0
-        e += x
-    return np.exp(np.clip(e, -30, 30))
+    """exp(score of toxic against not) of each word."""
+    _, first, own = np.unique(w.hash, return_index=True, return_inverse=True)
+    e = np.full(len(first), model.bias)
+    if len(model.keys):
+        for h in features(w, first):
+            near = np.minimum(np.searchsorted(model.keys, h), len(model.keys) - 1)
+            e += np.where(model.keys[near] == h, model.weights[near], 0)
+    return np.exp(np.clip(e, -30, 30))[own]
 
 
 def marginals(x: np.ndarray, first: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -145,65 +150,60 @@ def _marked(h: np.ndarray, doc: np.ndarray, toxic: np.ndarray, bar: float) -> np
     return ((gain > bar) & (good <= 0.02 * bad))[at]
 
 
-def fit_texts(texts: list[str], toxic: list[int], crf_docs: int = 1000, rounds: int = 40, bar: float = 9.0) -> Model:
-    """Fit on the driver from a bounded number of texts."""
+def fit_texts(texts: list[str], toxic: list[int], rounds: int = 12, bar: float = 9.0, part: int = 250_000) -> Model:
+    """Fit on the driver from a bounded sample; forward-backward takes texts of about ``part`` words at a time."""
     y = np.asarray(toxic, float)
     if not len(y) or y.min() == y.max():
         return Model(prior=float(y.mean()) if len(y) else 0.0)
-    parts, sizes = [], []
+    forms, marks, words, sizes = [], [], [], []
     for _, _, data, off in slices(pa.array(texts, pa.large_string())):
         w = Words(data, off)
-        parts.append(features(w))
+        form, first, own = np.unique(w.hash, return_index=True, return_inverse=True)
+        forms.append(form)
+        marks.append(features(w, first))
+        words.append(own)
         sizes.append(np.diff(w.first))
-    sizes = np.concatenate(sizes)
-    starts, doc = np.concatenate(([0], np.cumsum(sizes))), np.repeat(np.arange(len(y)), sizes)
-    columns = [list(f) for f in zip(*parts, strict=True)]
-    del parts
-    tag, slots = np.zeros(len(doc), bool), np.empty((len(columns), len(doc)), np.int32)
-    for i, column in enumerate(columns):  # one feature at a time: the driver's memory is small
-        h = np.concatenate(column)
-        column.clear()
-        tag |= _marked(h, doc, y, bar + 6 * min(1.0, y.sum() / 500))
-        slots[i] = h >> U64(64 - BITS)
-    tag &= y[doc].astype(bool)
-    # the field: toxic texts and as many others
-    bad, good = np.flatnonzero(y == 1)[: crf_docs // 2], np.flatnonzero(y == 0)[: crf_docs // 2]
-    use = np.sort(np.concatenate([bad, good]))
-    size = sizes[use]
-    pick = np.concatenate([np.arange(starts[d], starts[d + 1]) for d in use]) if size.sum() else np.zeros(0, np.int64)
-    first = np.concatenate(([0], np.cumsum(size)))
-    s, z = slots[:, pick], tag[pick].astype(float)
-    model = Model(prior=float(y.mean()), weights=np.zeros(1 << BITS, np.float32), bias=float(np.log((z.sum() + 1) / (len(z) + 2))))
-    before = np.zeros(len(pick), int)
+    size = np.concatenate(sizes)
+    start, doc = np.concatenate(([0], np.cumsum(size))), np.repeat(np.arange(len(y)), size)
+    known, first = np.unique(np.concatenate(forms), return_index=True)
+    word = np.concatenate([np.searchsorted(known, f)[o] for f, o in zip(forms, words, strict=True)]).astype(np.int32)
+    marks = np.concatenate(marks, axis=1)[:, first]  # features of every different word
+    keys = np.unique(marks)
+    slots = np.searchsorted(keys, marks)
+    tag = np.zeros(len(doc), bool)
+    for i in range(len(marks)):
+        tag |= _marked(marks[i][word], doc, y, bar + 6 * min(1.0, y.sum() / 500))
+    z = (tag & y[doc].astype(bool)).astype(float)
+    model = Model(float(y.mean()), True, keys, np.zeros(len(keys), np.float32), float(np.log((z.sum() + 1) / (len(z) + 2))))
+    before = np.zeros(len(z), int)
     before[1:] = z[:-1]
-    before[first[:-1][size > 0]] = -1
+    before[start[:-1][size > 0]] = -1
     truth = np.array([[((before == i) & (z == j)).sum() for j in (0, 1)] for i in (0, 1)], float)
-    total, step_sum = np.full(1 << BITS, 0.1), np.full((2, 2), 1.0)
-    for _ in range(rounds if len(pick) else 0):
-        e = model.weights[s].sum(axis=0) + model.bias
-        p, steps = marginals(np.exp(np.clip(e, -30, 30)), first, model.steps)
-        err = p - z
-        g = np.bincount(s.ravel(), np.tile(err, len(s)), 1 << BITS) + 0.5 * model.weights
+    cuts = np.unique(np.append(np.searchsorted(start, np.arange(0, len(z), part)), len(y)))
+    total, step_sum = np.full(len(keys), 0.1), np.full((2, 2), 1.0)
+
+    def tags(x: np.ndarray):
+        """Marginals of all words, and expected transitions."""
+        p, steps = np.empty(len(word)), np.zeros(4)
+        for a, b in zip(cuts, cuts[1:]):
+            some = slice(start[a], start[b])
+            p[some], s = marginals(x[word[some]], start[a : b + 1] - start[a], model.steps)
+            steps += s
+        return p, steps
+
+    def weight() -> np.ndarray:
+        return np.exp(np.clip(model.weights[slots].sum(axis=0) + model.bias, -30, 30))
+
+    for _ in range(rounds if len(word) else 0):
+        p, steps = tags(weight())
+        err = np.bincount(word, p - z, len(known))
+        g = np.bincount(slots.ravel(), np.tile(err, len(slots)), len(keys)) + 0.5 * model.weights
         total += g * g
-        model.weights = (model.weights - 0.7 * g / np.sqrt(total)).astype(np.float32)
+        model.weights = (model.weights - 1.0 * g / np.sqrt(total)).astype(np.float32)
         d = steps.reshape(2, 2) - truth
         step_sum += d * d
         model.steps = model.steps - 0.2 * d / np.sqrt(step_sum)
-    own = [[] for _ in slots]
-    toxic_tags, done = tag[y[doc] == 1], 0
-    for _, _, data, off in slices(pa.array([t for t, bad_ in zip(texts, y, strict=True) if bad_], pa.large_string())):
-        w = Words(data, off)
-        some = toxic_tags[done : done + len(w.hash)]
-        done += len(w.hash)
-        for k, h in zip(own, features(w), strict=True):
-            k.append(h[some])
-    model.known = np.unique(np.concatenate([h for k in own for h in k]))
-    counts = []
-    for _, _, data, off in slices(pa.array(texts, pa.large_string())):
-        w = Words(data, off)
-        p, _ = marginals(_emissions(model, w), w.first, model.steps)
-        counts.append(_count(p, w.doc(), len(off) - 1))
-    c = np.concatenate(counts)
+    c = np.log1p(_count(tags(weight())[0], doc, len(y)))
     a, b = -1.0, 1.0
     for _ in range(60):  # Newton steps of the logistic curve, lightly held back
         q = 1 / (1 + np.exp(-(a + b * c)))
@@ -217,25 +217,40 @@ def fit_texts(texts: list[str], toxic: list[int], crf_docs: int = 1000, rounds:
 
 
 def _count(p: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
-    """Expected number of toxic words among those likelier toxic than not, four and more alike."""
-    return np.minimum(np.bincount(doc, np.where(p >= 0.5, p, 0.0), n), 4.0)
+    """Expected number of toxic words among those likelier toxic than not."""
+    return np.bincount(doc, np.where(p >= 0.5, p, 0.0), n)
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_docs: int = 4000, most_chars: int = 200_000) -> Model:
-    """Fit on at most ``most_docs`` labelled texts that aren't held out (the first by a hash of doc_id), each read up to ``most_chars``."""
+def fit(docs: DataFrame, labels: DataFrame, most_docs: int = 4000, most_bytes: int = 8 << 20) -> Model:
+    """Fit on a bounded sample: of the labelled texts that aren't held out the first ``most_docs`` by a hash of doc_id, each whole; one that would bring the sample over ``most_bytes`` is passed over."""
     known = (
         labels.selectExpr("cast(doc_id as long) doc_id", "cast(toxic as int) toxic")
         .filter("toxic in (0, 1) and doc_id is not null and crc32(cast(doc_id as string)) % 5 <> 0")
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     )
-    picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_docs)
-    rows = (
-        docs.selectExpr("cast(doc_id as long) doc_id", f"substring(cast(text as string), 1, {int(most_chars)}) text")
-        .join(F.broadcast(picked), "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(most_docs)
-        .toPandas()
-    )
-    return fit_texts([t or "" for t in rows["text"]], rows["toxic"].tolist())
+    texts = docs.selectExpr("cast(doc_id as long) doc_id", "coalesce(cast(text as string), '') text").withColumn("key", F.xxhash64("text"))
+    order = ("place", "doc_id", "key")
+    first = texts.select("doc_id", "key", F.octet_length("text").alias("size")).join(known, "doc_id").withColumn("place", F.xxhash64("doc_id")).orderBy(*order).limit(most_docs).collect()
+    picked, left = {}, most_bytes
+    for r in sorted(first, key=lambda r: tuple(r[c] for c in order)):
+        if r["size"] <= left and (r["doc_id"], r["key"]) not in picked:
+            picked[r["doc_id"], r["key"]] = r["toxic"]
+            left -= r["size"]
+    if not picked:
+        return Model()
+    own = docs.sparkSession.createDataFrame([(*k, t) for k, t in picked.items()], "doc_id long, key long, toxic int")
+    rows = texts.join(F.broadcast(own), ["doc_id", "key"]).select("doc_id", "key", "toxic", "text").toPandas().drop_duplicates(["doc_id", "key"]).sort_values(["doc_id", "key"])
+    return fit_texts(rows["text"].tolist(), rows["toxic"].tolist())
+
+
+def _scored(m: Model, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, Words | None, np.ndarray]:
+    """Score of each text; its words, and their marginals."""
+    n = len(off) - 1
+    if not m.fitted:
+        return np.full(n, m.prior), None, np.zeros(0)
+    w = Words(data, off)
+    p, _ = marginals(_emissions(m, w), w.first, m.steps)
+    return 1 / (1 + np.exp(-(m.scale[0] + m.scale[1] * np.log1p(_count(p, w.doc(), n))))), w, p
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
@@ -248,14 +263,8 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
         for batch in batches:
             for i, j, data, off in slices(batch.column(1)):
                 n = j - i
-                if m.weights is None:
-                    values, at, p = np.full(n, m.prior), np.zeros(0, np.int64), np.zeros(0)
-                    w = None
-                else:
-                    w = Words(data, off)
-                    p, _ = marginals(_emissions(m, w), w.first, m.steps)
-                    values = 1 / (1 + np.exp(-(m.scale[0] + m.scale[1] * _count(p, w.doc(), n))))
-                    at = np.flatnonzero(p >= threshold)
+                values, w, p = _scored(m, data, off)
+                at = np.flatnonzero(p >= threshold)
                 doc = np.zeros(0, np.int64)
                 lo = hi = doc
                 if len(at):
@@ -279,12 +288,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFra
         m = shared.value
         for batch in batches:
             for i, j, data, off in slices(batch.column(at).cast(pa.string())):
-                if m.weights is None:
-                    keep = np.full(j - i, m.prior < threshold)
-                else:
-                    w = Words(data, off)
-                    p, _ = marginals(_emissions(m, w), w.first, m.steps)
-                    keep = m.scale[0] + m.scale[1] * _count(p, w.doc(), j - i) < np.log(threshold / (1 - threshold))
+                keep = _scored(m, data, off)[0] < threshold
                 yield batch.slice(i, j - i).filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)

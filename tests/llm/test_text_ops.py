@@ -199,3 +199,29 @@ def test_toxicity_without_both_classes(spark, labels):
     d = docs(spark, "a b", None, "")
     model = toxic_crf.fit(d, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
     assert {r.score for r in toxic_crf.score(d, model).collect()} <= {0.0, 1.0}
+
+
+def test_toxicity_query_on_held_out_rows(spark):
+    """The registered query: all rows scored, held-out ones named by the rule and called right."""
+    import zlib
+
+    base = "/root/testdata/sf0.01"
+    rows = toxic_crf.op6_toxicity(spark, base).collect()
+    label = {r.doc_id: r.toxic for r in spark.read.parquet(f"{base}/labels.parquet").collect()}
+    assert len(rows) == spark.read.parquet(f"{base}/documents.parquet").count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+    held = [(r.predicted, label[r.doc_id]) for r in rows if r.held_out and label.get(r.doc_id) is not None]
+    assert sum(a == b for a, b in held) >= 0.95 * len(held) > 50
+
+
+def test_toxicity_sample(spark):
+    """Labels of unknown texts and texts over the bound don't shrink the sample; repeats count once; long texts are scored whole."""
+    texts = [("you vile skunkface " if i % 2 else "a calm day ") + f"w{i} and so on" for i in range(400)]
+    rows = [(i, t, "clash") for i, t in enumerate(texts)] + [(1, texts[1], "clash"), (500, "x " * 200_000, "clash"), (501, "calm " * 100_000 + "skunkface skunkface skunkface", "clash")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)] + [(i, 1) for i in range(10_000, 30_000)] + [(500, 0)], "doc_id long, toxic int")
+    model = toxic_crf.fit(d, labels, most_docs=300, most_bytes=100_000)
+    got = {r.doc_id: r.score for r in toxic_crf.score(d, model).collect()}
+    assert all((got[i] >= 0.5) == (i % 2 == 1) for i in range(400)) and got[500] < 0.5 <= got[501]
+    assert toxic_crf.score(d.limit(0), model).count() == 0 and toxic_crf.keep_clean(d.limit(0), model).count() == 0
+    assert not toxic_crf.fit(d.limit(0), labels).fitted and not toxic_crf.fit(d, labels.limit(0)).fitted
