@@ -9,6 +9,9 @@ calls, no attributes of Python objects and no imports, so a template can do noth
 else. It is parsed into a tree, constants are folded (joined texts, decided branches),
 and every node becomes a Python closure.
 
+The default template marks every turn, and what is generated by ``[GEN]`` and ``[/GEN]``,
+so turns and loss mask are read back from the formatted text alone.
+
 A template's control strings are escaped inside texts: a backslash goes in after the
 first character of a control string, behind any backslashes already there, and
 ``unescape`` takes one away again, so every text survives.
@@ -16,7 +19,8 @@ first character of a control string, behind any backslashes already there, and
 Conversations stream: rows are sorted by (conv_id, turn) within a partition and rendered
 one message at a time, so memory holds one message however long a conversation is. Null
 texts and roles are empty; rows without conv_id form one conversation; null turns come
-first, and ties of turn are ordered by role and text. Extra columns pass by.
+first, and ties of turn are ordered by role and text. Repeated rows are turns of their own.
+Other columns, whatever their names, are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,7 +40,7 @@ CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "[GEN]", "[/GEN]")
 
 TEMPLATE = (
     "{% for m in messages %}<s>[INST] {{ m.role | escape }} [/INST]"
-    "{% if m.role == 'assistant' %}{% generation %}{{ m.text | escape }}{% endgeneration %}"
+    "{% if m.role == 'assistant' %}[GEN]{% generation %}{{ m.text | escape }}{% endgeneration %}[/GEN]"
     "{% else %}{{ m.text | escape }}{% endif %}</s>{% endfor %}"
 )
 
@@ -405,39 +409,31 @@ class Compiled:
         raise TemplateError("loops over messages don't nest")
 
 
-_TURN = re.compile(r"<s>\[INST\] (.*?) \[/INST\](.*?)</s>", re.S)
+_TURN = re.compile(r"<s>\[INST\] (.*?) \[/INST\](\[GEN\])?(.*?)(?(2)\[/GEN\])</s>", re.S)
 
 
 class Reader:
-    """Reads formatted text of TEMPLATE back, message by message, into digests."""
+    """Reads formatted text with the marks of TEMPLATE back into digests, from the text alone, as it comes; what lies between turns counts as characters only."""
 
     def __init__(self, unescape):
         self.unescape = unescape
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
         self.n_turns = self.loss_chars = self.chars = 0
+        self.rest = ""  # begun but not ended
 
-    def feed(self, pieces: list[tuple[str, bool]]) -> None:
-        text = "".join(p for p, _ in pieces)
+    def feed(self, text: str) -> None:
         self.chars += len(text)
+        self.rest += text
         end = 0
-        for m in _TURN.finditer(text):
-            if m.start() != end:
-                break
+        for m in _TURN.finditer(self.rest):
             end = m.end()
-            self.turns.update(f"{self.unescape(m[1])}\n{self.unescape(m[2])}\n".encode())
+            said = self.unescape(m[3])
+            self.turns.update(f"{self.unescape(m[1])}\n{said}\n".encode())
             self.n_turns += 1
-        if end != len(text):
-            raise ValueError("formatted text cannot be read back")
-        loss = self.unescape("".join(p for p, mask in pieces if mask))
-        self.loss.update(loss.encode())
-        self.loss_chars += len(loss)
-
-    def frame(self, pieces: list[tuple[str, bool]]) -> None:
-        """What a template writes before or after its messages: it counts, but holds no turns."""
-        self.chars += sum(len(p) for p, _ in pieces)
-        loss = self.unescape("".join(p for p, mask in pieces if mask))
-        self.loss.update(loss.encode())
-        self.loss_chars += len(loss)
+            if m[2]:
+                self.loss.update(said.encode())
+                self.loss_chars += len(said)
+        self.rest = self.rest[end:]
 
     def row(self, conv) -> tuple:
         return conv, self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars
@@ -459,7 +455,7 @@ _DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, los
 
 
 def digests(conversations: DataFrame, source: str = TEMPLATE, controls=CONTROLS) -> DataFrame:
-    """Format every conversation and read the formatted text back: counts and digests, one row a conversation."""
+    """Format every conversation and read the formatted text back: counts and digests, one row a conversation. The template has the marks of TEMPLATE."""
 
     def each(compiled, rows):
         reader, conv, index, names, out = None, None, 0, {}, []
@@ -467,7 +463,7 @@ def digests(conversations: DataFrame, source: str = TEMPLATE, controls=CONTROLS)
         def ended():
             pieces: list = []
             compiled.finish(names, pieces)
-            reader.frame(pieces)
+            reader.feed("".join(p for p, _ in pieces))
             return reader.row(conv)
 
         for c, role, text in rows:
@@ -478,12 +474,12 @@ def digests(conversations: DataFrame, source: str = TEMPLATE, controls=CONTROLS)
                         yield out
                         out = []
                 reader, conv, index, names = Reader(compiled.unescape), c, 0, {}
-                head: list = []
-                compiled.start(names, head)
-                reader.frame(head)
-            pieces: list = []
+                pieces: list = []
+                compiled.start(names, pieces)
+                reader.feed("".join(p for p, _ in pieces))
+            pieces = []
             compiled.message(names, {"role": role, "text": text}, index, pieces)
-            reader.feed(pieces)
+            reader.feed("".join(p for p, _ in pieces))
             index += 1
         if reader is not None:
             out.append(ended())

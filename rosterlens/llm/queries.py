@@ -38,7 +38,7 @@ select conv_id, count(*)::bigint as n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
   coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
   sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
-  sum(22 + length(role) + length(text) + {_ESCAPES.format(c="role")} + {_ESCAPES.format(c="text")})::bigint as formatted_chars
+  sum(22 + case when role = 'assistant' then 11 else 0 end + length(role) + length(text) + {_ESCAPES.format(c="role")} + {_ESCAPES.format(c="text")})::bigint as formatted_chars
 from c group by conv_id""",
     "op3_ego": """
 with recursive v as (select vec_id, label, embedding::double[] as e from embeddings where label is not null),
