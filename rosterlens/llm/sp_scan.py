@@ -3,9 +3,14 @@
 The best segmentation of a text into pieces of a given vocabulary is a max-plus product.
 A text becomes symbols: a space is the mark U+2581, one mark is put in front, and a mark
 that stands in the text itself is spelled in byte pieces, so decoding gives back every
-text. The vocabulary is a merge list, whose piece weights are ranks; the weight of a piece
-here is the logarithm of a Zipf probability of its rank, and of a byte piece a weight below
-all of them, so bytes are used only for what no piece spells.
+text. The vocabulary is a merge list, whose piece scores are ranks and no probabilities;
+the weight of a piece here is the logarithm of a Zipf probability of its rank, and of a
+byte piece a weight below all of them, so bytes are used only for what no piece spells.
+The ids are those that a unigram model with these weights gives, not those of the merges.
+
+Weights are whole numbers (millionths of a bit, about), so sums don't depend on their
+order, and a small fixed number for each place and length within a word decides between
+ways of equal weight. So the ids of a text don't depend on ``chunk``.
 
 Texts of more than ``chunk`` symbols are cut. What a cut can leave behind is the number of
 symbols by which a piece reaches over it, a state of at most 15. A chunk's transfer matrix
@@ -22,7 +27,8 @@ Decoding reads the ids alone. The query decodes every chunk; the chunks of a doc
 decoded in order as one stream, and the length and hash of what comes out stand beside
 those of the source text, which Spark computes from the table.
 
-Null texts count as empty; an empty text has no pieces. Repeated rows get rows each.
+Null texts count as empty; an empty text has no pieces. Repeated rows get rows each. Other
+columns, whatever their names, are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -45,6 +51,8 @@ MARK = "▁"
 ALIEN = "\udfff"  # a mark of the text itself; no valid text holds this code
 CHUNK = 32768
 NEVER = -1e18
+UNIT = float(1 << 32)  # of a weight of 1
+_PLACES = 4096  # places of a word after which the small numbers repeat
 _BASE = U64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -98,15 +106,17 @@ class Vocabulary:
                 break
         if left:
             raise ValueError("pieces collide in every table")
+        whole = lambda x: round(x * (1 << 20)) * UNIT / (1 << 20)
         self._weights = np.full(len(self.pieces) + 1, NEVER)
         for p, i in self.id.items():
-            self._weights[i] = self.weight[p]
+            self._weights[i] = whole(self.weight[p])
+        self._small = (mix(np.arange(_PLACES * 32, dtype=U64) + U64(1)) >> U64(52)).astype(float).reshape(_PLACES, 32)
         codes = np.arange(0x110000)
-        self._single = self.byte_weight * (1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)).astype(float)
+        self._single = whole(self.byte_weight) * (1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)).astype(float)
         self._single_id = np.full(0x110000, -1, np.int32)
         for p, i in self.id.items():
             if len(p) == 1:
-                self._single[ord(p)], self._single_id[ord(p)] = self.weight[p], i
+                self._single[ord(p)], self._single_id[ord(p)] = whole(self.weight[p]), i
         self.cache: dict[str, tuple[float, bytes]] = {}
         self._most = cached_words
 
@@ -132,8 +142,8 @@ class Vocabulary:
             return [self.id[symbol]]
         return [self.byte[b] for b in (MARK if symbol == ALIEN else symbol).encode()]
 
-    def _advance(self, words: list[str], limits: list[int] | None):
-        """Best weights, last pieces' lengths and ids at every place of every word; all words advance together, a symbol at a time."""
+    def _advance(self, words: list[str], limits: list[int] | None, leads: list[int] | None = None):
+        """Best weights, last pieces' lengths and ids at every place of every word; all words advance together, a symbol at a time. ``leads``: symbols of each word before what is given of it."""
         n = len(words)
         size = np.fromiter(map(len, words), np.int64, n)
         limit = size if limits is None else np.array(limits, np.int64)
@@ -145,6 +155,7 @@ class Vocabulary:
         score[node] = 0.0
         last, piece_at = np.zeros(len(score), np.int32), np.full(len(score), -1, np.int32)
         lengths, bounds = size[order], limit[order]
+        lead = np.zeros(n, np.int64) if leads is None else np.array(leads, np.int64)[order] % _PLACES
         single, single_id = self._single[codes], self._single_id[codes]
         codes = codes.astype(U64) + U64(1)
         before: list[np.ndarray] = []  # hashes of the last 1, 2, ... symbols up to the place before
@@ -153,26 +164,26 @@ class Vocabulary:
             at, here = start[:live] + p - 1, node[:live] + p
             code = codes[at]
             rolled = [code] + [h[:live] * _BASE + code for h in before[: self.longest - 1]]
-            best, own, size_ = score[here - 1] + single[at], single_id[at], np.ones(live, np.int32)
+            best = score[here - 1] + single[at] + self._small[(lead[:live] + p - 1) % _PLACES, 1]
+            own, size_ = single_id[at], np.ones(live, np.int32)
             best[p - 1 >= bounds[:live]] = NEVER
             for k in range(2, min(p, self.longest) + 1):
                 piece = self.find(mix(rolled[k - 1] + U64(k)))
                 hit = np.flatnonzero((piece >= 0) & (p - k < bounds[:live]))
                 if len(hit):
-                    v = score[here[hit] - k] + self._weights[piece[hit]]
+                    v = score[here[hit] - k] + self._weights[piece[hit]] + self._small[(lead[hit] + p - k) % _PLACES, k]
                     hit, v = hit[v >= best[hit]], v[v >= best[hit]]
                     best[hit], own[hit], size_[hit] = v, piece[hit], k
             score[here], last[here], piece_at[here] = best, size_, own
             before = rolled
         return order, node, lengths, score, last, piece_at
 
-    def best(self, words: list[str], limits: list[int] | None = None) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    def best(self, words: list[str], limits: list[int] | None = None, leads: list[int] | None = None) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """For each word: best weight of reaching every place of it, and the length of the last piece there.
 
-        ``limits``: places before which a piece must start. Of equal weights the longest
-        last piece counts.
+        ``limits``: places before which a piece must start. ``leads``: as in ``_advance``.
         """
-        order, node, lengths, score, last, _ = self._advance(words, limits)
+        order, node, lengths, score, last, _ = self._advance(words, limits, leads)
         back = np.empty(len(words), np.int64)
         back[order] = np.arange(len(words))
         cut = [(int(node[b]), int(node[b] + lengths[b] + 1)) for b in back]
@@ -247,30 +258,32 @@ class Cut:
     begun: str
     inside: int  # symbols of ``begun`` that lie in the chunk
     split: bool  # whether a word starts inside
+    lead: int  # symbols of the first word that lie before the chunk
 
 
-def cut_chunk(own: str, ahead: str, opens: bool) -> Cut:
-    """``opens``: the chunk's first symbol starts a word. ``ahead``: the symbols after the cut that a piece could reach."""
+def cut_chunk(own: str, ahead: str, lead: int) -> Cut:
+    """``lead``: how many symbols of the word of the chunk's first symbol lie before the chunk. ``ahead``: the symbols after the cut that a piece could reach."""
+    opens = lead == 0
     words = _WORDS.findall(own)
     tail = _WORDS.findall(words[-1] + ahead)[0] if ahead else words[-1]  # up to the end of the word
     if not opens and own[0] != MARK and len(words) == 1:
-        return Cut("", [], tail, len(own), False)
+        return Cut("", [], tail, len(own), False, lead)
     rest = "" if opens else words.pop(0)
     if not words:
-        return Cut("", [], tail, len(own), False)
+        return Cut("", [], tail, len(own), False, lead)
     last = words.pop()
-    return Cut(rest, words, tail, len(last), True)
+    return Cut(rest, words, tail, len(last), True, lead)
 
 
 def transfers(v: Vocabulary, cuts: list[Cut]) -> list[np.ndarray]:
     """For each chunk the best weight from every entry state to every exit state."""
     n = v.longest
     v.learn([w for c in cuts for w in c.whole])
-    ask: list[tuple[str, int]] = []  # words and the places before which their pieces start
+    ask: list[tuple[str, int, int]] = []  # words, the places before which their pieces start, leads
     for c in cuts:
-        ask += [(c.rest[s:], len(c.rest) - s) for s in range(min(n, len(c.rest)))]
-        ask += [(c.begun, c.inside)] if c.split else [(c.begun[s:], c.inside - s) for s in range(min(n, c.inside))]
-    scores = iter(v.best([w for w, _ in ask], [k for _, k in ask])[0])
+        ask += [(c.rest[s:], len(c.rest) - s, c.lead + s) for s in range(min(n, len(c.rest)))]
+        ask += [(c.begun, c.inside, 0)] if c.split else [(c.begun[s:], c.inside - s, c.lead + s) for s in range(min(n, c.inside))]
+    scores = iter(v.best(*([a[i] for a in ask] for i in range(3)))[0])
     out = []
     for c in cuts:
         m = np.full((n, n), NEVER)
@@ -288,10 +301,15 @@ def transfers(v: Vocabulary, cuts: list[Cut]) -> list[np.ndarray]:
                 m[s, : len(x)] = x
             for s in range(c.inside, n):  # a piece over the whole chunk
                 m[s, s - c.inside] = 0.0
-        out.append(m)
+        out.append(_level(m))
     return out
 
 
+def _level(m: np.ndarray) -> np.ndarray:
+    """Matrices whose largest entry is 0: only differences count, and so they stay small."""
+    return np.maximum(m - m.max(axis=(-2, -1), keepdims=True), NEVER)
+
+
 def transfer(v: Vocabulary, c: Cut) -> np.ndarray:
     return transfers(v, [c])[0]
 
@@ -305,7 +323,7 @@ def scan(matrices: np.ndarray) -> np.ndarray:
     """Products of all prefixes, by doubling."""
     out, step = matrices.copy(), 1
     while step < len(out):
-        out[step:] = compose(out[:-step], out[step:])
+        out[step:] = _level(compose(out[:-step], out[step:]))
         step *= 2
     return out
 
@@ -325,16 +343,16 @@ def states(matrices: np.ndarray) -> list[tuple[int, int]]:
 def traces(v: Vocabulary, cuts: list[Cut], ways: list[tuple[int, int]]) -> list[bytes]:
     """For each chunk the ids of the pieces that start in it, between its entry and exit state."""
     v.learn([w for c in cuts for w in c.whole])
-    ask: list[tuple[str, int, int]] = []  # word, place before which its pieces start, place to reach
+    ask: list[tuple[str, int, int, int]] = []  # word, place before which its pieces start, lead, place to reach
     for c, (entry, exit_) in zip(cuts, ways, strict=True):
         if not c.split:
-            ask += [(c.begun[entry:], c.inside - entry, c.inside - entry + exit_)] if entry < c.inside else []
+            ask += [(c.begun[entry:], c.inside - entry, c.lead + entry, c.inside - entry + exit_)] if entry < c.inside else []
         else:
             rest = c.rest[entry:]
-            ask += [(rest, len(rest), len(rest))] if rest else []
-            ask.append((c.begun, c.inside, c.inside + exit_))
-    _, lasts = v.best([w for w, _, _ in ask], [k for _, k, _ in ask])
-    parts = iter([np.asarray(v.trace(w, last, place), "<u4").tobytes() for (w, _, place), last in zip(ask, lasts, strict=True)])
+            ask += [(rest, len(rest), c.lead + entry, len(rest))] if rest else []
+            ask.append((c.begun, c.inside, 0, c.inside + exit_))
+    _, lasts = v.best(*([a[i] for a in ask] for i in range(3)))
+    parts = iter([np.asarray(v.trace(a[0], last, a[3]), "<u4").tobytes() for a, last in zip(ask, lasts, strict=True)])
     out = []
     for c, (entry, _) in zip(cuts, ways, strict=True):
         if not c.split:
@@ -356,7 +374,7 @@ def vocabulary(path: str | None) -> Vocabulary:
 
 
 _SOURCE = "text_chars long, text_sha256 string"
-_CHUNK = f"doc_id long, text_key long, chunk int, opens boolean, own string, ahead string, {_SOURCE}"
+_CHUNK = f"doc_id long, text_key long, chunk int, lead long, own string, ahead string, {_SOURCE}"
 _IDS = f"doc_id long, chunk int, n_symbols long, ids array<int>, text_key long, {_SOURCE}"
 
 
@@ -376,6 +394,23 @@ def _source() -> list:
     return [F.length("text").cast("long").alias("text_chars"), F.sha2("text", 256).alias("text_sha256")]
 
 
+def leads(s: str, chunk: int) -> list[int]:
+    """For every chunk of ``s`` the symbols of its first symbol's word that lie before it; looks a chunk back at most."""
+    out, begin = [], 0
+    for a in range(0, len(s), chunk):
+        if a:
+            before = s[a - chunk : a]
+            if s[a] == MARK and before[-1] != MARK:
+                begin = a
+            else:
+                head = before if s[a] == MARK else before[: before.rfind(MARK) + 1]
+                head = head.rstrip(MARK)
+                if head:
+                    begin = a - chunk + len(head)
+        out.append(a - begin)
+    return out
+
+
 def chunks(docs: DataFrame, chunk: int = CHUNK, longest: int = 16) -> DataFrame:
     """Chunks of the texts of more than ``chunk`` symbols."""
 
@@ -384,9 +419,8 @@ def chunks(docs: DataFrame, chunk: int = CHUNK, longest: int = 16) -> DataFrame:
             rows = []
             for doc, key, text, size, sha in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 s = symbols(text)
-                for i, a in enumerate(range(0, len(s), chunk)):
-                    opens = a == 0 or (s[a] == MARK and s[a - 1] != MARK)
-                    rows.append((doc, key, i, opens, _mask(s[a : a + chunk]), _mask(s[a + chunk : a + chunk + longest]), size, sha))
+                for i, (a, lead) in enumerate(zip(range(0, len(s), chunk), leads(s, chunk))):
+                    rows.append((doc, key, i, lead, _mask(s[a : a + chunk]), _mask(s[a + chunk : a + chunk + longest]), size, sha))
                     if len(rows) == 256:
                         yield out(rows)
                         rows = []
@@ -394,7 +428,7 @@ def chunks(docs: DataFrame, chunk: int = CHUNK, longest: int = 16) -> DataFrame:
                 yield out(rows)
 
     def out(rows):
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.string(), pa.string(), pa.int64(), pa.string()]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[f.split()[0] for f in _CHUNK.split(", ")])
 
     return docs.filter(F.length("text") >= chunk).select("doc_id", F.xxhash64("doc_id", "text").alias("text_key"), "text", *_source()).mapInArrow(run, _CHUNK)
@@ -433,7 +467,7 @@ def _encoded(docs: DataFrame, chunk: int, path: str | None) -> tuple[DataFrame,
         for batch in batches:
             for a in range(0, len(batch), 32):
                 part = batch.slice(a, 32)
-                cuts = [cut_chunk(_unmask(own), _unmask(ahead), opens) for opens, own, ahead in zip(*(part.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
+                cuts = [cut_chunk(_unmask(own), _unmask(ahead), lead) for lead, own, ahead in zip(*(part.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([m.tobytes() for m in transfers(v, cuts)], pa.binary())], names=["text_key", "chunk", "matrix"])
 
     def join(pdf):
@@ -448,24 +482,24 @@ def _encoded(docs: DataFrame, chunk: int, path: str | None) -> tuple[DataFrame,
         for batch in batches:
             for start in range(0, len(batch), 32):
                 part = batch.slice(start, 32)
-                docs_, numbers, opens, own, ahead, a, b = (c.to_pylist() for c in part.columns[:7])
+                docs_, numbers, lead, own, ahead, a, b = (c.to_pylist() for c in part.columns[:7])
                 own = [_unmask(o) for o in own]
-                cuts = [cut_chunk(o, _unmask(x), y) for o, x, y in zip(own, ahead, opens, strict=True)]
+                cuts = [cut_chunk(o, _unmask(x), y) for o, x, y in zip(own, ahead, lead, strict=True)]
                 ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in traces(v, cuts, list(zip(a, b, strict=True)))]
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int32())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((docs_, numbers, [len(o) for o in own], ids), kinds, strict=True)] + part.columns[7:], names=["doc_id", "chunk", "n_symbols", "ids", "text_key", "text_chars", "text_sha256"])
 
-    one = parts.dropDuplicates(["text_key", "chunk"]).select("text_key", "chunk", "opens", "own", "ahead")
+    one = parts.dropDuplicates(["text_key", "chunk"]).select("text_key", "chunk", "lead", "own", "ahead")
     cuts = one.mapInArrow(matrices, "text_key long, chunk int, matrix binary").groupBy("text_key").applyInPandas(join, "text_key long, chunk int, entry int, exit int")
-    long = parts.join(materialise(cuts), ["text_key", "chunk"]).select("doc_id", "chunk", "opens", "own", "ahead", "entry", "exit", "text_key", "text_chars", "text_sha256")
+    long = parts.join(materialise(cuts), ["text_key", "chunk"]).select("doc_id", "chunk", "lead", "own", "ahead", "entry", "exit", "text_key", "text_chars", "text_sha256")
     return _encode_short(given, chunk, path), long.mapInArrow(trace, _IDS)
 
 
-_DIGEST = f"doc_id long, chunk int, n_symbols long, n_ids long, ids_crc32 long, decoded_symbols long, text_key long, {_SOURCE}, decoded_chars long, decoded_sha256 string"
+_DIGEST = f"doc_id long, chunk int, n_symbols long, n_ids long, ids_crc32 long, decoded_symbols long, text_key long, {_SOURCE}, decoded_chars long, decoded_sha256 string, ids array<int>"
 
 
 def digest(encoded: DataFrame, path: str | None = None) -> DataFrame:
-    """Per chunk: symbols, ids, the ids' CRC, the symbols, length and hash of the text that decoding the ids gives back; length and hash of the document's source text."""
+    """Per chunk: symbols, number of ids, the ids' CRC, the symbols, length and hash of the text that decoding the ids gives back; length and hash of the document's source text, and the ids."""
 
     def run(batches):
         v = vocabulary(path)
@@ -479,7 +513,7 @@ def digest(encoded: DataFrame, path: str | None = None) -> DataFrame:
                 n.append(len(x))
                 chars.append(len(text))
                 sha.append(hashlib.sha256(text.encode()).hexdigest())
-            columns = [*batch.columns[:3], *(pa.array(c, pa.int64()) for c in (n, crc, back)), *batch.columns[4:], pa.array(chars, pa.int64()), pa.array(sha, pa.string())]
+            columns = [*batch.columns[:3], *(pa.array(c, pa.int64()) for c in (n, crc, back)), *batch.columns[4:], pa.array(chars, pa.int64()), pa.array(sha, pa.string()), batch.column(3)]
             yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in _DIGEST.split(", ")])
 
     return encoded.mapInArrow(run, _DIGEST)

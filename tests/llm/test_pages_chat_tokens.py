@@ -205,11 +205,61 @@ def test_chunks_join_to_the_best_way(vocabulary):
         t = "".join(r.choice(["the ", "  ", " ", "thing", "ation", "é", "漢字", "▁", "a\n", "internationalization", "\U0010fffe", "\U0010ffff", "\U0010fffd"]) for _ in range(r.randint(1, 30)))
         s, c = sp_scan.symbols(t), r.choice([1, 2, 5, 7, 16, 40])
         assert sp_scan._unmask(sp_scan._mask(s)) == s
-        parts = [sp_scan.cut_chunk(s[a : a + c], s[a + c : a + c + 16], a == 0 or (s[a] == sp_scan.MARK and s[a - 1] != sp_scan.MARK)) for a in range(0, len(s), c)]
+        parts = [sp_scan.cut_chunk(s[a : a + c], s[a + c : a + c + 16], lead) for a, lead in zip(range(0, len(s), c), sp_scan.leads(s, c))]
         ways = sp_scan.states(np.stack([sp_scan.transfer(v, p) for p in parts]))
         ids = np.frombuffer(b"".join(sp_scan.trace_chunk(v, p, a, b) for p, (a, b) in zip(parts, ways)), "<u4").tolist()
         whole = np.frombuffer(v.encode([t])[0], "<u4").tolist()
-        assert abs(weight(ids) - weight(whole)) < 1e-6 and v.decode(ids) == t == v.decode(whole)
+        assert ids == whole and abs(weight(ids) - weight(whole)) < 1e-6 and v.decode(ids) == t == v.decode(whole)
+
+
+def test_ids_at_equal_weight_do_not_depend_on_the_cut(vocabulary):
+    v, r = vocabulary, random.Random(12)
+    for _ in range(150):
+        t = "".join(r.choice(["a", "aa", "ab", "ba", "ana", "  ", " "]) for _ in range(r.randint(5, 60)))
+        s, whole = sp_scan.symbols(t), v.encode([t])[0]
+        for c in (1, 3, 8, 25):
+            starts = [m.start() for m in sp_scan._WORDS.finditer(s)]
+            assert sp_scan.leads(s, c) == [a - max(x for x in starts if x <= a) for a in range(0, len(s), c)]
+            parts = [sp_scan.cut_chunk(s[a : a + c], s[a + c : a + c + 16], lead) for a, lead in zip(range(0, len(s), c), sp_scan.leads(s, c))]
+            ways = sp_scan.states(np.stack(sp_scan.transfers(v, parts)))
+            assert b"".join(sp_scan.traces(v, parts, ways)) == whole
+
+
+def test_ids_are_those_of_a_unigram_model(vocabulary, data):
+    """The public library, given the same weights as a unigram model's scores, finds ways of the same weight, and nearly always the same one."""
+    import struct
+
+    import pyarrow.parquet as pq
+    import sentencepiece
+
+    def number(n):
+        out = b""
+        while n > 127:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+
+    m = sentencepiece.SentencePieceProcessor(model_file=sp_scan.vocabulary_path())
+    model = b""
+    for i, piece in enumerate(vocabulary.pieces):  # field 1: a piece is 1 its text, 2 its score, 3 its type
+        kind = 2 if m.is_unknown(i) else 3 if m.is_control(i) else 6 if m.is_byte(i) else 5 if m.is_unused(i) else 1
+        text = piece.encode()
+        body = b"\x0a" + number(len(text)) + text + b"\x15" + struct.pack("<f", vocabulary.weight.get(piece, 0.0)) + b"\x18" + bytes([kind])
+        model += b"\x0a" + number(len(body)) + body
+    trainer = b"\x18\x01" + b"\x98\x02\x01"  # a unigram model with bytes for what no piece spells
+    normalizer = b"\x0a\x08identity" + b"\x18\x01" + b"\x20\x00"  # a mark in front, all spaces kept
+    model += b"\x12" + number(len(trainer)) + trainer + b"\x1a" + number(len(normalizer)) + normalizer
+    library = sentencepiece.SentencePieceProcessor(model_proto=model)
+    letters = set("".join(p for p in vocabulary.weight if len(p) == 1)) | {" "}
+    same = n = 0
+    for t in pq.read_table(f"{data}/documents.parquet")["text"].to_pylist():
+        t = "".join(c for c in (t or "")[:3000] if c in letters and c != sp_scan.MARK)
+        if not t:
+            continue
+        theirs, mine = library.encode(t), np.frombuffer(vocabulary.encode([t])[0], "<u4").tolist()
+        weight = [sum(vocabulary.weight[vocabulary.pieces[i]] for i in ids) for ids in (theirs, mine)]
+        assert abs(weight[0] - weight[1]) < 1e-3 * (1 + len(mine) / 100), (t, theirs, mine)
+        same, n = same + (theirs == mine), n + 1
+    assert n > 50 and same >= 0.9 * n
 
 
 def test_pieces_round_trip(spark):
@@ -239,6 +289,7 @@ def test_decoding_is_seen_in_the_query(spark, data):
     for r in sp_scan.op8_sentencepiece(spark, data).collect():
         t = texts[r.doc_id]
         assert r.decoded_chars == r.text_chars == len(t) and r.decoded_sha256 == r.text_sha256 == hashlib.sha256(t.encode()).hexdigest()
+        assert len(r.ids) == r.n_ids and zlib.crc32(np.asarray(r.ids, "<u4").tobytes()) == r.ids_crc32
 
 
 def test_word_by_word_ids_are_the_vocabularys():
