@@ -11,21 +11,23 @@ from pyspark.sql import functions as F
 from .functions import scalars as S
 from .operators import capability, elements, flatten, merge, metrics, planner, refs, runs
 from .plans.rules import CHECKS, Element
+from . import catalogue_resources
 from .sources import bundles
 from .sources import projection as P
+from .sources.shared import pinned, pinned_root
 
 AS_OF = datetime(2001, 8, 1, tzinfo=timezone.utc)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
-_ROLE_CHECKS = tuple(c for c in CHECKS if c.label in ("practitioner_role.practitioner_ref", "practitioner_role.organization_ref", "practitioner_role.location_refs"))
+_ROLE_CHECKS = tuple(c for c in CHECKS if c.label in ("PractitionerRole.practitioner", "PractitionerRole.organization", "PractitionerRole.location"))
 _WITH = f"with {P.CTES}"
 
 
-def _query(name: str, sql: str | None = None):
+def _query(name: str, sql: str | None = None, projected: bool = True):
     def register(f):
         QUERIES[name] = f
         if sql:
-            ORACLE_SQL[name] = sql if sql.startswith("with ") else f"{_WITH}\n{sql}"
+            ORACLE_SQL[name] = sql if sql.startswith("with ") or not projected else f"{_WITH}\n{sql}"
         return f
 
     return register
@@ -43,22 +45,22 @@ def _check_sql(label: str, source: str, ref: str, target: str) -> str:
 
 
 _CHECK_SQL = " union all ".join((
-    _check_sql("practitioner_role.practitioner_ref", "practitioner_role", "practitioner_ref", "practitioner"),
-    _check_sql("practitioner_role.organization_ref", "practitioner_role", "organization_ref", "organization"),
-    _check_sql("practitioner_role.location_refs", "role_location", "ref", "location"),
-    _check_sql("location.managing_organization_ref", "location", "managing_organization_ref", "organization"),
-    _check_sql("organization.part_of_ref", "organization", "part_of_ref", "organization"),
+    _check_sql("PractitionerRole.practitioner", "practitioner_role", "practitioner_ref", "practitioner"),
+    _check_sql("PractitionerRole.organization", "practitioner_role", "organization_ref", "organization"),
+    _check_sql("PractitionerRole.location", "role_location", "ref", "location"),
+    _check_sql("Location.managingOrganization", "location", "managing_organization_ref", "organization"),
+    _check_sql("Organization.partOf", "organization", "part_of_ref", "organization"),
 ))
 _ALL_CHECKS = f"checks as ({_CHECK_SQL}), every_check as (select * from checks union all select payer_id, null, sum(total)::bigint, sum(resolved)::bigint from checks group by payer_id)"
 _SHOW = f"payer_id, label, total, resolved, total - resolved as dangling, {_pct('resolved', 'total')} as pct"
 
 
-@_query("ref_scalar", f", checks as ({_check_sql('practitioner_role.practitioner_ref', 'practitioner_role', 'practitioner_ref', 'practitioner')}) select {_SHOW} from checks")
+@_query("ref_scalar", f", checks as ({_check_sql('PractitionerRole.practitioner', 'practitioner_role', 'practitioner_ref', 'practitioner')}) select {_SHOW} from checks")
 def ref_scalar(spark, d):
     return refs.check_all({"practitioner_role": P.roles(spark, d, False), "practitioner": P.practitioner(spark, d)}, _ROLE_CHECKS[:1]).filter("label is not null")
 
 
-@_query("ref_array", f", checks as ({_check_sql('practitioner_role.location_refs', 'role_location', 'ref', 'location')}) select {_SHOW} from checks")
+@_query("ref_array", f", checks as ({_check_sql('PractitionerRole.location', 'role_location', 'ref', 'location')}) select {_SHOW} from checks")
 def ref_array(spark, d):
     return refs.check_all({"practitioner_role": P.roles(spark, d), "location": P.location(spark, d)}, _ROLE_CHECKS[2:]).filter("label is not null")
 
@@ -264,7 +266,8 @@ _STATUS_SQL = (
     " case when method in ('blocked', 'partition-failed') then 'error' when method in ('needs-partition', 'unsupported') then 'skipped' when extract_error is not null and loaded = 0 then 'error'"
     " when extract_error is not null then 'partial' when total > 0 and loaded = 0 then 'error' when note like '%pagination stopped%' or note like '%budget%' then 'partial' when fetch_errors + transform_errors > 0 then 'partial'"
     " when loaded = 0 and total = 0 then 'ok' when loaded = 0 then 'empty-unverified' else 'ok' end as status,"
-    " case when method in ('blocked', 'partition-failed', 'needs-partition', 'unsupported') or extract_error is not null then null when total > 0 and loaded = 0 then 'declared rows but none loaded' end as extra_note from e) group by 1, 2"
+    " case when method in ('blocked', 'partition-failed') then coalesce(note, 'host refused the request') when method in ('needs-partition', 'unsupported') or extract_error is not null then null when total > 0 and loaded = 0 then '0 rows landed vs server_total=' || cast(total as varchar)"
+    " when coalesce(note, '') like '%pagination stopped%' or coalesce(note, '') like '%budget%' or fetch_errors + transform_errors > 0 or loaded > 0 or total = 0 then null else '0 rows landed; server total unknown' end as extra_note from e) group by 1, 2"
 )
 
 
@@ -486,8 +489,8 @@ def flatten_location(spark, d):
 
 
 def _statements(spark, d) -> DataFrame:
-    """Capability statements of endpoints named by nations: features left out by the nation's key."""
-    k = F.col("n_nationkey")
+    """Capability statements of endpoints named by suppliers: features left out by the supplier's key."""
+    k = F.col("s_suppkey")
     items = lambda *pairs: F.array_compact(F.array(*(F.when(keep, F.struct(F.lit(x).alias(c))) for c, x, keep in pairs)))
     resources = F.array(
         *(
@@ -499,11 +502,11 @@ def _statements(spark, d) -> DataFrame:
             for i, t in enumerate(("Organization", "Location"))
         )
     )
-    return P.raw(spark, d, "nation").select(F.col("n_name").alias("endpoint"), F.to_json(F.struct(F.array(F.struct(resources.alias("resource"))).alias("rest"))).alias("statement"))
+    return P.raw(spark, d, "supplier").select(F.col("s_name").alias("endpoint"), F.to_json(F.struct(F.array(F.struct(resources.alias("resource"))).alias("rest"))).alias("statement"))
 
 
 def _required(spark, d) -> DataFrame:
-    """Requirements on the types that the nations' statements name."""
+    """Requirements on the types that the suppliers' statements name."""
     types = capability.statement_rows(_statements(spark, d)).select("resource_type").distinct()
     needs = (("interaction", "read", "SHALL"), ("interaction", "search-type", "SHALL"), ("interaction", "vread", "SHOULD"), ("search_param", "_id", "SHALL"), ("search_param", "name", "SHOULD"))
     rows = F.array(*(F.struct(F.lit(a).alias("kind"), F.lit(b).alias("item"), F.lit(c).alias("expectation")) for a, b, c in needs))
@@ -512,14 +515,14 @@ def _required(spark, d) -> DataFrame:
 
 def _capability(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
     declared = capability.statement_rows(_statements(spark, d))
-    nation = P.raw(spark, d, "nation")
-    endpoints = nation.select(F.col("n_name").alias("endpoint"), F.when(F.col("n_nationkey") % 7 == 0, F.array(F.lit("Organization"))).alias("subset"))
-    probes = nation.filter("n_nationkey % 3 = 0").select(F.col("n_name").alias("endpoint"), F.lit("Organization").alias("resource_type"), F.lit("_id").alias("param"), (F.col("n_nationkey") % 2 == 0).alias("ok"))
+    own = P.raw(spark, d, "supplier")
+    endpoints = own.select(F.col("s_name").alias("endpoint"), F.when(F.col("s_suppkey") % 7 == 0, F.array(F.lit("Organization"))).alias("subset"))
+    probes = own.filter("s_suppkey % 3 = 0").select(F.col("s_name").alias("endpoint"), F.lit("Organization").alias("resource_type"), F.lit("_id").alias("param"), (F.col("s_suppkey") % 2 == 0).alias("ok"))
     return capability.fold_probes(capability.matrix(_required(spark, d), declared, endpoints), probes), declared, probes
 
 
 _CELLS = (
-    "cells as (select n_name as endpoint, n_nationkey as k, t.t as resource_type, t.i, r.* from nation, (values ('Organization', 0), ('Location', 1)) t(t, i),"
+    "cells as (select s_name as endpoint, s_suppkey as k, t.t as resource_type, t.i, r.* from supplier, (values ('Organization', 0), ('Location', 1)) t(t, i),"
     " (values ('interaction', 'read', 'SHALL'), ('interaction', 'search-type', 'SHALL'), ('interaction', 'vread', 'SHOULD'), ('search_param', '_id', 'SHALL'), ('search_param', 'name', 'SHOULD')) r(kind, item, expectation)),"
     " held as (select *, case item when 'read' then k % 2 = 0 when 'search-type' then k % 3 <> i when 'vread' then k % 5 = 0 when '_id' then k % 4 <> i else k % 5 <> i end as has from cells),"
     " base as (select *, case when (k % 7 = 0 and resource_type <> 'Organization') or item = 'vread' then 'not-applicable' when has and kind = 'interaction' then 'supported' when has then 'declared' else 'not-declared' end as o from held),"
@@ -550,13 +553,13 @@ def capability_summary(spark, d):
     return capability.summary(*_capability(spark, d))
 
 
-@_query("manifest_inventory", f"with m as (select n_regionkey as r, n_nationkey as k from nation) select case when k % 4 = 0 then 'parked' else 'live' end as status, count(*)::bigint as endpoints, count(distinct r)::bigint as hosts, sum(2)::bigint as brands, count(*) filter (where k % 4 <> 0)::bigint as runnable from m where k % 9 <> 0 group by 1")
+@_query("manifest_inventory", f"with m as (select s_nationkey as r, s_suppkey as k from supplier) select case when k % 4 = 0 then 'parked' else 'live' end as status, count(*)::bigint as endpoints, count(distinct r)::bigint as hosts, sum(2)::bigint as brands, count(*) filter (where k % 4 <> 0)::bigint as runnable from m where k % 9 <> 0 group by 1")
 def manifest_inventory(spark, d):
-    k = F.col("n_nationkey")
-    m = P.raw(spark, d, "nation").select(
+    k = F.col("s_suppkey")
+    m = P.raw(spark, d, "supplier").select(
         F.when(k % 9 == 0, "Bad Key").otherwise(F.concat(F.lit("n"), k.cast("string"))).alias("key"),
-        F.concat(F.lit("https://r"), F.col("n_regionkey").cast("string"), F.lit(".example/fhir//")).alias("url"),
-        F.when(k % 4 == 0, "parked").otherwise("live").alias("status"), F.array("n_name", "n_name").alias("brands"), (k % 4 != 0).alias("runnable"),
+        F.concat(F.lit("https://r"), F.col("s_nationkey").cast("string"), F.lit(".example/fhir//")).alias("url"),
+        F.when(k % 4 == 0, "parked").otherwise("live").alias("status"), F.array("s_name", "s_name").alias("brands"), (k % 4 != 0).alias("runnable"),
     )
     return bundles.inventory(bundles.valid_manifest(m))
 
@@ -570,10 +573,151 @@ def bulk_reconciliation(spark, d):
 @_query("stream_ingest", "with x as (select p_partkey as k, * from part) select cast(k as varchar) as id, p_name as name, p_brand as address_city from x where k % 79 <> 0 and k % 83 <> 0 and k % 97 <> 0 and k % 89 <> 0")
 def stream_ingest(spark, d):
     """Location resources written as NDJSON files and read back as a stream, merged batch by batch."""
-    from .sources.shared import pinned_root
     from .streaming.ingest import ingest
 
     root = pinned_root(spark)
     P.location_resources(spark, d).select(F.col("resource").alias("value")).write.text(f"{root}/in")
     ingest(spark, f"{root}/in", "payer_0", "https://h.example/fhir", ("location",), f"{root}/out", f"{root}/mark", AS_OF).awaitTermination()
     return spark.read.parquet(f"{root}/out/location").select("id", "name", "address_city")
+
+
+@_query("latest_finished_run", f", f as (select *, case when run_id % 4 <> 0 then started_at + interval 5 minute end as finished_at from run) select payer_id, resource_type, run_id, finished_at from (select *, row_number() over (partition by payer_id, resource_type order by finished_at desc nulls last, run_id desc) as i from f) where i = 1")
+def latest_finished_run(spark, d):
+    r = P.runs(spark, d).withColumn("finished_at", F.expr("case when run_id % 4 <> 0 then started_at + interval 5 minute end"))
+    return runs.latest_finished(r).select("payer_id", "resource_type", "run_id", "finished_at")
+
+
+@_query("runs_of_the_month", ", m as (select payer_id, date_trunc('month', started_at) as month, count(*)::bigint as n from run group by 1, 2) select payer_id, strftime(month, '%Y-%m-%d') as month, n from m")
+def runs_of_the_month(spark, d):
+    return P.runs(spark, d).groupBy("payer_id", F.date_format(S.month_start(F.col("started_at")), "yyyy-MM-dd").alias("month")).agg(F.count("*").alias("n"))
+
+
+_UNIT = {
+    "payer_id": "concat('payer_', cast(user_id % 5 as string))", "resource_type": "event_type", "started_at": "cast(ts as timestamp)",
+    "bare_total": "case when event_id % 3 = 0 then cast(floor(value * 10) as bigint) end", "counted_total": "case when event_id % 7 = 1 then 0 else cast(floor(value * 12) as bigint) end", "count_gaps": "event_id % 5 = 0",
+    "mode": "case event_id % 4 when 0 then 'daterange' when 1 then 'name' else 'state' end", "match_all": "case event_id % 6 when 0 then true when 1 then false end", "method": "case event_id % 11 when 0 then 'blocked' when 1 then 'unsupported' else 'search' end",
+    "note": "case event_id % 13 when 0 then 'request budget reached' end", "extract_error": "case when event_id % 17 = 0 then 'timeout' end", "loaded": "case when event_id % 5 = 0 then 0 else cast(floor(value * 10) as bigint) end",
+    "fetch_errors": "case when event_id % 19 = 18 then 1 else 0 end", "transform_errors": "0",
+}
+_UNITS_SQL = ", ".join(f"{x} as {c}" for c, x in _UNIT.items())
+_DENOMINATED = (
+    f"u as (select event_id, {_UNITS_SQL} from events), fit as (select *, counted_total > 0 and not coalesce(count_gaps, false) as ok from u),"
+    " t as (select *, case when bare_total is not null then 'bare' when ok and mode = 'daterange' then 'daterange_window_sum' when ok and match_all then 'match_all_count' end as total_source from fit),"
+    " v as (select *, case when bare_total is not null then bare_total when total_source is not null then counted_total end as server_total from t)"
+)
+
+
+@_query("denominator_sources", f"with {_DENOMINATED} select total_source, count(*)::bigint as n, sum(server_total)::bigint as server_total from v group by 1")
+def denominator_sources(spark, d):
+    e = P.raw(spark, d, "events").selectExpr(*(f"{x} as {c}" for c, x in _UNIT.items()))
+    total, source = runs.denominator(F.col("bare_total"), F.col("counted_total"), F.col("count_gaps"), F.col("mode"), F.col("match_all"))
+    return e.select(source.alias("total_source"), total.alias("t")).groupBy("total_source").agg(F.count("*").alias("n"), F.sum("t").alias("server_total"))
+
+
+@_query("finalised_runs", (
+    f"with {P.CTES}, {_DENOMINATED}, p as (select payer_id, resource_type, resource_count as prior_count from (select *, row_number() over (partition by payer_id, resource_type order by started_at desc, run_id desc) as i from run where status in ('ok', 'partial')) where i = 1),"
+    " w as (select v.*, case when method = 'blocked' then 'error' when method = 'unsupported' then 'skipped' when extract_error is not null and loaded = 0 then 'error' when extract_error is not null then 'partial' when server_total > 0 and loaded = 0 then 'error'"
+    " when note like '%budget%' then 'partial' when fetch_errors > 0 then 'partial' when loaded = 0 and server_total = 0 then 'ok' when loaded = 0 then 'empty-unverified' else 'ok' end as status from v)"
+    " select sha256(concat_ws('|', payer_id, resource_type, strftime(started_at, '%Y-%m-%d %H:%M:%S'))) as unit, server_total, total_source, status, prior_count, round(100.0::double * (loaded - prior_count) / nullif(prior_count, 0), 1) as pct_change from w left join p using (payer_id, resource_type)"
+))
+def finalised_runs(spark, d):
+    """Every event as a unit that ended, against the history of all runs."""
+    done = P.raw(spark, d, "events").selectExpr(*(f"{x} as {c}" for c, x in _UNIT.items()))
+    unit = F.sha2(F.concat_ws("|", "payer_id", "resource_type", F.date_format("started_at", "yyyy-MM-dd HH:mm:ss")), 256)
+    return runs.finalised(done, P.runs(spark, d)).select(unit.alias("unit"), "server_total", "total_source", "status", "prior_count", "pct_change")
+
+
+@_query("expected_scoreboard", (
+    "with types as (select distinct event_type as resource_type from events), grid as (select cast(c_custkey as varchar) as payer_id, resource_type from customer, types where c_custkey % 3 <> 0 or resource_type in ('click', 'view')),"
+    " r as (select cast(user_id as varchar) as payer_id, event_type as resource_type, event_id, ts, cast(floor(value * 10) as bigint) as n, case when event_id % 3 = 0 then 'request budget' end as notes from events),"
+    " l as (select * from (select *, row_number() over (partition by payer_id, resource_type order by ts desc, event_id desc) as i from r) where i = 1), s as (select payer_id, resource_type, sum(n)::bigint as loaded from r group by 1, 2)"
+    f" select payer_id, resource_type, coalesce(loaded, 0) as loaded, n as server_total, {_pct('coalesce(loaded, 0)', 'n')} as coverage_pct, case when n is not null then greatest(0, n - coalesce(loaded, 0)) end as residual,"
+    f" concat_ws(',', case when {_pct('coalesce(loaded, 0)', 'n')} > 100 then 'total-misreported' end, case when notes like '%budget%' then 'own-cap-truncated' end) as flags from grid left join s using (payer_id, resource_type) left join l using (payer_id, resource_type)"
+))
+def expected_scoreboard(spark, d):
+    """Every expected pair of customer and type, most of which no event covers."""
+    e = P.raw(spark, d, "events").selectExpr("cast(user_id as string) payer_id", "event_type resource_type", "event_id run_id", "ts started_at", "cast(floor(value * 10) as bigint) server_total", "'ok' status", "case when event_id % 3 = 0 then 'request budget' end notes")
+    manifest = P.raw(spark, d, "customer").selectExpr("cast(c_custkey as string) key", "case when c_custkey % 3 = 0 then array('click', 'view') end resources")
+    grid = bundles.expected_units(manifest, e.select("resource_type").distinct()).withColumnRenamed("key", "payer_id")
+    loaded = e.groupBy("payer_id", "resource_type").agg(F.sum("server_total").alias("loaded"))
+    board = runs.coverage_board(grid, loaded, e)
+    return board.select("payer_id", "resource_type", "loaded", "server_total", "coverage_pct", "residual", F.array_join("flags", ",").alias("flags"))
+
+
+@_query("aged_units", ", a as (select payer_id, min(started_at) as first_at, max(started_at) as last_at from run group by 1) select * from a where last_at > first_at + interval 7 day")
+def aged_units(spark, d):
+    return runs.aged(P.runs(spark, d).select("payer_id", F.col("started_at").alias("at")), 7 * 86400)
+
+
+@_query("overview", f", {_SCORED}, shown as (select p.payer_id, total_rows, composite from payers p left join (select * from scored where scheme = 'default') s using (payer_id)) select count(*)::bigint as payers, sum(total_rows)::bigint as total_rows, round(avg(composite), 1) as mean_composite from shown")
+def overview(spark, d):
+    scored = metrics.composite(_dimensions(spark, d)).filter("scheme = 'default'").select("payer_id", "composite")
+    return runs.overview(completeness_by_payer(spark, d).select("payer_id", "total_rows").join(scored, "payer_id", "left"))
+
+
+_DAYS = f"scores as (select payer_id, scheme as weight_scheme, composite from scored), old as (select payer_id, '2024-01-01' as scored_at, weight_scheme, composite - 1 as composite, null as detail from scores where payer_id <> 'payer_4'), new as (select payer_id, case when payer_id = 'payer_3' then '2024-01-02' else '2024-01-01' end as scored_at, weight_scheme, composite, case when weight_scheme = 'default' then payer_id end as detail from scores)"
+
+
+@_query("score_upsert", f", {_SCORED}, {_DAYS} select * from new union all select * from old where not exists (select 1 from new where new.payer_id = old.payer_id and new.scored_at = old.scored_at and new.weight_scheme = old.weight_scheme)")
+def score_upsert(spark, d):
+    scores = pinned(metrics.composite(_dimensions(spark, d)).select("payer_id", F.col("scheme").alias("weight_scheme"), "composite"))
+    old = scores.filter("payer_id <> 'payer_4'").selectExpr("payer_id", "'2024-01-01' scored_at", "weight_scheme", "composite - 1 composite", "cast(null as string) detail")
+    new = scores.selectExpr("payer_id", "case when payer_id = 'payer_3' then '2024-01-02' else '2024-01-01' end scored_at", "weight_scheme", "composite", "payer_id detail")
+    return merge.upsert_scores(old, new)
+
+
+@_query("provenance_append", "select run_id, payer_id, resource_type, resource_count from run where run_id % 2 = 0 union all select run_id, payer_id, resource_type, resource_count from run where run_id % 2 = 1")
+def provenance_append(spark, d):
+    """Two batches of runs added to one table and read back."""
+    path, r = pinned_root(spark), P.runs(spark, d).select("run_id", "payer_id", "resource_type", "resource_count")
+    runs.append(r.filter("run_id % 2 = 0"), path)
+    runs.append(r.filter("run_id % 2 = 1"), path)
+    return spark.read.schema(r.schema).parquet(path)
+
+
+@_query("report_files", "select payer_id, resource_type, run_id, resource_count, status, 'csv' as form from (select *, row_number() over (partition by payer_id, resource_type order by started_at desc, run_id desc) as i from run) where i = 1 union all select payer_id, resource_type, run_id, resource_count, status, 'json' from (select *, row_number() over (partition by payer_id, resource_type order by started_at desc, run_id desc) as i from run) where i = 1")
+def report_files(spark, d):
+    """The latest runs as CSV and JSON reports, read back from both."""
+    path, r = pinned_root(spark), runs.latest(P.runs(spark, d)).select("payer_id", "resource_type", "run_id", "resource_count", "status")
+    merge.write_reports(r, path)
+    csv, js = spark.read.schema(r.schema).csv(f"{path}/csv", header=True), spark.read.schema(r.schema).json(f"{path}/json")
+    return csv.withColumn("form", F.lit("csv")).unionByName(js.withColumn("form", F.lit("json")))
+
+
+@_query("replace_load", f"{_SLICES} select * from a where payer_id <> 'payer_1' union all select * from b where payer_id = 'payer_1'")
+def replace_load(spark, d):
+    """One payer's partition replaced, the others left alone."""
+    (a, b), path = _slices(spark, d), pinned_root(spark)
+    merge.replace_partition(a, path)
+    merge.replace_partition(b.filter("payer_id = 'payer_1'"), path)
+    return spark.read.schema(a.schema).parquet(path).select(a.columns)
+
+
+@_query("merge_into_files", f"{_SLICES} select payer_id, id, price from b union all select * from a where not exists (select 1 from b where a.payer_id = b.payer_id and a.id = b.id)")
+def merge_into_files(spark, d):
+    """Two snapshots merged into one partitioned table on disk, the second one twice."""
+    (a, b), path = _slices(spark, d), pinned_root(spark)
+    for batch in (a, b, b):
+        merge.merge_into(batch, path)
+    return spark.read.schema(a.schema).parquet(path).select(a.columns)
+
+
+def _guide(spark, d) -> DataFrame:
+    """A requirement statement for each supplier, with expectations as extensions."""
+    k = F.col("s_suppkey")
+    said = lambda word: F.array(F.struct(F.lit("http://x/other").alias("url"), F.lit("MUST").alias("valueCode")), F.struct(F.lit("http://hl7.org/fhir/StructureDefinition/capabilitystatement-expectation").alias("url"), word.alias("valueCode")))
+    resource = F.struct(
+        F.lit("Location").alias("type"), F.array(F.struct(F.lit("read").alias("code"), said(F.when(k % 2 == 0, "SHALL").otherwise("SHOULD")).alias("extension"))).alias("interaction"),
+        F.array(F.struct(F.lit("_id").alias("name"), said(F.lit("MAY")).alias("extension"))).alias("searchParam"), F.array(F.lit("Location:organization")).alias("searchInclude"),
+    )
+    later = F.struct(F.array(F.struct(F.lit("Endpoint").alias("type"), resource["interaction"].alias("interaction"), resource["searchParam"].alias("searchParam"), resource["searchInclude"].alias("searchInclude"))).alias("resource"))
+    return P.raw(spark, d, "supplier").select(F.col("s_name").alias("guide"), F.to_json(F.struct(F.array(F.struct(F.array(resource).alias("resource")), later).alias("rest"))).alias("statement"))
+
+
+@_query("requirement_rows", "with r as (select s_name as guide, s_suppkey as k, t.* from supplier, (values ('interaction', 'read'), ('search_param', '_id'), ('include', 'Location:organization')) t(kind, item)) select guide, 'Location' as resource_type, kind, item, case kind when 'search_param' then 'MAY' when 'interaction' then case when k % 2 = 0 then 'SHALL' else 'SHOULD' end end as expectation from r")
+def requirement_rows(spark, d):
+    """Requirements with their expectations, of the first rest of each statement."""
+    return capability.statement_rows(_guide(spark, d))
+
+
+catalogue_resources.register(_query)

@@ -10,9 +10,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 CONCEPT = "struct<coding:array<struct<system:string,code:string>>,text:string>"
-STATES = (
-    "AL AK AZ AR CA CO CT DE FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV NH NJ NM NY NC ND OH OK OR PA RI SC SD TN TX UT VT VA WA WV WI WY DC PR"
-).split()
+# The states, the federal district and Puerto Rico.
+STATES = [
+    "AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "FL", "GA", "HI", "ID", "IL",
+    "IN", "IA", "KS", "KY", "LA", "ME", "MD", "MA", "MI", "MN", "MS", "MO", "MT",
+    "NE", "NV", "NH", "NJ", "NM", "NY", "NC", "ND", "OH", "OK", "OR", "PA", "RI",
+    "SC", "SD", "TN", "TX", "UT", "VT", "VA", "WA", "WV", "WI", "WY", "DC", "PR",
+]
 INITIALS = [chr(c) for c in (*range(97, 123), *range(48, 58))]
 
 
@@ -53,7 +57,7 @@ def human_name(names: Column) -> dict[str, Column]:
     """family, given and name_text of the first name."""
     first = F.try_element_at(names, F.lit(1))
     given = F.nullif(F.array_join(first["given"], " "), F.lit(""))
-    joined = F.nullif(F.concat_ws(" ", first["family"], given), F.lit(""))
+    joined = F.nullif(F.concat_ws(" ", given, first["family"]), F.lit(""))
     return {"family": first["family"], "given": given, "name_text": F.coalesce(F.nullif(first["text"], F.lit("")), joined)}
 
 
@@ -147,6 +151,11 @@ def key_slug(key: Column) -> Column:
     return F.when(slug.rlike("^[a-z_][a-z0-9_]*$"), slug)
 
 
+def month_start(at: Column) -> Column:
+    """First moment of a timestamp's month, in the session's time zone."""
+    return F.date_trunc("month", at)
+
+
 def pct(part: Column, whole: Column) -> Column:
     """100 * part / whole to one decimal, null for a null or zero whole."""
     return F.round(F.lit(100.0) * part / F.nullif(whole, F.lit(0)), 1)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..sources.bundles import TYPES
 
 NPI = "http://hl7.org/fhir/sid/us-npi"
 _C = S.CONCEPT
@@ -88,10 +89,7 @@ def _columns(table: str) -> dict[str, Column]:
     raise ValueError(f"unknown table {table!r}")
 
 
-RESOURCE_OF = {
-    "organization": "Organization", "practitioner": "Practitioner", "practitioner_role": "PractitionerRole", "location": "Location",
-    "healthcare_service": "HealthcareService", "organization_affiliation": "OrganizationAffiliation", "insurance_plan": "InsurancePlan", "endpoint_resource": "Endpoint",
-}
+RESOURCE_OF = {table: kind for kind, table in TYPES.items()}
 
 
 def checked(df: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..sources.shared import pinned
 
@@ -35,18 +36,40 @@ def replace_partition(df: DataFrame, path: str, by: str = "payer_id") -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
-def merge_into(batch: DataFrame, path: str, mode: str = "update", key=KEY) -> None:
-    """Merge a batch into a parquet table partitioned by the key's first column; only touched partitions are read and rewritten."""
-    spark, by = batch.sparkSession, key[0]
-    batch = pinned(one_per_key(batch, key))
+BUCKET = "key_bucket"
+
+
+def merge_into(batch: DataFrame, path: str, mode: str = "update", key=KEY, buckets: int = 16) -> None:
+    """Merge a batch into a parquet table partitioned by the key's first column and a hash of the rest.
+
+    Only partitions that the batch touches are read. Rows under new keys are appended;
+    in update mode the partitions that hold a row which the batch changes are rewritten,
+    so rows delivered again as they are rewrite nothing. Columns that the batch lacks keep
+    their values (null in new rows), columns that the table lacks are added.
+    """
+    spark, by = batch.sparkSession, [key[0], BUCKET]
+    batch = pinned(one_per_key(batch, key).withColumn(BUCKET, F.expr(f"cast(pmod(xxhash64({', '.join(key[1:])}), {buckets}) as int)")))
     fs = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not fs.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs):
-        batch.write.partitionBy(by).parquet(path)
+        batch.write.partitionBy(*by).parquet(path)
         return
-    table = spark.read.schema(batch.schema).parquet(path)
-    touched = table.join(F.broadcast(batch.select(by).distinct()), by, "left_semi")  # at most as many rows as there are payers
-    merged = (update if mode == "update" else insert_only)(touched.select(batch.columns), batch, key)
-    replace_partition(pinned(merged), path, by)
+    known = spark.read.option("mergeSchema", True).parquet(path).schema
+    extra = [f for f in known if f.name not in batch.columns]
+    table = spark.read.schema(StructType([*batch.schema.fields, *extra])).parquet(path)
+    places = F.broadcast(batch.select(*by).distinct())  # at most payers x buckets rows
+    held = table.join(places, by, "left_semi")
+    new = batch.join(held.select(*key), list(key), "left_anti")
+    if mode == "update":
+        rest = [c for c in batch.columns if c not in (*key, BUCKET)]
+        before = held.select(*key, F.struct(*rest).alias("_before") if rest else F.lit(1).alias("_before"), *(F.col(f.name) for f in extra))
+        changed = batch.join(before, list(key)).filter(~F.struct(*rest).eqNullSafe(F.col("_before")) if rest else F.lit(False)).drop("_before")
+        changed = pinned(changed)
+        stay = held.join(F.broadcast(changed.select(*by).distinct()), by, "left_semi").join(changed.select(*key), list(key), "left_anti")
+        new = pinned(new)
+        pinned(stay.unionByName(changed.select(stay.columns))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    else:
+        new = pinned(new)
+    new.write.mode("append").partitionBy(*by).parquet(path)
 
 
 def upsert_scores(target: DataFrame, scores: DataFrame) -> DataFrame:

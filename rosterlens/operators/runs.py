@@ -11,6 +11,13 @@ from pyspark.sql.window import Window
 from ..functions.scalars import pct
 
 
+# The notes of a run's status, and the order in which types are shown.
+REFUSED = "host refused the request"
+NONE_LANDED = "0 rows landed vs server_total="
+NOT_VERIFIED = "0 rows landed; server total unknown"
+DISPLAY_ORDER = ("organization", "practitioner", "practitioner_role", "location", "healthcare_service", "organization_affiliation", "insurance_plan", "endpoint_resource")
+
+
 def latest(runs: DataFrame, order: Column | str = "started_at") -> DataFrame:
     """The newest run of each (payer_id, resource_type); of equal times the largest run_id. One aggregation, no sort."""
     own = F.struct(*runs.columns)
@@ -41,28 +48,28 @@ def denominator(bare: Column, counted: Column, gaps: Column, mode: Column, match
 
 def run_status(method: Column, note: Column, extract_error: Column, loaded: Column, total: Column, fetch_errors: Column, transform_errors: Column) -> Column:
     """(status, extra_note) of a run; the first rule that holds decides."""
-    note = F.coalesce(note, F.lit(""))
+    text = F.coalesce(note, F.lit(""))
 
-    def made(status: str, extra: str | None = None) -> Column:
-        return F.struct(F.lit(status).alias("status"), F.lit(extra).cast("string").alias("extra_note"))
+    def made(status: str, extra: Column | None = None) -> Column:
+        return F.struct(F.lit(status).alias("status"), (F.lit(None).cast("string") if extra is None else extra).alias("extra_note"))
 
     return (
-        F.when(method.isin("blocked", "partition-failed"), made("error"))
+        F.when(method.isin("blocked", "partition-failed"), made("error", F.when(text != "", text).otherwise(REFUSED)))
         .when(method.isin("needs-partition", "unsupported"), made("skipped"))
         .when(extract_error.isNotNull() & (loaded == 0), made("error"))
         .when(extract_error.isNotNull(), made("partial"))
-        .when((total > 0) & (loaded == 0), made("error", "declared rows but none loaded"))
-        .when(note.contains("pagination stopped") | note.contains("budget"), made("partial"))
+        .when((total > 0) & (loaded == 0), made("error", F.concat(F.lit(NONE_LANDED), total.cast("string"))))
+        .when(text.contains("pagination stopped") | text.contains("budget"), made("partial"))
         .when((F.coalesce(fetch_errors, F.lit(0)) + F.coalesce(transform_errors, F.lit(0))) > 0, made("partial"))
         .when((loaded == 0) & (total == 0), made("ok"))
-        .when(loaded == 0, made("empty-unverified"))
+        .when(loaded == 0, made("empty-unverified", F.lit(NOT_VERIFIED)))
         .otherwise(made("ok"))
     )
 
 
 def coverage(loaded: Column, total: Column) -> tuple[Column, Column]:
     """(percent, residual) of loaded against declared rows; the percentage isn't capped."""
-    return pct(loaded, total), F.greatest(F.lit(0), total - loaded)
+    return pct(loaded, total), F.when(total.isNotNull(), F.greatest(F.lit(0), total - loaded))
 
 
 def truth_flags(coverage_pct: Column, note: Column) -> Column:
@@ -103,6 +110,32 @@ def stalls(polls: DataFrame, k: int = 3, grace_seconds: int = 0) -> DataFrame:
     return flat.groupBy("payer_id", "island").agg(F.count("*").alias("polls"), F.min("at").alias("first_at"), F.max("at").alias("last_at")).filter(F.col("polls") >= k)
 
 
+def aged(polls: DataFrame, max_age_seconds: int) -> DataFrame:
+    """(payer_id, first_at, last_at) of units polled for longer than ``max_age_seconds``, whether they grow or not."""
+    span = polls.groupBy("payer_id").agg(F.min("at").alias("first_at"), F.max("at").alias("last_at"))
+    return span.filter(F.col("last_at") > F.col("first_at") + F.make_interval(secs=F.lit(max_age_seconds)))
+
+
+def weakest(df: DataFrame, names: list[str], n: int) -> DataFrame:
+    """(payer_id, place, names, pct): each payer's ``n`` smallest percentages, ties by name."""
+    w = Window.partitionBy("payer_id").orderBy("pct", *names)
+    return df.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= n).select("payer_id", "place", *names, "pct").orderBy("payer_id", "place")
+
+
+def ordered_board(counts: DataFrame, types: tuple[str, ...] = DISPLAY_ORDER) -> DataFrame:
+    """(payer_place, type_place, payer_id, resource_type, n, total): payers by total, most first; a payer's types in display order."""
+    place = F.create_map(*(F.lit(x) for i, t in enumerate(types) for x in (t, i)))
+    total = counts.groupBy("payer_id").agg(F.sum("n").alias("total"))
+    placed = total.withColumn("payer_place", F.row_number().over(Window.orderBy(F.desc("total"), "payer_id")))  # a row a payer
+    out = counts.join(placed, "payer_id").select("payer_place", F.try_element_at(place, F.col("resource_type")).alias("type_place"), "payer_id", "resource_type", "n", "total")
+    return out.orderBy("payer_place", "type_place")
+
+
+def overview(scores: DataFrame) -> DataFrame:
+    """(payers, total_rows, mean_composite) over all payers; payers without a composite don't count in the mean."""
+    return scores.agg(F.count("*").alias("payers"), F.sum("total_rows").alias("total_rows"), F.round(F.avg("composite"), 1).alias("mean_composite"))
+
+
 def due_units(plan: DataFrame, excluded: DataFrame, running: DataFrame, runs: DataFrame, since: datetime) -> DataFrame:
     """Units of the plan with why they are skipped (null: due)."""
     keys = ["payer_id", "resource_type"]

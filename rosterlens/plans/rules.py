@@ -12,81 +12,77 @@ from ..functions.scalars import has_key
 
 @dataclass(frozen=True)
 class Element:
-    """An element of a resource: present if its key is, or if the named columns aren't null."""
+    """An element of a resource: present if its JSON key is, or if the named columns aren't null."""
 
     name: str
     required: bool = False
     columns: tuple[str, ...] = ()
 
+    @property
+    def key(self) -> str:
+        return self.name
+
     def condition(self) -> Column:
         if not self.columns:
-            return has_key(F.col("resource"), self.name)
+            return has_key(F.col("resource"), self.key)
         out = F.lit(True)
         for c in self.columns:
             out = out & F.col(c).isNotNull()
         return out
 
 
-def _elements(text: str) -> tuple[Element, ...]:
-    return tuple(Element(e.rstrip("*"), e.endswith("*")) for e in text.split())
+REQUIRED = True
 
-
-# Elements by resource type; a star marks the required ones.
+# Elements by table, which of them are required, and the columns of those that no JSON key stands for.
 ELEMENTS: dict[str, tuple[Element, ...]] = {
-    "organization": _elements("active* name* identifier type telecom address"),
-    "practitioner": (*_elements("name*"), Element("npi", columns=("npi",)), *_elements("active qualification telecom")),
-    "practitioner_role": _elements("practitioner organization code specialty location"),
-    "location": (*_elements("status name* type telecom address"), Element("position", columns=("latitude", "longitude")), *_elements("managingOrganization")),
-    "healthcare_service": _elements("providedBy location type specialty name"),
-    "organization_affiliation": _elements("active organization participatingOrganization network code location"),
-    "insurance_plan": _elements("identifier type name* ownedBy administeredBy coverageArea plan"),
-    "endpoint_resource": _elements("status* connectionType* address* payloadType"),
-}
+    "organization": (Element("active", REQUIRED), Element("name", REQUIRED), Element("identifier"), Element("type"), Element("telecom"), Element("address")),
+    "practitioner": (Element("name", REQUIRED), Element("identifier_npi", columns=("npi",)), Element("active"), Element("qualification"), Element("telecom")),
+    "practitioner_role": (Element("practitioner"), Element("organization"), Element("code"), Element("specialty"), Element("location")),
+    "location": (
+        Element("status"), Element("name", REQUIRED), Element("type"), Element("telecom"), Element("address"),
+        Element("position_geo", columns=("latitude", "longitude")), Element("managingOrganization"),
+    ),
+    "healthcare_service": (Element("providedBy"), Element("location"), Element("type"), Element("specialty"), Element("name")),
+    "organization_affiliation": (Element("active"), Element("organization"), Element("participatingOrganization"), Element("network"), Element("code"), Element("location")),
+    "insurance_plan": (Element("identifier"), Element("type"), Element("name", REQUIRED), Element("ownedBy"), Element("administeredBy"), Element("coverageArea"), Element("plan")),
+    "endpoint_resource": (Element("status", REQUIRED), Element("connectionType", REQUIRED), Element("address", REQUIRED), Element("payloadType")),
+}
 
 
 @dataclass(frozen=True)
 class Check:
+    """A reference column, the table it points to, whether it is an array, and the name it is reported under."""
+
     source: str
     column: str
     target: str
-    many: bool = False
-
-    @property
-    def label(self) -> str:
-        return f"{self.source}.{self.column}"
-
-
-def _checks(text: str) -> tuple[Check, ...]:
-    out = []
-    for line in text.split("\n"):
-        if line.strip():
-            left, target = line.split("->")
-            source, column = left.strip().split(".")
-            out.append(Check(source, column.rstrip("[]"), target.strip(), column.endswith("[]")))
-    return tuple(out)
-
-
-# Reference columns and the tables they point to; [] marks arrays.
-CHECKS = _checks("""
-practitioner_role.practitioner_ref -> practitioner
-practitioner_role.organization_ref -> organization
-practitioner_role.location_refs[] -> location
-practitioner_role.healthcare_service_refs[] -> healthcare_service
-practitioner_role.network_refs[] -> organization
-organization_affiliation.organization_ref -> organization
-organization_affiliation.participating_organization_ref -> organization
-organization_affiliation.network_refs[] -> organization
-organization_affiliation.location_refs[] -> location
-organization_affiliation.healthcare_service_refs[] -> healthcare_service
-location.managing_organization_ref -> organization
-healthcare_service.provided_by_ref -> organization
-healthcare_service.location_refs[] -> location
-insurance_plan.owned_by_ref -> organization
-insurance_plan.administered_by_ref -> organization
-insurance_plan.coverage_area_refs[] -> location
-insurance_plan.network_refs[] -> organization
-organization.part_of_ref -> organization
-""")
+    many: bool
+    label: str
+
+
+MANY, ONE = True, False
+
+# The reference columns, their targets and labels.
+CHECKS = (
+    Check("practitioner_role", "practitioner_ref", "practitioner", ONE, "PractitionerRole.practitioner"),
+    Check("practitioner_role", "organization_ref", "organization", ONE, "PractitionerRole.organization"),
+    Check("practitioner_role", "location_refs", "location", MANY, "PractitionerRole.location"),
+    Check("practitioner_role", "healthcare_service_refs", "healthcare_service", MANY, "PractitionerRole.healthcareService"),
+    Check("practitioner_role", "network_refs", "organization", MANY, "PractitionerRole.network"),
+    Check("organization_affiliation", "organization_ref", "organization", ONE, "OrganizationAffiliation.organization"),
+    Check("organization_affiliation", "participating_organization_ref", "organization", ONE, "OrganizationAffiliation.participatingOrganization"),
+    Check("organization_affiliation", "network_refs", "organization", MANY, "OrganizationAffiliation.network"),
+    Check("organization_affiliation", "location_refs", "location", MANY, "OrganizationAffiliation.location"),
+    Check("organization_affiliation", "healthcare_service_refs", "healthcare_service", MANY, "OrganizationAffiliation.healthcareService"),
+    Check("location", "managing_organization_ref", "organization", ONE, "Location.managingOrganization"),
+    Check("healthcare_service", "provided_by_ref", "organization", ONE, "HealthcareService.providedBy"),
+    Check("healthcare_service", "location_refs", "location", MANY, "HealthcareService.location"),
+    Check("insurance_plan", "owned_by_ref", "organization", ONE, "InsurancePlan.ownedBy"),
+    Check("insurance_plan", "administered_by_ref", "organization", ONE, "InsurancePlan.administeredBy"),
+    Check("insurance_plan", "coverage_area_refs", "location", MANY, "InsurancePlan.coverageArea"),
+    Check("insurance_plan", "network_refs", "organization", MANY, "InsurancePlan.network"),
+    Check("organization", "part_of_ref", "organization", ONE, "Organization.partOf"),
+)
 
 DIMENSIONS = ("completeness", "conformance", "referential_integrity", "freshness", "uniqueness", "consistency")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Resource types and their tables.
 TYPES = {
     "Organization": "organization", "Practitioner": "practitioner", "PractitionerRole": "practitioner_role", "Location": "location",
     "HealthcareService": "healthcare_service", "OrganizationAffiliation": "organization_affiliation", "InsurancePlan": "insurance_plan", "Endpoint": "endpoint_resource",
@@ -51,6 +52,11 @@ def inventory(manifest: DataFrame) -> DataFrame:
     )
 
 
+def value_list(spark: SparkSession, path: str) -> DataFrame:
+    """(value) of a list kept as a text file, one to a line, each once: long lists, as of specialty codes, are parameters."""
+    return spark.read.text(path).select(F.trim("value").alias("value")).filter("value <> ''").distinct()
+
+
 def payers_with_data(tables: list[DataFrame]) -> DataFrame:
     out = tables[0].select("payer_id")
     for df in tables[1:]:

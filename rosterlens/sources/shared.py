@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,9 +13,11 @@ _TEMPORARY: dict[str, str] = {}
 
 
 def pinned_root(spark: SparkSession) -> str:
-    """A new folder's path under ``spark.checkpoint.dir`` (a temporary folder of the application only where that is unset)."""
+    """A new folder's path under ``spark.checkpoint.dir``; where that is unset, in a temporary folder in local mode and an error on a cluster."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = _TEMPORARY.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="rosterlens-"))
     return f"{root.rstrip('/')}/p-{uuid.uuid4().hex}"
 

@@ -17,8 +17,8 @@ from ..operators.merge import merge_into
 from ..sources.bundles import split_lines
 
 
-def write_batch(lines: DataFrame, payer_id: str, base_url: str, tables: tuple[str, ...], out: str, seen_at: datetime, mode: str = "update") -> None:
-    """Merge one batch of lines into every table under ``out``; rejects are merged by their text, so that a repeat adds none."""
+def write_batch(lines: DataFrame, payer_id: str, base_url: str, tables: tuple[str, ...], out: str, seen_at: datetime, mode: str = "update", batch: int = 0) -> None:
+    """Merge one batch of lines into every table under ``out``, and its counts; rejects are merged by their text, so that a repeat adds none."""
     ok, bad = split_lines(lines.select("value"))
     rows = ok.select(F.lit(payer_id).alias("payer_id"), F.lit(base_url).alias("source_base_url"), "resource").persist()
     try:
@@ -30,12 +30,19 @@ def write_batch(lines: DataFrame, payer_id: str, base_url: str, tables: tuple[st
         wrong = wrong.withColumn("id", F.sha2("resource", 256))
         if not wrong.isEmpty():
             merge_into(wrong, f"{out}/rejects", "insert")
+        counts = lines.agg(F.count_if(F.trim("value") != "").alias("lines")).join(wrong.agg(F.count("*").alias("rejects")), F.lit(True))  # a row each
+        counts.select("lines", "rejects").write.mode("overwrite").parquet(f"{out}/counts/batch={batch}")
     finally:
         rows.unpersist()
 
 
 def ingest(spark: SparkSession, path: str, payer_id: str, base_url: str, tables: tuple[str, ...], out: str, checkpoint: str, seen_at: datetime, mode: str = "update", files: int = 16) -> StreamingQuery:
     """Start reading the NDJSON files under ``path`` that aren't read yet; ``checkpoint`` remembers which are."""
-    lines = spark.readStream.option("maxFilesPerTrigger", files).text(path).observe("lines", F.count("*").alias("n"), F.count_if(F.trim("value") == "").alias("blank"))
-    write = lines.writeStream.foreachBatch(lambda df, _: write_batch(df, payer_id, base_url, tables, out, seen_at, mode))
+    lines = spark.readStream.option("maxFilesPerTrigger", files).text(path)
+    write = lines.writeStream.foreachBatch(lambda df, n: write_batch(df, payer_id, base_url, tables, out, seen_at, mode, n))
     return write.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def batch_counts(spark: SparkSession, out: str) -> DataFrame:
+    """(batch, lines, rejects) of every batch written under ``out``; a batch that ran again counts once."""
+    return spark.read.parquet(f"{out}/counts")

@@ -20,7 +20,7 @@ def test_practitioner(spark):
         "name": [{"family": "F", "given": ["A", "B"]}], "identifier": [{"system": "x", "value": "0"}, {"system": f.NPI, "value": "9"}],
         "qualification": [{"code": {"coding": [{"code": "MD"}]}}],
     })
-    assert (r.family, r.given, r.name_text, r.npi, r.active, r.qualification_codes) == ("F", "A B", "F A B", "9", 1, ["MD"])
+    assert (r.family, r.given, r.name_text, r.npi, r.active, r.qualification_codes) == ("F", "A B", "A B F", "9", 1, ["MD"])
 
 
 def test_organization_network(spark):

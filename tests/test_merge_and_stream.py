@@ -26,6 +26,21 @@ def test_merges_are_idempotent(spark, tmp_path):
     assert as_set(spark.read.parquet(path)) == {("a", "1", 2), ("a", "2", 7), ("b", "1", 1), ("b", "3", 3)}
 
 
+def test_merge_keeps_columns_and_appends_new_keys(spark, tmp_path):
+    path = str(tmp_path / "t")
+    merge.merge_into(spark.createDataFrame([("a", "1", 1, "x"), ("a", "2", 2, "y"), ("001", "1", 5, "z")], T + ", w string"), path)
+    files = {f for f in spark.read.parquet(path).inputFiles()}
+    merge.merge_into(table(spark, ("a", "1", 1), ("a", "9", 9)), path)  # delivered again as it is, and a new key
+    assert files <= set(spark.read.parquet(path).inputFiles())
+    merge.merge_into(spark.createDataFrame([("a", "1", 7, 0.5)], T + ", u double"), path)
+    schema = T + ", w string, u double"
+    got = {tuple(r) for r in spark.read.schema(schema).parquet(path).select("payer_id", "id", "v", "w", "u").collect()}
+    assert got == {("a", "1", 7, "x", 0.5), ("a", "2", 2, "y", None), ("a", "9", 9, None, None), ("001", "1", 5, "z", None)}
+    merge.merge_into(table(spark, ("a", "1", 99), ("a", "3", 3)), path, "insert")
+    got = {tuple(r) for r in spark.read.schema(schema).parquet(path).select("payer_id", "id", "v", "w", "u").collect()}
+    assert ("a", "1", 7, "x", 0.5) in got and ("a", "3", 3, None, None) in got and len(got) == 5
+
+
 def test_diff_of_itself_is_unchanged(spark):
     a = table(spark, ("a", "1", 1), ("a", "2", None))
     assert {r.change for r in runs.snapshot_diff(a, a, ["payer_id", "id"], "v").collect()} == {"unchanged"}
@@ -54,3 +69,37 @@ def test_stream_restarts_without_gaps_or_repeats(spark, tmp_path):
     assert run(mark) == ["1", "2", "3"]
     assert run(mark + "-new") == ["1", "2", "3"]  # everything delivered again
     assert spark.read.parquet(f"{out}/rejects").count() == 1
+
+
+def test_stream_killed_in_mid_batch_loses_and_repeats_nothing(spark, tmp_path, monkeypatch):
+    """A batch that dies after its first table is written runs again whole; many tables, rejects and batch counts."""
+    from rosterlens.streaming import ingest as module
+
+    src, out, mark = (str(tmp_path / x) for x in ("src", "out", "mark"))
+    (tmp_path / "src").mkdir()
+    for n in range(3):
+        lines = [json.dumps({"resourceType": t, "id": f"{t}{i}", "name": "n"}) for t in ("Organization", "Location") for i in range(n, n + 3)]
+        (tmp_path / "src" / f"{n}.ndjson").write_text("\n".join([*lines, "{bad", ""]))
+    real, calls = module.merge_into, []
+
+    def dies(batch, path, mode="update", **more):
+        calls.append(path)
+        if len(calls) == 2:
+            raise RuntimeError("killed")
+        return real(batch, path, mode, **more)
+
+    def run():
+        module.ingest(spark, f"file://{src}", "p", "https://h", ("organization", "location"), f"file://{out}", f"file://{mark}", datetime(2024, 1, 1), files=1).awaitTermination()
+
+    monkeypatch.setattr(module, "merge_into", dies)
+    try:
+        run()
+        raise AssertionError("the stream should have failed")
+    except Exception as e:
+        assert "killed" in str(e)
+    run()
+    for t, kind in (("organization", "Organization"), ("location", "Location")):
+        assert sorted(r.id for r in spark.read.parquet(f"{out}/{t}").collect()) == [f"{kind}{i}" for i in range(5)]
+    assert spark.read.parquet(f"{out}/rejects").count() == 1
+    counts = module.batch_counts(spark, f"file://{out}")
+    assert sum(r.lines for r in counts.collect()) == 21 and sum(r.rejects for r in counts.collect()) == 3 and counts.count() == 3
