@@ -378,6 +378,28 @@ _CHUNK = f"doc_id long, text_key long, chunk int, lead long, own string, ahead s
 _IDS = f"doc_id long, chunk int, n_symbols long, ids array<int>, text_key long, {_SOURCE}"
 
 
+_DIGEST = f"doc_id long, chunk int, n_symbols long, n_ids long, ids_crc32 long, decoded_symbols long, text_key long, {_SOURCE}, decoded_chars long, decoded_sha256 string, ids array<int>"
+
+
+def _names(schema: str) -> list[str]:
+    return [f.split()[0] for f in schema.split(", ")]
+
+
+def _digest(v: Vocabulary, batch: pa.RecordBatch) -> pa.RecordBatch:
+    """``_DIGEST`` of some rows of ``_IDS``."""
+    crc, back, n, chars, sha = [], [], [], [], []
+    for chunk, ids in zip(batch.column(1).to_pylist(), batch.column(3), strict=True):
+        x = np.asarray(ids.values)
+        crc.append(zlib.crc32(x.astype("<u4").tobytes()))
+        text = v.decode(x, chunk == 0)
+        back.append(len(text) + (chunk == 0 and len(x) > 0))
+        n.append(len(x))
+        chars.append(len(text))
+        sha.append(hashlib.sha256(text.encode()).hexdigest())
+    columns = [*batch.columns[:3], *(pa.array(c, pa.int64()) for c in (n, crc, back)), *batch.columns[4:], pa.array(chars, pa.int64()), pa.array(sha, pa.string()), batch.column(3)]
+    return pa.RecordBatch.from_arrays(columns, names=_names(_DIGEST))
+
+
 def _mask(text: str) -> str:
     """Symbols as a string that Arrow can hold: the mark of the text itself becomes U+10FFFF, doubled with what is U+10FFFE or U+10FFFF already."""
     return text.replace("\U0010fffe", "\U0010fffe\U0010fffe").replace("\U0010ffff", "\U0010fffe\U0010fffd").replace(ALIEN, "\U0010ffff")
@@ -434,7 +456,7 @@ def chunks(docs: DataFrame, chunk: int = CHUNK, longest: int = 16) -> DataFrame:
     return docs.filter(F.length("text") >= chunk).select("doc_id", F.xxhash64("doc_id", "text").alias("text_key"), "text", *_source()).mapInArrow(run, _CHUNK)
 
 
-def _encode_short(docs: DataFrame, chunk: int, path: str | None) -> DataFrame:
+def _encode_short(docs: DataFrame, chunk: int, path: str | None, digested: bool) -> DataFrame:
     def run(batches):
         v = vocabulary(path)
         for batch in batches:
@@ -443,12 +465,13 @@ def _encode_short(docs: DataFrame, chunk: int, path: str | None) -> DataFrame:
                 ids = v.encode(part)
                 values = pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32))
                 ends = pa.array(np.concatenate(([0], np.cumsum([len(b) // 4 for b in ids]))).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
+                out = pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, len(part)), pa.array([0] * len(part), pa.int32()), pa.array([len(t) + 1 if t else 0 for t in part], pa.int64()), pa.ListArray.from_arrays(ends, values), pa.nulls(len(part), pa.int64()), *(batch.column(i).slice(a, len(part)) for i in (2, 3))],
-                    names=["doc_id", "chunk", "n_symbols", "ids", "text_key", "text_chars", "text_sha256"],
+                    names=_names(_IDS),
                 )
+                yield _digest(v, out) if digested else out
 
-    return docs.filter(F.length("text") < chunk).select("doc_id", "text", *_source()).mapInArrow(run, _IDS)
+    return docs.filter(F.length("text") < chunk).select("doc_id", "text", *_source()).mapInArrow(run, _DIGEST if digested else _IDS)
 
 
 def encode(docs: DataFrame, chunk: int = CHUNK, path: str | None = None) -> DataFrame:
@@ -457,8 +480,8 @@ def encode(docs: DataFrame, chunk: int = CHUNK, path: str | None = None) -> Data
     return short.unionByName(long)
 
 
-def _encoded(docs: DataFrame, chunk: int, path: str | None) -> tuple[DataFrame, DataFrame]:
-    """``encode`` of the texts that are one chunk, and of those that are cut."""
+def _encoded(docs: DataFrame, chunk: int, path: str | None, digested: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``encode`` of the texts that are one chunk, and of those that are cut; ``digested`` in the same pass, so that a task has one vocabulary."""
     given = docs.selectExpr("cast(doc_id as long) doc_id", "coalesce(cast(text as string), '') text")
     parts = materialise(chunks(given, chunk))
 
@@ -487,15 +510,13 @@ def _encoded(docs: DataFrame, chunk: int, path: str | None) -> tuple[DataFrame,
                 cuts = [cut_chunk(o, _unmask(x), y) for o, x, y in zip(own, ahead, lead, strict=True)]
                 ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in traces(v, cuts, list(zip(a, b, strict=True)))]
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int32())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((docs_, numbers, [len(o) for o in own], ids), kinds, strict=True)] + part.columns[7:], names=["doc_id", "chunk", "n_symbols", "ids", "text_key", "text_chars", "text_sha256"])
+                out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((docs_, numbers, [len(o) for o in own], ids), kinds, strict=True)] + part.columns[7:], names=_names(_IDS))
+                yield _digest(v, out) if digested else out
 
     one = parts.dropDuplicates(["text_key", "chunk"]).select("text_key", "chunk", "lead", "own", "ahead")
     cuts = one.mapInArrow(matrices, "text_key long, chunk int, matrix binary").groupBy("text_key").applyInPandas(join, "text_key long, chunk int, entry int, exit int")
     long = parts.join(materialise(cuts), ["text_key", "chunk"]).select("doc_id", "chunk", "lead", "own", "ahead", "entry", "exit", "text_key", "text_chars", "text_sha256")
-    return _encode_short(given, chunk, path), long.mapInArrow(trace, _IDS)
-
-
-_DIGEST = f"doc_id long, chunk int, n_symbols long, n_ids long, ids_crc32 long, decoded_symbols long, text_key long, {_SOURCE}, decoded_chars long, decoded_sha256 string, ids array<int>"
+    return _encode_short(given, chunk, path, digested), long.mapInArrow(trace, _DIGEST if digested else _IDS)
 
 
 def digest(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -504,17 +525,8 @@ def digest(encoded: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches):
         v = vocabulary(path)
         for batch in batches:
-            crc, back, n, chars, sha = [], [], [], [], []
-            for chunk, ids in zip(batch.column(1).to_pylist(), batch.column(3), strict=True):
-                x = np.asarray(ids.values)
-                crc.append(zlib.crc32(x.astype("<u4").tobytes()))
-                text = v.decode(x, chunk == 0)
-                back.append(len(text) + (chunk == 0 and len(x) > 0))
-                n.append(len(x))
-                chars.append(len(text))
-                sha.append(hashlib.sha256(text.encode()).hexdigest())
-            columns = [*batch.columns[:3], *(pa.array(c, pa.int64()) for c in (n, crc, back)), *batch.columns[4:], pa.array(chars, pa.int64()), pa.array(sha, pa.string()), batch.column(3)]
-            yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in _DIGEST.split(", ")])
+            for a in range(0, len(batch), 256):
+                yield _digest(v, batch.slice(a, 256))
 
     return encoded.mapInArrow(run, _DIGEST)
 
@@ -560,10 +572,10 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
 def encoded_and_decoded(docs: DataFrame, chunk: int = CHUNK, path: str | None = None) -> DataFrame:
     """``digest`` of each chunk of ``docs``; length and hash of the decoded text are the document's, as those of the source text are."""
-    short, long = _encoded(docs, chunk, path)
+    short, long = _encoded(docs, chunk, path, True)
     long = materialise(long)
-    whole = digest(long, path).drop("decoded_chars", "decoded_sha256").join(decoded_whole(long, path), "text_key", "left")
-    return digest(short, path).unionByName(whole).drop("text_key")
+    whole = long.drop("decoded_chars", "decoded_sha256").join(decoded_whole(long, path), "text_key", "left")
+    return short.unionByName(whole).drop("text_key")
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
