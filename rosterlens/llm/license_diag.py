@@ -8,7 +8,10 @@ template. Only the templates' own grams can meet anything, so a task keeps the t
 grams that lie in that fixed set before rows leave it; the join is with a table of a few
 hundred rows, broadcast (its size is that of TEMPLATES, not of the data).
 
-Null texts count as empty: no words, no labels, score 0. Repeated rows get a row each.
+Null texts count as empty: no words, no labels, score 0. Repeated rows get a row each, a
+null doc_id stays null. Other columns, whatever their names, are not read; an empty table
+gives no rows. Texts of any length are scanned whole, in memory proportional to the
+longest; of spans of one label the best covered gives the score.
 """
 
 from __future__ import annotations
@@ -109,7 +112,7 @@ def spans(scanned: DataFrame, k: int = 3, templates=TEMPLATES, slack: int = 3, l
     """Verified licence spans: row, label, template, first, last (words), coverage.
 
     Votes are counted for each (row, template, diagonal); diagonals of one template that
-    lie within ``slack`` of the one before and beside it in the text form one span. A span
+    lie within ``slack`` of the one before form one span, wherever they lie in the text. A span
     stands if distinct template grams met make up at least ``least`` of the template's.
     """
     votes = (
