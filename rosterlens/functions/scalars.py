@@ -26,14 +26,15 @@ def as_list(text: Column, item: str) -> Column:
 
 
 def nullif_empty(items: Column) -> Column:
-    return F.when(F.size(items) > 0, items)
+    """``items``, null if there are none; ``nullif`` names its operand once, so a long expression isn't computed twice."""
+    return F.nullif(items, F.array().cast("array<string>"))
 
 
 def normalize_reference(ref: Column) -> Column:
     """Last two path parts of a reference without query and fragment; shorter ones stay as they are ('#x' gives '')."""
     bare = F.regexp_replace(ref, "[?#].*$", "")
-    parts = F.filter(F.split(bare, "/"), lambda x: x != "")
-    return F.when(F.size(parts) >= 2, F.array_join(F.slice(parts, -2, 2), "/")).otherwise(bare)
+    parts = F.btrim(F.regexp_replace(bare, "/{2,}", "/"), F.lit("/"))
+    return F.when(F.contains(parts, F.lit("/")), F.substring_index(parts, "/", -2)).otherwise(bare)
 
 
 def refs(text: Column) -> Column:
@@ -91,7 +92,12 @@ def parse_last_updated(text: Column) -> Column:
 
 def resource_hash(resource: Column) -> Column:
     """Hash of a JSON text that doesn't depend on the order of keys."""
-    return F.sha2(F.to_json(F.try_parse_json(resource)), 256)
+    return variant_hash(F.try_parse_json(resource))
+
+
+def variant_hash(parsed: Column) -> Column:
+    """``resource_hash`` of a text that is parsed already."""
+    return F.sha2(F.to_json(parsed), 256)
 
 
 def network_refs(extension: Column) -> Column:

@@ -93,18 +93,23 @@ RESOURCE_OF = {table: kind for kind, table in TYPES.items()}
 
 
 def checked(df: DataFrame) -> DataFrame:
-    """``df(payer_id, source_base_url, resource)`` with the parsed resource ``r`` and why a row is rejected (null: it isn't)."""
-    parsed = df.withColumn("r", F.from_json("resource", _FIELDS)).withColumn("good", F.try_parse_json("resource").isNotNull())
+    """``df(payer_id, source_base_url, resource)`` with the parsed resource, as ``r`` and as a variant, and why a row is rejected (null: it isn't).
+
+    Each text is parsed once: ``inline`` of one struct keeps the optimiser from copying the
+    parse into every filter and column that reads a part of it.
+    """
+    once = F.array(F.struct(F.from_json("resource", _FIELDS).alias("r"), F.try_parse_json("resource").alias("variant")))
+    parsed = df.select("*", F.inline(once))
     lines = F.try_element_at(S.as_list(F.col("r.address"), _ADDRESS), F.lit(1))["line"]
     located = F.col("r.resourceType") == "Location"
     reason = (
-        F.when(~F.col("good"), "bad-json")
+        F.when(F.col("variant").isNull(), "bad-json")
         .when(~F.coalesce(F.col("r.resourceType").isin(*RESOURCE_OF.values()), F.lit(False)), "unknown-type")
         .when(F.coalesce(F.col("r.id"), F.lit("")) == "", "missing-id")
         .when(located & (S.bad_position(F.col("r.position.latitude")) | S.bad_position(F.col("r.position.longitude"))), "bad-position")
         .when(located & S.bad_line(lines), "bad-address-line")
     )
-    return parsed.withColumn("reason", reason).drop("good")
+    return parsed.withColumn("reason", reason)
 
 
 def flatten(df: DataFrame, table: str, seen_at: datetime) -> DataFrame:
@@ -112,7 +117,7 @@ def flatten(df: DataFrame, table: str, seen_at: datetime) -> DataFrame:
     rows = checked(df).filter(F.col("reason").isNull() & (F.col("r.resourceType") == RESOURCE_OF[table]))
     own = [c.alias(n) for n, c in _columns(table).items()]
     return rows.select(
-        "payer_id", F.col("r.id").alias("id"), "source_base_url", "resource", S.resource_hash(F.col("resource")).alias("raw_hash"),
+        "payer_id", F.col("r.id").alias("id"), "source_base_url", "resource", S.variant_hash(F.col("variant")).alias("raw_hash"),
         S.parse_last_updated(F.col("r.meta.lastUpdated")).alias("meta_last_updated"), F.lit(seen_at).alias("last_seen_at"), *own,
     )
 
