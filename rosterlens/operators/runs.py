@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.scalars import pct
+from ..sources.shared import pinned
 
 
 # The notes of a run's status, and the order in which types are shown.
@@ -30,12 +31,36 @@ def latest_finished(runs: DataFrame) -> DataFrame:
     return latest(runs, first)
 
 
+def in_ranges(df: DataFrame, order: list[str]) -> DataFrame:
+    """``df`` cut into ranges of ``order``, with the range's number in ``part``: a payer's history lies in many, and
+    what one range needs of those before it is carried over by row counts of payers x ranges, so no payer is sorted in one task."""
+    return pinned(df.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
+
+
+def carried(parts: DataFrame, keys: list[str], **values: Column) -> DataFrame:
+    """(keys, part, values): windows over a payer's ranges, from the first to the one before."""
+    return parts.select(*keys, "part", *(v.over(Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)).alias(n) for n, v in values.items()))
+
+
+def beside(df: DataFrame, few: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with the other columns of ``few``'s row of the same keys; null keys are equal."""
+    named = few.select(*(F.col(k).alias(f"_{k}") for k in keys), *(c for c in few.columns if c not in keys))
+    found = df.join(named, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return found.drop(*(f"_{k}" for k in keys))
+
+
 def prior_counts(runs: DataFrame, drop: float = -10.0) -> DataFrame:
     """Each run with the count of the newest earlier run that was ok or partial, the change in percent, and whether it dropped."""
-    w = Window.partitionBy("payer_id", "resource_type").orderBy("started_at", "run_id").rowsBetween(Window.unboundedPreceding, -1)
-    prior = F.last(F.when(F.col("status").isin("ok", "partial"), F.col("resource_count")), ignorenulls=True).over(w)
+    keys = ["payer_id", "resource_type"]
+    part = in_ranges(runs, [*keys, "started_at", "run_id"])
+    good = F.when(F.col("status").isin("ok", "partial"), F.col("resource_count"))
+    newest = F.max_by(good, F.when(good.isNotNull(), F.struct("started_at", "run_id")))
+    before = carried(part.groupBy(*keys, "part").agg(newest.alias("newest")), keys, _before=F.last("newest", ignorenulls=True))
+    w = Window.partitionBy(*keys, "part").orderBy("started_at", "run_id").rowsBetween(Window.unboundedPreceding, -1)
+    joined = part.withColumn("_prior", F.last(good, ignorenulls=True).over(w))
+    joined = beside(joined, before, [*keys, "part"])
     change = F.round(F.lit(100.0) * (F.col("resource_count") - F.col("prior_count")) / F.nullif(F.col("prior_count"), F.lit(0)), 1)
-    out = runs.withColumn("prior_count", prior).withColumn("pct_change", change)
+    out = joined.select(*runs.columns, F.coalesce("_prior", "_before").alias("prior_count")).withColumn("pct_change", change)
     return out.withColumn("dropped", F.coalesce(F.col("pct_change") <= drop, F.lit(False)))
 
 
@@ -102,11 +127,18 @@ def stalls(polls: DataFrame, k: int = 3, grace_seconds: int = 0) -> DataFrame:
 
     ``polls``: payer_id, poll_id, at, n. A poll that grows, and the first one, starts an island.
     """
-    w = Window.partitionBy("payer_id").orderBy("at", "poll_id")
-    grown = polls.withColumn("grew", (F.col("n") > F.lag("n").over(w)) | F.lag("n").over(w).isNull())
-    grown = grown.withColumn("late", F.col("at") >= F.min("at").over(Window.partitionBy("payer_id")) + F.make_interval(secs=F.lit(grace_seconds)))
-    marked = grown.withColumn("island", F.sum(F.col("grew").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    flat = marked.filter(~F.col("grew") & F.col("late"))
+    part = in_ranges(polls.select("payer_id", "poll_id", "at", "n"), ["payer_id", "at", "poll_id"])
+    ends = part.groupBy("payer_id", "part").agg(F.max_by("n", F.struct("at", "poll_id")).alias("last_n"), F.min("at").alias("from_at"))
+    begun = ends.groupBy("payer_id").agg(F.min("from_at").alias("begin"))
+    ends = carried(ends, ["payer_id"], before_n=F.last("last_n"))
+    ends = beside(ends, begun, ["payer_id"])
+    w = Window.partitionBy("payer_id", "part").orderBy("at", "poll_id")
+    held = beside(part, ends, ["payer_id", "part"]).withColumn("prior", F.when(F.row_number().over(w) == 1, F.col("before_n")).otherwise(F.lag("n").over(w)))
+    grown = held.withColumn("grew", (F.col("n") > F.col("prior")) | F.col("prior").isNull())
+    opened = carried(grown.groupBy("payer_id", "part").agg(F.count_if("grew").alias("islands")), ["payer_id"], before=F.sum("islands"))
+    within = grown.withColumn("opened", F.sum(F.col("grew").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    marked = beside(within, opened, ["payer_id", "part"]).withColumn("island", F.coalesce("opened", F.lit(0)) + F.coalesce("before", F.lit(0)))
+    flat = marked.filter(~F.col("grew") & (F.col("at") >= F.col("begin") + F.make_interval(secs=F.lit(grace_seconds))))
     return flat.groupBy("payer_id", "island").agg(F.count("*").alias("polls"), F.min("at").alias("first_at"), F.max("at").alias("last_at")).filter(F.col("polls") >= k)
 
 

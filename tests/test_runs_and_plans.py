@@ -1,4 +1,5 @@
-from datetime import datetime, timezone
+import random
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,3 +73,50 @@ def test_finalised_run(spark):
     history = spark.createDataFrame([("p", "organization", 1, datetime(2024, 1, 1), 120, "ok"), ("p", "organization", 2, datetime(2024, 1, 1, 5), 1, "error")], "payer_id string, resource_type string, run_id long, started_at timestamp, resource_count long, status string")
     r = runs.finalised(done, history).first()
     assert (r.server_total, r.total_source, r.status, r.prior_count, r.pct_change) == (90, "daterange_window_sum", "ok", 120, -25.0) and len(r.run_id) == 64
+
+
+@pytest.fixture
+def many_ranges(spark):
+    """Ranges stay apart although they are small, so that what they carry over is tested."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_stalls_of_a_payer_in_many_ranges(spark, many_ranges):
+    rng = random.Random(5)
+    rows = []
+    for payer, polls in (("a", 400), ("b", 7), (None, 60), ("c", 1)):
+        n = 0
+        for i in range(polls):
+            n += rng.choice((0, 0, 0, 0, 3))
+            rows.append((payer, i, datetime(2024, 1, 1) + timedelta(minutes=i), None if rng.random() < 0.05 else n))
+    want = []
+    for payer in {r[0] for r in rows}:
+        island, prior, flat, begin = 0, None, {}, None
+        for _, _, at, n in sorted((r for r in rows if r[0] == payer), key=lambda r: r[1]):
+            begin = begin or at
+            if prior is None or (n is not None and n > prior):
+                island += 1
+            elif n is not None and at >= begin + timedelta(seconds=600):
+                flat.setdefault(island, []).append(at)
+            prior = n
+        want += [(payer, i, len(ats), ats[0], ats[-1]) for i, ats in flat.items() if len(ats) >= 3]
+    polls = spark.createDataFrame(rows, "payer_id string, poll_id long, at timestamp, n long")
+    got = [tuple(r) for r in runs.stalls(polls, 3, 600).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr) and len(want) > 20
+    assert runs.in_ranges(polls, ["payer_id", "at"]).filter("payer_id = 'a'").select("part").distinct().count() > 1
+    assert runs.stalls(polls.limit(0)).count() == 0
+
+
+def test_prior_counts_of_a_payer_in_many_ranges(spark, many_ranges):
+    rng = random.Random(6)
+    rows = [(p, "x", i, datetime(2024, 1, 1) + timedelta(minutes=i), rng.choice(("ok", "partial", "error", "error", "error")), rng.choice((None, 10, 20, 30))) for p, k in (("a", 300), (None, 40)) for i in range(k)]
+    want, last = {}, {}
+    for p, _, i, _, status, n in rows:
+        want[(p, i)] = last.get(p)
+        if status in ("ok", "partial") and n is not None:
+            last[p] = n
+    history = spark.createDataFrame(rows, "payer_id string, resource_type string, run_id long, started_at timestamp, status string, resource_count long")
+    got = {(r.payer_id, r.run_id): r.prior_count for r in runs.prior_counts(history).collect()}
+    assert got == want
