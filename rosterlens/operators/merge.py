@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..sources.shared import pinned
+from ..sources.shared import pinned, unpinned
 
 KEY = ("payer_id", "id")
 
@@ -52,6 +52,7 @@ def merge_into(batch: DataFrame, path: str, mode: str = "update", key=KEY, bucke
     fs = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not fs.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs):
         batch.write.partitionBy(*by).parquet(path)
+        unpinned(batch)
         return
     known = spark.read.option("mergeSchema", True).parquet(path).schema
     extra = [f for f in known if f.name not in batch.columns]
@@ -66,10 +67,13 @@ def merge_into(batch: DataFrame, path: str, mode: str = "update", key=KEY, bucke
         changed = pinned(changed)
         stay = held.join(F.broadcast(changed.select(*by).distinct()), by, "left_semi").join(changed.select(*key), list(key), "left_anti")
         new = pinned(new)
-        pinned(stay.unionByName(changed.select(stay.columns))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+        kept = pinned(stay.unionByName(changed.select(stay.columns)))
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+        unpinned(changed, kept)
     else:
         new = pinned(new)
     new.write.mode("append").partitionBy(*by).parquet(path)
+    unpinned(batch, new)
 
 
 def upsert_scores(target: DataFrame, scores: DataFrame) -> DataFrame:

@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_WRITTEN: WeakKeyDictionary = WeakKeyDictionary()
 _TEMPORARY: dict[str, str] = {}
 
 
@@ -26,4 +28,16 @@ def pinned(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back."""
     path = pinned_root(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _WRITTEN[out] = path
+    return out
+
+
+def unpinned(*tables: DataFrame) -> None:
+    """Delete tables that ``pinned`` wrote and that nothing reads any more."""
+    for df in tables:
+        path = _WRITTEN.pop(df, None)
+        if path:
+            context = df.sparkSession.sparkContext
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
