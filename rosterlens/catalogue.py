@@ -55,6 +55,11 @@ _ALL_CHECKS = f"checks as ({_CHECK_SQL}), every_check as (select * from checks u
 _SHOW = f"payer_id, label, total, resolved, total - resolved as dangling, {_pct('resolved', 'total')} as pct"
 
 
+def _role_tables(spark, d) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Tables of the reference checks, and the roles' locations in long form."""
+    return P.tables(spark, d) | {"practitioner_role": P.roles(spark, d, False)}, {"PractitionerRole.location": P.role_locations(spark, d)}
+
+
 @_query("ref_scalar", f", checks as ({_check_sql('PractitionerRole.practitioner', 'practitioner_role', 'practitioner_ref', 'practitioner')}) select {_SHOW} from checks")
 def ref_scalar(spark, d):
     return refs.check_all({"practitioner_role": P.roles(spark, d, False), "practitioner": P.practitioner(spark, d)}, _ROLE_CHECKS[:1]).filter("label is not null")
@@ -67,7 +72,8 @@ def ref_array(spark, d):
 
 @_query("ref_all_checks", f", {_ALL_CHECKS} select {_SHOW} from every_check")
 def ref_all_checks(spark, d):
-    return refs.check_all(P.tables(spark, d))
+    tables, links = _role_tables(spark, d)
+    return refs.check_all(tables, links=links)
 
 
 @_query("orphan_practitioner", "select payer_id, id from practitioner p where not exists (select 1 from practitioner_role r where r.payer_id = p.payer_id and split_part(r.practitioner_ref, '/', 2) = p.id)")
@@ -77,7 +83,7 @@ def orphan_practitioner(spark, d):
 
 @_query("orphan_location", "select payer_id, id from location l where not exists (select 1 from role_location r where r.payer_id = l.payer_id and split_part(r.ref, '/', 2) = l.id)")
 def orphan_location(spark, d):
-    return refs.orphans(P.location(spark, d), P.roles(spark, d), "location_refs", True).select("payer_id", "id")
+    return refs.orphans(P.location(spark, d), P.role_locations(spark, d), "ref").select("payer_id", "id")
 
 
 @_query("orphan_organization", "select payer_id, id from organization o where is_network = 0 and not exists (select 1 from practitioner_role r where r.payer_id = o.payer_id and split_part(r.organization_ref, '/', 2) = o.id)")
@@ -187,8 +193,8 @@ _SCORED = f"{_DIMS}, scored as ({' union all '.join(_composite_sql(s, w) for s,
 
 
 def _dimensions(spark, d) -> DataFrame:
-    t = P.tables(spark, d)
-    return metrics.dimensions(completeness_by_payer(spark, d), refs.check_all(t), freshness(spark, d), uniqueness(spark, d), consistency(spark, d))
+    tables, links = _role_tables(spark, d)
+    return metrics.dimensions(completeness_by_payer(spark, d), refs.check_all(tables, links=links), freshness(spark, d), uniqueness(spark, d), consistency(spark, d))
 
 
 @_query("dimension_scores", f", {_DIMS} select * from dims")
@@ -396,7 +402,7 @@ def hash_duplicates(spark, d):
     " select payer_id, id from wanted where id <> '' except select payer_id, id from location"
 ))
 def frontier_ids(spark, d):
-    roles = P.roles(spark, d).select("payer_id", F.explode("location_refs").alias("ref"))
+    roles = P.role_locations(spark, d).select("payer_id", "ref")
     places = P.location(spark, d)
     return refs.frontier(places, [roles, places.select("payer_id", F.col("managing_organization_ref").alias("ref"))])
 

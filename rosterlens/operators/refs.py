@@ -18,14 +18,22 @@ def _labelled(refs: Column, check: Check) -> Column:
     return F.transform(refs, lambda r: F.struct(F.lit(check.label).alias("label"), F.lit(check.target).alias("target"), r.alias("ref")))
 
 
-def edges(tables: dict[str, DataFrame], checks: tuple[Check, ...] = CHECKS) -> DataFrame:
-    """(payer_id, label, target, source_id, ref, ref_id) of every reference; each source table is scanned once."""
-    out = None
+def edges(tables: dict[str, DataFrame], checks: tuple[Check, ...] = CHECKS, links: dict[str, DataFrame] | None = None) -> DataFrame:
+    """(payer_id, label, target, source_id, ref, ref_id) of every reference; each source table is scanned once.
+
+    A check whose label is in ``links`` takes its references from that table of
+    (payer_id, id, ref), one row each, instead of its source's column.
+    """
+    out, links = None, links or {}
+    for c in checks:
+        if c.label in links:
+            long = links[c.label].filter(F.col("ref").isNotNull()).select("payer_id", F.col("id").alias("source_id"), F.lit(c.label).alias("label"), F.lit(c.target).alias("target"), "ref")
+            out = long if out is None else out.unionByName(long)
     for source in dict.fromkeys(c.source for c in checks):
         if source not in tables:
             continue
         df = tables[source]
-        own = [c for c in checks if c.source == source and c.column in df.columns]
+        own = [c for c in checks if c.source == source and c.column in df.columns and c.label not in links]
         parts = []
         for c in own:
             values = F.col(c.column) if c.many else F.array(c.column)
@@ -49,17 +57,19 @@ def targets(tables: dict[str, DataFrame], names) -> DataFrame:
     return out.dropDuplicates(["payer_id", "target", "ref_id"])
 
 
-def check_all(tables: dict[str, DataFrame], checks: tuple[Check, ...] = CHECKS) -> DataFrame:
+def check_all(tables: dict[str, DataFrame], checks: tuple[Check, ...] = CHECKS, links: dict[str, DataFrame] | None = None) -> DataFrame:
     """(payer_id, label, total, resolved, dangling, pct) of every check, and a row with a null label per payer: one join for all.
 
     Only the target table counts, not the type that a reference names. Equal references are
     counted before the join, so an organization that a third of all roles name is one row in it.
+    Each check's counts go both to its own row and to the payer's, so nothing is read or joined twice.
     """
     held = targets(tables, sorted({c.target for c in checks})).withColumn("hit", F.lit(1))
-    some = edges(tables, checks).groupBy("payer_id", "label", "target", "ref_id").agg(F.count("*").alias("n"))
+    some = edges(tables, checks, links).groupBy("payer_id", "label", "target", "ref_id").agg(F.count("*").alias("n"))
     joined = some.join(held, ["payer_id", "target", "ref_id"], "left")
     counted = joined.groupBy("payer_id", "label").agg(F.sum("n").alias("total"), F.sum(F.when(F.col("hit") == 1, F.col("n")).otherwise(0)).alias("resolved"))
-    both = counted.unionByName(counted.groupBy("payer_id").agg(F.sum("total").alias("total"), F.sum("resolved").alias("resolved")).withColumn("label", F.lit(None).cast("string")))
+    twice = counted.select("payer_id", F.explode(F.array("label", F.lit(None).cast("string"))).alias("label"), "total", "resolved")
+    both = twice.groupBy("payer_id", "label").agg(F.sum("total").alias("total"), F.sum("resolved").alias("resolved"))
     return both.select("payer_id", "label", "total", "resolved", (F.col("total") - F.col("resolved")).alias("dangling"), pct(F.col("resolved"), F.col("total")).alias("pct"))
 
 

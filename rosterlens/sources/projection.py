@@ -85,6 +85,13 @@ def roles(spark: SparkSession, sf_dir: str, with_locations: bool = True) -> Data
     return own.join(parts, "id", "left")
 
 
+def role_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(payer_id, id, ref): the locations of roles, one row each; lines meet orders and their own repeats by the same key, on whole numbers."""
+    lines = raw(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
+    own = lines.join(raw(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", "left_semi").distinct()
+    return own.select(F.expr(_payer("o_orderkey")), F.col("o_orderkey").cast("string").alias("id"), F.concat(F.lit("Location/"), F.col("l_partkey").cast("string")).alias("ref"))
+
+
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw(spark, sf_dir, "events").selectExpr(*RUN)
 
