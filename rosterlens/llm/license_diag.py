@@ -3,10 +3,12 @@
 All rolling k-word hashes of a text meet the positions of those hashes in licence
 templates; each meeting votes for the diagonal (text position - template position).
 Neighbouring diagonals of one template merge, so that a few inserted or missing words
-don't split a passage, and the merged span is kept if its words cover enough of the
-template. Only the templates' own grams can meet anything, so a task keeps the text
-grams that lie in that fixed set before rows leave it; the join is with a table of a few
-hundred rows, broadcast (its size is that of TEMPLATES, not of the data).
+don't split a passage. A merged span is verified: of its meetings the longest chain that
+goes forward both in the text and in the template must cover enough of the template, so
+the template's words in another order are no passage of it. Only the templates' own grams
+can meet anything, so a task keeps the text grams that lie in that fixed set before rows
+leave it; the join is with a table of a few hundred rows, broadcast (its size is that of
+TEMPLATES, not of the data).
 
 Null texts count as empty: no words, no labels, score 0. Repeated rows get a row each, a
 null doc_id stays null. Other columns, whatever their names, are not read; an empty table
@@ -16,6 +18,8 @@ longest; of spans of one label the best covered gives the score.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -61,12 +65,12 @@ def _hashes(text: str, k: int | None = None) -> np.ndarray:
 
 
 def template_table(spark: SparkSession, k: int, templates=TEMPLATES) -> DataFrame:
-    """(template, label, n_words, n_grams, tpos, gram) of every k-gram of every template."""
+    """(template, label, t_grams, tpos, gram) of every k-gram of every template."""
     rows = []
     for i, (label, text) in enumerate(templates):
         grams = _hashes(text, k).view(np.int64)
-        rows += [(i, label, len(grams) + k - 1, len(grams), p, int(g)) for p, g in enumerate(grams)]
-    return spark.createDataFrame(rows, "template int, label string, t_words int, t_grams int, tpos int, gram long")
+        rows += [(i, label, len(grams), p, int(g)) for p, g in enumerate(grams)]
+    return spark.createDataFrame(rows, "template int, label string, t_grams int, tpos int, gram long")
 
 
 def scan(docs: DataFrame, k: int = 3, templates=TEMPLATES) -> DataFrame:
@@ -108,12 +112,46 @@ def scan(docs: DataFrame, k: int = 3, templates=TEMPLATES) -> DataFrame:
     return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(run, _SCAN)
 
 
+def chain(hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """A longest run of (text position, template position) that ascends strictly in both."""
+    ends: list[int] = []  # smallest template position that ends a run of each length
+    last: list[int] = []
+    before: list[int | None] = []
+    hits = sorted(hits, key=lambda h: (h[0], -h[1]))
+    for i, (_, t) in enumerate(hits):
+        n = bisect_left(ends, t)
+        before.append(last[n - 1] if n else None)
+        ends[n : n + 1], last[n : n + 1] = [t], [i]
+    out, i = [], last[-1] if last else None
+    while i is not None:
+        out.append(hits[i])
+        i = before[i]
+    return out[::-1]
+
+
+def verified(candidates: DataFrame, k: int, least: float) -> DataFrame:
+    """Spans of ``candidates(row, label, template, t_grams, hits)`` whose longest chain covers at least ``least`` of the template; first and last are the chain's."""
+    schema = pa.schema([("row", pa.int64()), ("label", pa.string()), ("template", pa.int32()), ("first", pa.int32()), ("last", pa.int32()), ("coverage", pa.float64())])
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                best = chain([(h["pos"], h["tpos"]) for h in r["hits"]])
+                if len(best) >= least * r["t_grams"]:
+                    rows.append({"row": r["row"], "label": r["label"], "template": r["template"], "first": best[0][0], "last": best[-1][0] + k - 1, "coverage": len(best) / r["t_grams"]})
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    return candidates.select("row", "label", "template", "t_grams", "hits").mapInArrow(run, "row long, label string, template int, first int, last int, coverage double")
+
+
 def spans(scanned: DataFrame, k: int = 3, templates=TEMPLATES, slack: int = 3, least: float = 0.75) -> DataFrame:
     """Verified licence spans: row, label, template, first, last (words), coverage.
 
     Votes are counted for each (row, template, diagonal); diagonals of one template that
     lie within ``slack`` of the one before form one span, wherever they lie in the text. A span
-    stands if distinct template grams met make up at least ``least`` of the template's.
+    stands if grams met in order make up at least ``least`` of the template's; those that
+    meet fewer in any order are left out first.
     """
     votes = (
         scanned.filter(F.size("hits") > 0)
@@ -123,20 +161,18 @@ def spans(scanned: DataFrame, k: int = 3, templates=TEMPLATES, slack: int = 3, l
         .join(F.broadcast(template_table(scanned.sparkSession, k, templates)), "gram")
         .withColumn("diagonal", F.col("pos") - F.col("tpos"))
     )
-    diagonals = votes.groupBy("row", "template", "label", "t_grams", "t_words", "diagonal").agg(
-        F.min("pos").alias("first"), F.max("pos").alias("last"), F.collect_set("tpos").alias("met")
-    )
+    diagonals = votes.groupBy("row", "template", "label", "t_grams", "diagonal").agg(F.collect_set("tpos").alias("met"))
     by = "partition by row, template order by diagonal"
     merged = diagonals.withColumn("far", F.expr(f"coalesce(diagonal - lag(diagonal) over ({by}) > {slack}, true)")).withColumn(
         "island", F.expr(f"sum(cast(far as int)) over ({by} rows between unbounded preceding and current row)")
     )
-    return (
+    met = F.expr("transform(met, t -> struct(diagonal + t as pos, t as tpos))")
+    candidates = (
         merged.groupBy("row", "template", "label", "t_grams", "island")
-        .agg(F.min("first").alias("first"), (F.max("last") + k - 1).alias("last"), F.array_distinct(F.flatten(F.collect_list("met"))).alias("met"))
-        .withColumn("coverage", F.size("met") / F.col("t_grams"))
-        .filter(F.col("coverage") >= least)
-        .select("row", "label", "template", "first", "last", "coverage")
+        .agg(F.flatten(F.collect_list(met)).alias("hits"))
+        .filter(F.size(F.array_distinct("hits.tpos")) >= least * F.col("t_grams"))
     )
+    return verified(candidates, k, least)
 
 
 def license_scan(docs: DataFrame, k: int = 3) -> DataFrame:

@@ -60,6 +60,31 @@ def test_license_scan(spark):
     assert license_diag.license_scan(docs(spark, "x").limit(0)).count() == 0
 
 
+def test_license_chain_against_brute_force():
+    """The longest chain is as long as that of the plain quadratic recurrence, and ascends in both."""
+    r = random.Random(4)
+    for _ in range(500):
+        hits = list({(r.randrange(12), r.randrange(12)) for _ in range(r.randrange(15))})
+        got, best = license_diag.chain(hits), {}
+        for p, t in sorted(hits):
+            best[p, t] = 1 + max((n for (q, u), n in best.items() if q < p and u < t), default=0)
+        assert len(got) == max(best.values(), default=0) and set(got) <= set(hits)
+        assert all(a[0] < b[0] and a[1] < b[1] for a, b in zip(got, got[1:]))
+
+
+def test_license_words_in_another_order_are_no_span(spark):
+    """Blocks of a notice in another order, joined by a wide slack, meet its grams but aren't the notice; with words put in or left out it is."""
+    words = license_diag.TEMPLATES[0][1].split()
+    blocks = [" ".join(words[i : i + 12]) for i in range(0, len(words), 12)]
+    some = " ".join(w + (" surely" if i % 20 == 10 else "") for i, w in enumerate(words) if i != 31)
+    scanned = license_diag.scan(docs(spark, " ".join(blocks), " ".join(blocks[::-1]), some, "a b " + " ".join(blocks) + " c"))
+    found = {r.row: (r.first, r.last, r.coverage) for r in license_diag.spans(scanned, slack=40).filter("template = 0").collect()}
+    rows = {r.doc_id: r.row for r in scanned.collect()}
+    n = len(WORD.findall(lower(" ".join(blocks))))
+    assert found[rows[0]] == (0, n - 1, 1.0) and found[rows[3]] == (2, n + 1, 1.0)
+    assert rows[1] not in found and 0.75 <= found[rows[2]][2] < 1
+
+
 def test_license_query_against_brute_force(spark, data):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
     rows = license_diag.op10_license(spark, data).collect()
