@@ -20,6 +20,7 @@ do rows without vec_id. Inner products exist between vectors of one length only:
 the most frequent length are indexed, those of any other are scored exactly within their
 length. Rows that repeat a vec_id count once: with different vectors, that of the most
 frequent length, then the one with the smallest bytes counts, as query and as candidate.
+Equal scores come in the order of vec_id. A length has no bound but a task's memory.
 Other columns, whatever their names, are not read; an empty table gives no rows.
 """
 

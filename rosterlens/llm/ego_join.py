@@ -17,7 +17,8 @@ null label or vec_id, link with nothing. Others are divided by their largest mag
 before their length is taken, so the smallest and largest doubles link like any others.
 Labels of any type are equal if they are equal as text. Vectors of different length never
 link; the axes are those of the first 1024 components, so one wide vector costs itself
-only. Repeated rows are equal vectors: each row counts as another vector. Other columns,
+only. A cosine of exactly the bound links. Repeated rows are equal vectors: each row counts
+as another vector. Other columns,
 whatever their names, are not read; an empty table gives no rows.
 """
 

@@ -27,8 +27,8 @@ Decoding reads the ids alone. The query decodes every chunk; the chunks of a doc
 decoded in order as one stream, and the length and hash of what comes out stand beside
 those of the source text, which Spark computes from the table.
 
-Null texts count as empty; an empty text has no pieces. Repeated rows get rows each. Other
-columns, whatever their names, are not read; an empty table gives no rows.
+Null texts count as empty; an empty text has no pieces. Texts of any length are encoded
+whole, chunk by chunk. Repeated rows get rows each. Other columns, whatever their names, are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
