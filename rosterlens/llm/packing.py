@@ -39,7 +39,7 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def _byte_letters() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """Letter -> byte of byte-level vocabularies: printable Latin-1 stands for itself, the rest follows from U+0100 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in set(plain)]
@@ -60,7 +60,7 @@ def encoder(path: str, cached_words: int = 400_000) -> Callable[[str], bytes]:
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    letters = _byte_letters()
+    letters = byte_letters()
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}
     ranks = {bytes(letters[c] for c in word): i for word, i in spec["model"]["vocab"].items() if word not in special}
     bpe = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)

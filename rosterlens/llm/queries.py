@@ -10,6 +10,7 @@ from .html_suffix import op1_html
 from .license_diag import op10_license
 from .packing import op9_packing
 from .pii_skipchain import op7_pii
+from .residual_packing import op12_residual
 from .sp_scan import op8_sentencepiece
 from .toxic_crf import op6_toxicity
 
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_packing": op9_packing,
     "op10_license": op10_license,
+    "op12_residual": op12_residual,
 }
 
 _ESCAPES = r"len(regexp_extract_all({c}, '<\\*(/s>|s>)|\[\\*(INST\]|/INST\]|GEN\]|/GEN\])'))"

@@ -29,15 +29,25 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def _folder(spark: SparkSession, path: str):
+    """The Hadoop path and its file system."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(context._jsc.hadoopConfiguration())
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` as parquet in the shared folder and read it back.
 
     Later jobs then start from files every executor can read, so a lost executor
-    costs only its running tasks.
+    costs only its running tasks. A table that ``discard`` doesn't get is deleted when the
+    driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    folder, system = _folder(spark, path)
+    system.deleteOnExit(folder)
     out = spark.read.schema(df.schema).parquet(path)
     _WRITTEN[out] = path
     return out
@@ -48,6 +58,5 @@ def discard(*tables: DataFrame) -> None:
     for df in tables:
         path = _WRITTEN.pop(df, None)
         if path:
-            context = df.sparkSession.sparkContext
-            folder = context._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+            folder, system = _folder(df.sparkSession, path)
+            system.delete(folder, True)
