@@ -13,6 +13,7 @@ from .pii_skipchain import op7_pii
 from .residual_packing import op12_residual
 from .sp_scan import op8_sentencepiece
 from .toxic_crf import op6_toxicity
+from .whitening import op13_whitening
 
 QUERIES = {
     "op1_html": op1_html,
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_license": op10_license,
     "op12_residual": op12_residual,
+    "op13_whitening": op13_whitening,
 }
 
 _ESCAPES = r"len(regexp_extract_all({c}, '<\\*(/s>|s>)|\[\\*(INST\]|/INST\]|GEN\]|/GEN\])'))"
