@@ -5,6 +5,7 @@ from __future__ import annotations
 from .additive_quant import op5_additive
 from .chat_template import op2_chat
 from .dart_minhash import op4_minhash
+from .dialogue_repair import op11_repair
 from .ego_join import op3_ego
 from .html_suffix import op1_html
 from .license_diag import op10_license
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_packing": op9_packing,
     "op10_license": op10_license,
+    "op11_repair": op11_repair,
     "op12_residual": op12_residual,
     "op13_whitening": op13_whitening,
 }
