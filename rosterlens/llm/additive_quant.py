@@ -3,8 +3,9 @@
 A vector is the sum of one word of each of several full-dimensional codebooks. The
 books start as k-means of the residuals left by the books before, and are refitted by
 least squares to the codes of a beam search; the sample they are fitted on is bounded
-(``sample`` rows with the smallest hash of vec_id). Every vector is then encoded by beam
-search and stored as codes with its norm. A query scores a block of codes by table
+(``sample`` rows with the smallest hash of vec_id, of at most ``sample_bytes``). Vectors are
+coded by direction, so no row's magnitude bears on another's code; every vector is encoded
+by beam search and stored as codes with its norm. A query scores a block of codes by table
 lookup (its inner product with every word, corrected by the stored norm), takes the best
 ``shortlist`` different vectors of the block, and scores those exactly in double
 precision on the original vectors.
@@ -101,6 +102,20 @@ def fit(x: np.ndarray, books: int = BOOKS, words: int = WORDS, refits: int = 2,
     return found
 
 
+def scaled(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows times the power of two that brings their largest component below one, and the exponents taken out."""
+    powers = np.frexp(np.abs(x).max(axis=1))[1]
+    return np.ldexp(x, -powers[:, None]), powers
+
+
+def directions(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of length one, and the lengths they had."""
+    y, powers = scaled(x)
+    lengths = np.linalg.norm(y, axis=1)
+    with np.errstate(over="ignore"):
+        return y / lengths[:, None], np.minimum(np.ldexp(lengths, powers), np.finfo(float).max)
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, vec) of rows that take part; ``vec`` holds the components as doubles."""
 
@@ -139,9 +154,10 @@ def index(rows: DataFrame, books: Books | None, parts: int) -> DataFrame:
         if shared.value is None:
             codes, scale = np.zeros((len(x), 0), np.uint8), np.ones(len(x))
         else:
-            codes = shared.value.encode(x)
+            unit, lengths = directions(x)
+            codes = shared.value.encode(unit)
             near = np.linalg.norm(shared.value.decode(codes), axis=1)
-            scale = np.linalg.norm(x, axis=1) / np.where(near > 0, near, 1)
+            scale = lengths / np.where(near > 0, near, 1)
         return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), *(pa.array([b.tobytes()], pa.binary()) for b in (np.asarray(order, np.int64), codes, scale, x))], names=["part", "ids", "codes", "norms", "vecs"])
 
     return rows.select(_part(parts), "vec_id", "vec").repartition(F.col("part")).sortWithinPartitions("part").mapInArrow(run, _INDEX)
@@ -195,6 +211,7 @@ def _answers(joined: DataFrame, books: Books | None, k: int, shortlist: int) ->
                 new[1:] = (x[1:] != x[:-1]).any(axis=1)
                 lead = np.flatnonzero(new)
                 until = np.append(lead[1:], len(ids))
+                (q, q_powers), (x, x_powers) = scaled(q), scaled(x)
                 place = codes[lead] + np.arange(m) * w
                 keep = min(shortlist, len(lead)) if m else len(lead)
                 for a in range(0, len(q), 64):
@@ -208,7 +225,8 @@ def _answers(joined: DataFrame, books: Books | None, k: int, shortlist: int) ->
                         best = np.argpartition(-near, keep - 1, axis=1)[:, :keep]
                     else:
                         best = np.tile(np.arange(len(lead)), (len(part), 1))
-                    score = (part[:, None, :] * x[lead[best]]).sum(axis=2)
+                    with np.errstate(over="ignore"):
+                        score = np.ldexp((part[:, None, :] * x[lead[best]]).sum(axis=2), q_powers[a : a + 64, None] + x_powers[lead[best]])
                     out_q, out_v, out_s = [], [], []
                     for row, (qid, b, s) in enumerate(zip(qids[a : a + 64], best, score, strict=True)):
                         left = k
@@ -227,7 +245,7 @@ def _answers(joined: DataFrame, books: Books | None, k: int, shortlist: int) ->
     return joined.select("ids", "codes", "norms", "vecs", "qids", "qvecs").mapInArrow(run, "query_id long, vec_id long, score double")
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, sample: int = 8192, block: int = 4096, query_block: int = 512, shortlist: int = 384) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, sample: int = 8192, sample_bytes: int = 64 << 20, block: int = 4096, query_block: int = 512, shortlist: int = 384) -> DataFrame:
     """The k nearest rows found of every row whose vec_id is divisible by ``every``: query_id, rank, vec_id, score."""
     given = materialise(usable(vectors))
     spark = vectors.sparkSession
@@ -238,8 +256,8 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, sample: int = 8192
     # an id counts once
     rows = materialise(given.groupBy("vec_id").agg(F.min(F.struct((F.length("vec") != size).alias("other"), "vec")).alias("own")).select("vec_id", "own.vec"))
     usual = F.length("vec") == size
-    picked = rows.filter(usual).orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toPandas()
-    books = fit(matrix(list(picked["vec"])))
+    picked = rows.filter(usual).orderBy(F.xxhash64("vec_id"), "vec_id").limit(max(1, min(sample, sample_bytes // size))).toPandas()
+    books = fit(directions(matrix(list(picked["vec"])))[0])
 
     def search(own: DataFrame, books: Books | None, parts: int) -> DataFrame:
         data = materialise(index(own, books, parts))

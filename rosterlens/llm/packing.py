@@ -18,6 +18,7 @@ windows as it comes; ties between levels go to the fullest window.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -50,10 +51,9 @@ def byte_letters() -> dict[str, int]:
 def encoder(path: str, cached_words: int = 400_000) -> Callable[[str], bytes]:
     """Text -> little-endian unsigned 32-bit ids of the vocabulary file at ``path``.
 
-    A single space between two other characters always begins a pre-token, so a text
-    without double spaces is encoded word by word, and frequent words come from a bounded
-    cache. Texts with double spaces are encoded whole. Special tokens' strings give their
-    ids, as the vocabulary file says.
+    A space between two characters that aren't white space always begins a pre-token, so a
+    text is cut before each of them, and frequent words come from a bounded cache. Special
+    tokens' strings give their ids, as the vocabulary file says.
     """
     import public_tokenizers
     import tiktoken
@@ -71,10 +71,10 @@ def encoder(path: str, cached_words: int = 400_000) -> Callable[[str], bytes]:
 
     cache: dict[str, bytes] = {}
 
+    runs, single = re.compile(r"\s\s|^ | \Z").search, re.compile(r"(?<=\S) (?=\S)")
+
     def encode(text: str) -> bytes:
-        if "  " in text:
-            return whole(text)
-        words = text.split(" ")
+        words = single.split(text) if runs(text) else text.split(" ")
         out = [whole(words[0])]
         find = cache.get
         for word in words[1:]:

@@ -209,3 +209,28 @@ def test_recall_of_the_table(spark, data):
         own = [i for i in ids[np.lexsort((ids, -s))] if i != q][:20]
         hit, n = hit + len(got[q] & set(own)), n + 20
     assert hit >= 0.9 * n
+
+
+def test_recall_beside_vectors_of_any_magnitude(spark):
+    """A few huge and tiny vectors bear on nobody else's codes; scores stay those of the original vectors."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(3000, 16))
+    x[7] *= 1e200
+    x[8] *= 1e-200
+    x[40] *= 1e-200
+    x[60] *= 1e160
+    x[9] = np.where(np.arange(16) % 2, 1e308, -1e308)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in additive_quant.nearest(df, block=512).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    hit = 0
+    with np.errstate(over="ignore", invalid="ignore"):
+        for q, found in got.items():
+            assert len(found) == 20 and not any(np.isnan(s) for _, _, s in found)
+            exact = x @ (x[q] / 2.0**540 if q == 60 else x[q])
+            want = [i for i in np.lexsort((np.arange(3000), -exact)) if i != q][:20]
+            hit += len(set(want) & {i for _, i, _ in found})
+            if q not in (40, 60):
+                assert all(np.isclose(s, x[q] @ x[i], rtol=1e-9, atol=1e-300) for _, i, s in found if i not in (7, 9))
+    assert hit >= 0.95 * 20 * len(got)

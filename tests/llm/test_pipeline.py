@@ -62,3 +62,10 @@ def test_stages_on_odd_rows(spark, data):
     assert sum(r.doc_id == 1 for r in packed) == 1 and sum(r.doc_id == 4 for r in packed) >= 2 and sum(r.length for r in packed if r.doc_id == 3) > 60_000
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), data).count() == 0
+
+
+def test_extra_columns_of_private_looking_names_keep_their_values(spark, data):
+    a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = spark.createDataFrame([(1, a, 7, "x", True), (2, a, 8, "y", False), (3, b, 9, "z", None)], "doc_id long, text string, __id int, __key string, __none boolean")
+    got = sorted(tuple(r) for r in corpus_pipeline.minhash(spark, rows, data).collect())
+    assert got == [(1, a, 7, "x", True), (3, b, 9, "z", None)]
