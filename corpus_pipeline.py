@@ -6,6 +6,8 @@ but the last return the columns of documents.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,9 +28,10 @@ def minhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     come last; null and empty texts are nobody's duplicates. Texts move once: dealt by id
     and text, they meet both their own repeats and the documents that go.
     """
-    own = {"__none": F.col("doc_id").isNull(), "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "__key": F.xxhash64(F.col("text").cast("string"))}
+    none, key, text = (f"{name}_{uuid.uuid4().hex}" for name in ("none", "id", "text"))  # names that no column of docs has
+    own = {none: F.col("doc_id").isNull(), key: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), text: F.xxhash64(F.col("text").cast("string"))}
     found = dart_minhash.near_duplicates(docs.select("doc_id", "text"))
-    gone = found.filter("not kept").withColumns({"__none": F.col("doc_id").isNull(), "__id": F.coalesce("doc_id", F.lit(0)), "__key": F.col("text_key")}).select(*own).distinct()
+    gone = found.filter("not kept").select(F.col("doc_id").isNull().alias(none), F.coalesce("doc_id", F.lit(0)).alias(key), F.col("text_key").alias(text)).distinct()
     once = docs.withColumns(own).repartition(*own).dropDuplicates([*own])
     return once.join(gone, [*own], "left_anti").select(docs.columns)
 
