@@ -71,10 +71,10 @@ def encoder(path: str, cached_words: int = 400_000) -> Callable[[str], bytes]:
 
     cache: dict[str, bytes] = {}
 
-    runs, single = re.compile(r"\s\s|^ | \Z").search, re.compile(r"(?<=\S) (?=\S)")
+    near, single = re.compile(r" (?:(?=\s)|(?<=\s ))").search, re.compile(r"(?<=\S) (?=\S)")
 
     def encode(text: str) -> bytes:
-        words = single.split(text) if runs(text) else text.split(" ")
+        words = single.split(text) if near(text) or text[:1] == " " or text[-1:] == " " else text.split(" ")
         out = [whole(words[0])]
         find = cache.get
         for word in words[1:]:
