@@ -584,7 +584,7 @@ def stream_ingest(spark, d):
     root = pinned_root(spark)
     P.location_resources(spark, d).select(F.col("resource").alias("value")).write.text(f"{root}/in")
     ingest(spark, f"{root}/in", "payer_0", "https://h.example/fhir", ("location",), f"{root}/out", f"{root}/mark", AS_OF).awaitTermination()
-    return spark.read.parquet(f"{root}/out/location").select("id", "name", "address_city")
+    return merge.read(spark, f"{root}/out/location").select("id", "name", "address_city")
 
 
 @_query("latest_finished_run", f", f as (select *, case when run_id % 4 <> 0 then started_at + interval 5 minute end as finished_at from run) select payer_id, resource_type, run_id, finished_at from (select *, row_number() over (partition by payer_id, resource_type order by finished_at desc nulls last, run_id desc) as i from f) where i = 1")
@@ -705,7 +705,7 @@ def merge_into_files(spark, d):
     (a, b), path = _slices(spark, d), pinned_root(spark)
     for batch in (a, b, b):
         merge.merge_into(batch, path)
-    return spark.read.schema(a.schema).parquet(path).select(a.columns)
+    return merge.read(spark, path).select(a.columns)
 
 
 def _guide(spark, d) -> DataFrame:

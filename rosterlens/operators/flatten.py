@@ -112,16 +112,29 @@ def checked(df: DataFrame) -> DataFrame:
     return parsed.withColumn("reason", reason)
 
 
-def flatten(df: DataFrame, table: str, seen_at: datetime) -> DataFrame:
-    """Typed rows of one table; rows of other types and rejects are left out."""
-    rows = checked(df).filter(F.col("reason").isNull() & (F.col("r.resourceType") == RESOURCE_OF[table]))
+def routed(df: DataFrame) -> DataFrame:
+    """``checked`` rows with the table they belong to (``rejects`` for rejects) and the hash of their content: all that any table's columns are taken from."""
+    rows = checked(df)
+    mapping = F.create_map(*(F.lit(x) for pair in TYPES.items() for x in pair))
+    name = F.when(F.col("reason").isNotNull(), "rejects").otherwise(F.try_element_at(mapping, F.col("r.resourceType")))
+    return rows.withColumns({"table_name": name, "raw_hash": S.variant_hash(F.col("variant"))}).drop("variant")
+
+
+def typed(rows: DataFrame, table: str, seen_at: datetime) -> DataFrame:
+    """The columns of one table, of its parsed rows; the file a row came from stays with it, if it is known."""
     own = [c.alias(n) for n, c in _columns(table).items()]
     return rows.select(
-        "payer_id", F.col("r.id").alias("id"), "source_base_url", "resource", S.variant_hash(F.col("variant")).alias("raw_hash"),
-        S.parse_last_updated(F.col("r.meta.lastUpdated")).alias("meta_last_updated"), F.lit(seen_at).alias("last_seen_at"), *own,
+        "payer_id", F.col("r.id").alias("id"), "source_base_url", "resource", "raw_hash",
+        S.parse_last_updated(F.col("r.meta.lastUpdated")).alias("meta_last_updated"), F.lit(seen_at).alias("last_seen_at"), *(["file"] if "file" in rows.columns else []), *own,
     )
 
 
+def flatten(df: DataFrame, table: str, seen_at: datetime) -> DataFrame:
+    """Typed rows of one table; rows of other types and rejects are left out."""
+    rows = checked(df).filter(F.col("reason").isNull() & (F.col("r.resourceType") == RESOURCE_OF[table]))
+    return typed(rows.withColumn("raw_hash", S.variant_hash(F.col("variant"))), table, seen_at)
+
+
 def rejects(df: DataFrame) -> DataFrame:
     return checked(df).filter("reason is not null").select("payer_id", "source_base_url", "resource", "reason")
 

@@ -1,12 +1,13 @@
-"""Idempotent merges of batches into tables, as DataFrames and as partitioned parquet."""
+"""Idempotent merges of batches into tables, as DataFrames and as versioned tables of parquet files."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..sources.shared import pinned, unpinned
+from . import versions
 
 KEY = ("payer_id", "id")
 
@@ -21,14 +22,14 @@ def one_per_key(batch: DataFrame, key=KEY) -> DataFrame:
 
 def insert_only(target: DataFrame, batch: DataFrame, key=KEY) -> DataFrame:
     """The target and the batch's rows under new keys."""
-    new = one_per_key(batch, key).join(target.select(*key), list(key), "left_anti")
+    new = same_key(one_per_key(batch, key), dotted(target.select(*key), key), key, "left_anti")
     return target.unionByName(new.select(target.columns))
 
 
 def update(target: DataFrame, batch: DataFrame, key=KEY) -> DataFrame:
     """The target with the batch's rows in place of rows of the same key."""
     new = one_per_key(batch, key)
-    return target.join(new.select(*key), list(key), "left_anti").unionByName(new.select(target.columns))
+    return same_key(target, dotted(new.select(*key), key), key, "left_anti").unionByName(new.select(target.columns))
 
 
 def replace_partition(df: DataFrame, path: str, by: str = "payer_id") -> None:
@@ -37,43 +38,95 @@ def replace_partition(df: DataFrame, path: str, by: str = "payer_id") -> None:
 
 
 BUCKET = "key_bucket"
+#: A place whose rows lie in this many commits is written anew when a batch touches it next.
+CROWDED = 8
 
 
-def merge_into(batch: DataFrame, path: str, mode: str = "update", key=KEY, buckets: int = 16) -> None:
-    """Merge a batch into a parquet table partitioned by the key's first column and a hash of the rest.
+def same_key(left: DataFrame, right: DataFrame, key, how: str) -> DataFrame:
+    """Join on keys of which nulls are equal; ``right`` has the key's columns under names with a dot in front, which go."""
+    out = left.join(right, [F.col(k).eqNullSafe(F.col(f"`.{k}`")) for k in key], how)
+    return out.drop(*(f".{k}" for k in key))
 
-    Only partitions that the batch touches are read. Rows under new keys are appended;
-    in update mode the partitions that hold a row which the batch changes are rewritten,
-    so rows delivered again as they are rewrite nothing. Columns that the batch lacks keep
-    their values (null in new rows), columns that the table lacks are added.
+
+def dotted(df: DataFrame, key) -> DataFrame:
+    return df.withColumnsRenamed({k: f".{k}" for k in key})
+
+
+def merge_into(batch: DataFrame, path: str, mode: str = "update", key=KEY, buckets: int = 16, same: str | None = None, seen: str | None = None) -> None:
+    """Merge a batch into a versioned table, placed by the key's first column and a hash of the rest.
+
+    One commit: readers see the table before or after. Only places that the batch touches
+    are read. Rows under new keys are added; in update mode places that hold a row which the
+    batch changes are written anew. A row changes where ``same`` (a hash of its content)
+    differs, or any column without it. Null keys are equal to null keys. Columns that the
+    batch lacks keep their values (null in new rows), columns that the table lacks are added.
+
+    ``seen`` is a column that says when a row was delivered. It lies beside the rows, a narrow
+    part of its own, so a batch that brings nothing else new writes no rows: in update mode
+    the whole batch has been seen, in insert mode its new rows. ``read`` joins the latest.
     """
     spark, by = batch.sparkSession, [key[0], BUCKET]
     batch = pinned(one_per_key(batch, key).withColumn(BUCKET, F.expr(f"cast(pmod(xxhash64({', '.join(key[1:])}), {buckets}) as int)")))
-    fs = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not fs.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs):
-        batch.write.partitionBy(*by).parquet(path)
-        unpinned(batch)
-        return
-    known = spark.read.option("mergeSchema", True).parquet(path).schema
-    extra = [f for f in known if f.name not in batch.columns]
-    table = spark.read.schema(StructType([*batch.schema.fields, *extra])).parquet(path)
-    places = F.broadcast(batch.select(*by).distinct())  # at most payers x buckets rows
-    held = table.join(places, by, "left_semi")
-    new = batch.join(held.select(*key), list(key), "left_anti")
-    if mode == "update":
-        rest = [c for c in batch.columns if c not in (*key, BUCKET)]
-        before = held.select(*key, F.struct(*rest).alias("_before") if rest else F.lit(1).alias("_before"), *(F.col(f.name) for f in extra))
-        changed = batch.join(before, list(key)).filter(~F.struct(*rest).eqNullSafe(F.col("_before")) if rest else F.lit(False)).drop("_before")
-        changed = pinned(changed)
-        stay = held.join(F.broadcast(changed.select(*by).distinct()), by, "left_semi").join(changed.select(*key), list(key), "left_anti")
-        new = pinned(new)
-        kept = pinned(stay.unionByName(changed.select(stay.columns)))
-        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
-        unpinned(changed, kept)
+    rows = batch.drop(seen) if seen else batch
+    known = versions.current(spark, path) or versions.Version()
+    files = {part: dict(held) for part, held in known.files.items()}
+    schemas = dict(known.schemas)
+    if "rows" not in schemas:
+        schemas["rows"], held = rows.schema, None
+        new = out = rows
+        rewritten: set[str] = set()
     else:
-        new = pinned(new)
-    new.write.mode("append").partitionBy(*by).parquet(path)
-    unpinned(batch, new)
+        extra = [f for f in schemas["rows"] if f.name not in rows.columns]
+        schemas["rows"] = StructType([*rows.schema.fields, *extra])
+        touched = {versions.place_of(spark, by, r) for r in rows.select(*by).distinct().collect()}  # at most payers x buckets
+        now = versions.Version(known.number, schemas, known.files)
+        held = versions.read_part(spark, path, now, "rows", touched)
+        new = pinned(same_key(rows, dotted(held.select(*key), key), key, "left_anti"))
+        rest = [same] if same in rows.columns and same in held.columns else [c for c in rows.columns if c not in (*key, BUCKET)]
+        before = dotted(held.select(*key, F.struct(*rest, F.lit(1)).alias(".before"), *(F.col(f.name) for f in extra)), key)
+        other = ~F.struct(*rest, F.lit(1)).eqNullSafe(F.col("`.before`")) if mode == "update" else F.lit(False)
+        changed = pinned(same_key(rows, before, key, "inner").filter(other).drop(".before"))
+        rewritten = {versions.place_of(spark, by, r) for r in changed.select(*by).distinct().collect()}
+        rewritten |= {p for p in touched if len(files["rows"].get(p, ())) >= CROWDED}
+        stay = same_key(versions.read_part(spark, path, now, "rows", rewritten), dotted(changed.select(*key), key), key, "left_anti")
+        out = stay.unionByName(changed).unionByName(new, allowMissingColumns=True)
+    news = False
+    if rewritten or held is None or not new.isEmpty():
+        _commit(files, "rows", rewritten, *versions.write(out, path, "rows", by))
+        news = True
+    if seen:
+        delivered = (batch if mode == "update" else same_key(batch, dotted(new.select(*key), key), key, "left_semi")).select(*key, BUCKET, seen)
+        crowded = {p for p, commits in files.get("seen", {}).items() if len(commits) >= CROWDED}
+        if crowded:
+            old = versions.read_part(spark, path, known, "seen", crowded)
+            delivered = old.unionByName(delivered).groupBy(*key, BUCKET).agg(F.max(seen).alias(seen))
+        if not delivered.isEmpty():
+            schemas["seen"] = delivered.schema
+            _commit(files, "seen", crowded, *versions.write(delivered, path, "seen", by))
+            news = True
+    if news:
+        versions.publish(spark, path, versions.Version(known.number + 1, schemas, files))
+    unpinned(batch, *(() if held is None else (new, changed)))
+
+
+def _commit(files: dict, part: str, replaced: set[str], commit: str, places: list[str]) -> None:
+    """Enter a commit's places in a version's files."""
+    held = files.setdefault(part, {})
+    for place in places:
+        held[place] = [commit] if place in replaced else [*held.get(place, []), commit]
+
+
+def read(spark: SparkSession, path: str, number: int | None = None, key=KEY) -> DataFrame:
+    """The table's newest version, or the one of that number; with when each row was last seen, if that is kept."""
+    version = versions.current(spark, path, number)
+    if version is None:
+        raise ValueError(f"no version of a table under {path}")
+    rows = versions.read_part(spark, path, version, "rows")
+    if "seen" in version.schemas:
+        at = version.schemas["seen"].names[-1]
+        last = versions.read_part(spark, path, version, "seen").groupBy(*key).agg(F.max(at).alias(at))
+        rows = same_key(rows, dotted(last, key), key, "left")
+    return rows.drop(BUCKET)
 
 
 def upsert_scores(target: DataFrame, scores: DataFrame) -> DataFrame:

@@ -16,18 +16,29 @@ def split_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(ok, rejects) of JSON lines in ``value``: blank lines go, lines that don't parse are rejects with a reason."""
     some = lines.withColumn("resource", F.trim("value")).filter("resource <> ''")
     parsed = some.withColumn("good", F.try_parse_json("resource").isNotNull())
-    return parsed.filter("good").drop("good", "value"), parsed.filter("not good").select("resource", F.lit("bad-json").alias("reason"))
+    file = ["file"] if "file" in lines.columns else []
+    return parsed.filter("good").drop("good", "value"), parsed.filter("not good").select(*file, "resource", F.lit("bad-json").alias("reason"))
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, resource) of the lines of NDJSON files that aren't blank, whatever they hold."""
+    return some_lines(spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")))
+
+
+def some_lines(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("resource", F.trim("value")).filter("resource <> ''").drop("value")
 
 
 def read_ndjson(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return split_lines(spark.read.text(path))
+    """(ok, rejects) of the lines of NDJSON files, each with its file."""
+    return split_lines(spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")))
 
 
 def bundle_entries(pages: DataFrame, resource_type: str | None = None, column: str = "page") -> DataFrame:
-    """(other columns, resource) of every entry of JSON bundles that has an id, and the requested type if one is named."""
+    """(other columns, resource) of every entry of JSON bundles that has an id that isn't empty, and the requested type if one is named."""
     rest = [c for c in pages.columns if c != column]
     entries = pages.select(*rest, F.explode(F.from_json(column, "entry array<struct<resource:string>>")["entry"]).alias("e")).select(*rest, "e.resource")
-    out = entries.filter(F.get_json_object("resource", "$.id").isNotNull())
+    out = entries.filter(F.get_json_object("resource", "$.id") != "")
     return out if resource_type is None else out.filter(F.get_json_object("resource", "$.resourceType") == resource_type)
 
 

@@ -15,13 +15,22 @@ _TEMPORARY: dict[str, str] = {}
 
 
 def pinned_root(spark: SparkSession) -> str:
-    """A new folder's path under ``spark.checkpoint.dir``; where that is unset, in a temporary folder in local mode and an error on a cluster."""
+    """A new folder's path under ``spark.checkpoint.dir``; where that is unset, in a temporary folder in local mode and an error on a cluster. What it holds goes when the driver ends."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = _TEMPORARY.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="rosterlens-"))
-    return f"{root.rstrip('/')}/p-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/p-{uuid.uuid4().hex}"
+    folder, system = _folder(spark, path)
+    system.deleteOnExit(folder)
+    return path
+
+
+def _folder(spark: SparkSession, path: str):
+    """The Hadoop path and its file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def pinned(df: DataFrame) -> DataFrame:
@@ -38,6 +47,10 @@ def unpinned(*tables: DataFrame) -> None:
     for df in tables:
         path = _WRITTEN.pop(df, None)
         if path:
-            context = df.sparkSession.sparkContext
-            folder = context._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+            dropped(df.sparkSession, path)
+
+
+def dropped(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``pinned_root`` named."""
+    folder, system = _folder(spark, path)
+    system.delete(folder, True)

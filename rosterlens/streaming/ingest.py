@@ -1,44 +1,51 @@
 """Incremental ingest of NDJSON files into typed tables.
 
-A batch is a bounded set of files; its rows are split, flattened and merged by key, so
-that a batch that runs again after a lost driver changes nothing.
+A batch is a bounded set of files. One job parses each line once, tells its table and counts
+as it writes; every table then reads its own rows of that. Tables are merged by key in one
+commit each, so that a batch that runs again after a lost driver changes nothing.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.flatten import flatten, rejects
+from ..operators.flatten import routed, typed
 from ..operators.merge import merge_into
-from ..sources.bundles import split_lines
+from ..sources.bundles import TYPES, some_lines
+from ..sources.shared import dropped, pinned_root
+
+
+def staged(lines: DataFrame, payer_id: str, base_url: str) -> tuple[DataFrame, dict[str, int], str]:
+    """Parsed lines by table, as written to the shared folder by one job; how many lines that job saw of each table and in all; the folder."""
+    seen = Observation()
+    rows = routed(some_lines(lines).select(F.lit(payer_id).alias("payer_id"), F.lit(base_url).alias("source_base_url"), "resource", *(["file"] if "file" in lines.columns else [])))
+    counts = [F.count_if(F.col("table_name") == t).alias(t) for t in (*TYPES.values(), "rejects")]
+    path = pinned_root(lines.sparkSession)
+    rows.observe(seen, F.count("*").alias("lines"), *counts).write.partitionBy("table_name").parquet(path)
+    return lines.sparkSession.read.schema(rows.schema).parquet(path), seen.get, path
 
 
 def write_batch(lines: DataFrame, payer_id: str, base_url: str, tables: tuple[str, ...], out: str, seen_at: datetime, mode: str = "update", batch: int = 0) -> None:
     """Merge one batch of lines into every table under ``out``, and its counts; rejects are merged by their text, so that a repeat adds none."""
-    ok, bad = split_lines(lines.select("value"))
-    rows = ok.select(F.lit(payer_id).alias("payer_id"), F.lit(base_url).alias("source_base_url"), "resource").persist()
-    try:
-        for table in tables:
-            flat = flatten(rows, table, seen_at)
-            if not flat.isEmpty():
-                merge_into(flat, f"{out}/{table}", mode)
-        wrong = rejects(rows).unionByName(bad.select(F.lit(payer_id).alias("payer_id"), F.lit(base_url).alias("source_base_url"), "resource", "reason"))
-        wrong = wrong.withColumn("id", F.sha2("resource", 256))
-        if not wrong.isEmpty():
-            merge_into(wrong, f"{out}/rejects", "insert")
-        counts = lines.agg(F.count_if(F.trim("value") != "").alias("lines")).join(wrong.agg(F.count("*").alias("rejects")), F.lit(True))  # a row each
-        counts.select("lines", "rejects").write.mode("overwrite").parquet(f"{out}/counts/batch={batch}")
-    finally:
-        rows.unpersist()
+    rows, counts, path = staged(lines, payer_id, base_url)
+    for table in tables:
+        if counts[table]:
+            merge_into(typed(rows.filter(F.col("table_name") == table), table, seen_at), f"{out}/{table}", mode, same="raw_hash", seen="last_seen_at")
+    if counts["rejects"]:
+        wrong = rows.filter("table_name = 'rejects'").withColumn("id", F.sha2("resource", 256))
+        merge_into(wrong.select("payer_id", "id", "source_base_url", "resource", "reason", *(["file"] if "file" in rows.columns else [])), f"{out}/rejects", "insert")
+    total = lines.sparkSession.createDataFrame([(counts["lines"], counts["rejects"])], "lines long, rejects long")
+    total.write.mode("overwrite").parquet(f"{out}/counts/batch={batch}")
+    dropped(lines.sparkSession, path)
 
 
 def ingest(spark: SparkSession, path: str, payer_id: str, base_url: str, tables: tuple[str, ...], out: str, checkpoint: str, seen_at: datetime, mode: str = "update", files: int = 16) -> StreamingQuery:
     """Start reading the NDJSON files under ``path`` that aren't read yet; ``checkpoint`` remembers which are."""
-    lines = spark.readStream.option("maxFilesPerTrigger", files).text(path)
+    lines = spark.readStream.option("maxFilesPerTrigger", files).text(path).select("value", F.col("_metadata.file_path").alias("file"))
     write = lines.writeStream.foreachBatch(lambda df, n: write_batch(df, payer_id, base_url, tables, out, seen_at, mode, n))
     return write.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -46,3 +53,20 @@ def ingest(spark: SparkSession, path: str, payer_id: str, base_url: str, tables:
 def batch_counts(spark: SparkSession, out: str) -> DataFrame:
     """(batch, lines, rejects) of every batch written under ``out``; a batch that ran again counts once."""
     return spark.read.parquet(f"{out}/counts")
+
+
+def first_deliveries(stream: DataFrame, keys: list[str], at: str, within: str) -> DataFrame:
+    """Each delivery of a stream once: repeats of ``keys`` go, in whatever batch they come.
+
+    The state holds a key until the watermark, ``within`` behind the latest ``at``, has passed
+    it by as much. A delivery later than the watermark of the batch before goes too, as
+    nothing can tell any more whether it is a repeat; so ``within`` must cover how late a
+    first delivery may be.
+    """
+    return stream.withWatermark(at, within).dropDuplicatesWithinWatermark(keys)
+
+
+def deliver(stream: DataFrame, keys: list[str], at: str, within: str, out: str, checkpoint: str) -> StreamingQuery:
+    """Append first deliveries to the parquet files under ``out``, exactly once."""
+    write = first_deliveries(stream, keys, at, within).writeStream.format("parquet").outputMode("append")
+    return write.option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
