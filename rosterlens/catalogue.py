@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .functions import scalars as S
 from .operators import capability, elements, flatten, merge, metrics, planner, refs, runs
 from .plans.rules import CHECKS, Element
-from . import catalogue_resources
+from . import catalogue_resources, catalogue_tables
 from .sources import bundles
 from .sources import projection as P
 from .sources.shared import pinned, pinned_root
@@ -458,14 +458,6 @@ def prefix_residual(spark, d):
     return planner.prefix_residual(part, planner.prefix_buckets(part, F.col("p_name"), 300))
 
 
-@_query("time_buckets", (
-    "with s as (select cast(floor(epoch(ts)) as bigint) - 1704067200 as s from events where ts >= timestamp '2024-01-01' and ts < timestamp '2024-02-01'), lv as (select k as level, (s * (1 << k)) // 2678400 as bucket, count(*) as n from s, range(0, 11) r(k) group by 1, 2)"
-    " select level::int as level, bucket::bigint as bucket, n::bigint as n from lv a where (n <= 700 or level = 10) and not exists (select 1 from lv b where b.level < a.level and b.bucket = a.bucket >> (a.level - b.level)::int and b.n <= 700)"
-))
-def time_buckets(spark, d):
-    return planner.time_buckets(P.raw(spark, d, "events"), F.col("ts").cast("timestamp"), datetime(2024, 1, 1, tzinfo=timezone.utc), datetime(2024, 2, 1, tzinfo=timezone.utc), 700)
-
-
 @_query("value_buckets", "select o_orderpriority as value, count(*)::bigint as n from orders where o_orderpriority in (select distinct o_orderpriority from orders where o_orderkey % 2 = 0) group by 1")
 def value_buckets(spark, d):
     orders = P.raw(spark, d, "orders")
@@ -727,3 +719,4 @@ def requirement_rows(spark, d):
 
 
 catalogue_resources.register(_query)
+catalogue_tables.register(_query)

@@ -139,7 +139,7 @@ def source_family(url: Column, families: dict[str, str]) -> Column:
     host = F.try_parse_url(url, F.lit("HOST"))
     out = None
     for pattern, family in families.items():
-        out = (out or F).when(host.rlike(pattern), family)
+        out = (F if out is None else out).when(host.rlike(pattern), family)
     return host if out is None else out.otherwise(host)
 
 

@@ -1,7 +1,7 @@
 """Bucket planners: leaves of at most ``most`` rows over names, listed values and time.
 
-All levels are counted in one aggregation; a leaf is a bucket that is small enough, or as
-deep as allowed, whose ancestors all are too large. Nothing loops on the driver.
+A leaf is a bucket that is small enough, or as deep as allowed, whose ancestors all are too
+large. Names count all levels in one aggregation; time takes a few levels at once.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import pinned
+
 
 def prefix_buckets(df: DataFrame, name: Column, most: int, depth: int = 6) -> DataFrame:
     """(prefix, n): leaves over lower-cased names of letters a-z and digits; names end where another character stands."""
@@ -32,16 +34,40 @@ def prefix_residual(df: DataFrame, leaves: DataFrame) -> DataFrame:
     return total.join(covered, F.lit(True)).withColumn("residual", F.col("total") - F.col("covered"))
 
 
-def time_buckets(df: DataFrame, ts: Column, start: datetime, end: datetime, most: int, depth: int = 10) -> DataFrame:
-    """(level, bucket, n): dyadic windows of [start, end); times outside and nulls are uncovered; the window is cut to whole seconds first."""
+def seconds_deep(start: datetime, end: datetime) -> int:
+    """How often [start, end) is halved until a window is no longer than a second."""
+    return max(0, (int(end.timestamp()) - int(start.timestamp()) - 1).bit_length())
+
+
+def time_buckets(df: DataFrame, ts: Column, start: datetime, end: datetime, most: int, depth: int | None = None, step: int = 8) -> DataFrame:
+    """(level, bucket, n): dyadic windows of [start, end), halved while they hold more than ``most`` rows and are longer than a second (or ``depth`` levels deep).
+
+    Times outside and nulls are uncovered; start and end are cut to whole seconds first.
+    Rows are counted by second once. Levels deepen ``step`` at a time, and only seconds of
+    windows that are still too full go on, so deep levels cost what is crowded there.
+    """
     first, width = int(start.timestamp()), int(end.timestamp()) - int(start.timestamp())
+    last = seconds_deep(start, end) if depth is None else min(depth, seconds_deep(start, end))
     second = F.unix_timestamp(ts) - first
-    one = df.select(second.alias("s")).filter((F.col("s") >= 0) & (F.col("s") < width)).groupBy("s").agg(F.count("*").alias("c"))
-    levels = one.select("c", F.posexplode(F.expr(f"transform(sequence(0, {depth}), k -> cast(floor(s * shiftleft(1L, k) / {width}) as bigint))")).alias("level", "bucket"))
-    counts = levels.groupBy("level", "bucket").agg(F.sum("c").alias("n"))
-    large = counts.filter(F.col("n") > most).select((F.col("level") + 1).alias("level"), F.col("bucket").alias("half"))
-    fits = counts.filter((F.col("n") <= most) | (F.col("level") == depth)).withColumn("half", F.expr("shiftright(bucket, 1)"))
-    return fits.filter("level = 0").select("level", "bucket", "n").unionByName(fits.filter("level > 0").join(large, ["level", "half"], "left_semi").select("level", "bucket", "n"))
+    going = pinned(df.select(second.alias("s")).filter((F.col("s") >= 0) & (F.col("s") < width)).groupBy("s").agg(F.count("*").alias("c")))
+    place = f"cast(floor(s * shiftleft(1L, {{}}) / {width}) as bigint)"
+    leaves, above = None, 0
+    while True:
+        to = min(above + step, last)
+        levels = going.select("c", F.posexplode(F.expr(f"transform(sequence({above}, {to}), k -> {place.format('k')})")).alias("level", "bucket"))
+        counts = levels.groupBy((F.col("level") + above).alias("level"), "bucket").agg(F.sum("c").alias("n"))
+        full = counts.filter(F.col("n") > most)
+        fits = counts.filter((F.col("n") <= most) | (F.col("level") == last)).withColumn("half", F.expr("shiftright(bucket, 1)"))
+        under = fits.join(full.select((F.col("level") + 1).alias("level"), F.col("bucket").alias("half")), ["level", "half"], "left_semi").select("level", "bucket", "n")
+        found = fits.filter("level = 0").select("level", "bucket", "n").unionByName(under) if above == 0 else under  # a later step's first level is the last one's last
+        leaves = found if leaves is None else leaves.unionByName(found)
+        if to == last:
+            return leaves
+        crowded = full.filter(F.col("level") == to).select(F.col("bucket").alias("at"))
+        going = pinned(going.withColumn("at", F.expr(place.format(to))).join(crowded, "at", "left_semi").drop("at"))
+        if going.isEmpty():
+            return leaves
+        above = to
 
 
 def value_buckets(df: DataFrame, column: str, values: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -31,37 +32,50 @@ def latest_finished(runs: DataFrame) -> DataFrame:
     return latest(runs, first)
 
 
-def in_ranges(df: DataFrame, order: list[str]) -> DataFrame:
-    """``df`` cut into ranges of ``order``, with the range's number in ``part``: a payer's history lies in many, and
-    what one range needs of those before it is carried over by row counts of payers x ranges, so no payer is sorted in one task."""
-    return pinned(df.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
+#: A history of more rows of one key than this is cut into ranges; a shorter one is sorted whole, in one window.
+LONG = 1_000_000
 
 
-def carried(parts: DataFrame, keys: list[str], **values: Column) -> DataFrame:
+def long_history(df: DataFrame, keys: list[str], most: int) -> bool:
+    """Whether some key has more rows than ``most``."""
+    return not df.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > most).isEmpty()
+
+
+def in_ranges(df: DataFrame, order: list[str]) -> tuple[DataFrame, str]:
+    """``df`` cut into ranges of ``order``, and the name of a new column with the range's number: a payer's history lies in many,
+    and what one range needs of those before it is carried over by row counts of payers x ranges, so no payer is sorted in one task."""
+    part = f"part_{uuid.uuid4().hex}"
+    return pinned(df.repartitionByRange(*order).withColumn(part, F.spark_partition_id())), part
+
+
+def carried(parts: DataFrame, keys: list[str], part: str, **values: Column) -> DataFrame:
     """(keys, part, values): windows over a payer's ranges, from the first to the one before."""
-    return parts.select(*keys, "part", *(v.over(Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)).alias(n) for n, v in values.items()))
+    return parts.select(*keys, part, *(v.over(Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)).alias(n) for n, v in values.items()))
 
 
 def beside(df: DataFrame, few: DataFrame, keys: list[str]) -> DataFrame:
     """``df`` with the other columns of ``few``'s row of the same keys; null keys are equal."""
-    named = few.select(*(F.col(k).alias(f"_{k}") for k in keys), *(c for c in few.columns if c not in keys))
-    found = df.join(named, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    return found.drop(*(f"_{k}" for k in keys))
+    named = few.select(*(F.col(k).alias(f".{k}") for k in keys), *(F.col(f"`{c}`") for c in few.columns if c not in keys))
+    found = df.join(named, [F.col(k).eqNullSafe(F.col(f"`.{k}`")) for k in keys])
+    return found.drop(*(f".{k}" for k in keys))
 
 
-def prior_counts(runs: DataFrame, drop: float = -10.0) -> DataFrame:
+def prior_counts(runs: DataFrame, drop: float = -10.0, most: int = LONG) -> DataFrame:
     """Each run with the count of the newest earlier run that was ok or partial, the change in percent, and whether it dropped."""
     keys = ["payer_id", "resource_type"]
-    part = in_ranges(runs, [*keys, "started_at", "run_id"])
     good = F.when(F.col("status").isin("ok", "partial"), F.col("resource_count"))
-    newest = F.max_by(good, F.when(good.isNotNull(), F.struct("started_at", "run_id")))
-    before = carried(part.groupBy(*keys, "part").agg(newest.alias("newest")), keys, _before=F.last("newest", ignorenulls=True))
-    w = Window.partitionBy(*keys, "part").orderBy("started_at", "run_id").rowsBetween(Window.unboundedPreceding, -1)
-    joined = part.withColumn("_prior", F.last(good, ignorenulls=True).over(w))
-    joined = beside(joined, before, [*keys, "part"])
+    if not long_history(runs, keys, most):
+        w = Window.partitionBy(*keys).orderBy("started_at", "run_id").rowsBetween(Window.unboundedPreceding, -1)
+        out = runs.withColumn("prior_count", F.last(good, ignorenulls=True).over(w))
+    else:
+        cut, part = in_ranges(runs, [*keys, "started_at", "run_id"])
+        newest = F.max_by(good, F.when(good.isNotNull(), F.struct("started_at", "run_id")))
+        before = carried(cut.groupBy(*keys, part).agg(newest.alias(".newest")), keys, part, **{".before": F.last("`.newest`", ignorenulls=True)})
+        w = Window.partitionBy(*keys, part).orderBy("started_at", "run_id").rowsBetween(Window.unboundedPreceding, -1)
+        joined = beside(cut.withColumn(".prior", F.last(good, ignorenulls=True).over(w)), before, [*keys, part])
+        out = joined.select(*runs.columns, F.coalesce("`.prior`", "`.before`").alias("prior_count"))
     change = F.round(F.lit(100.0) * (F.col("resource_count") - F.col("prior_count")) / F.nullif(F.col("prior_count"), F.lit(0)), 1)
-    out = joined.select(*runs.columns, F.coalesce("_prior", "_before").alias("prior_count")).withColumn("pct_change", change)
-    return out.withColumn("dropped", F.coalesce(F.col("pct_change") <= drop, F.lit(False)))
+    return out.withColumn("pct_change", change).withColumn("dropped", F.coalesce(F.col("pct_change") <= drop, F.lit(False)))
 
 
 def denominator(bare: Column, counted: Column, gaps: Column, mode: Column, match_all: Column) -> tuple[Column, Column]:
@@ -122,22 +136,28 @@ def finalised(done: DataFrame, history: DataFrame) -> DataFrame:
     return out.withColumn("run_id", run_id)
 
 
-def stalls(polls: DataFrame, k: int = 3, grace_seconds: int = 0) -> DataFrame:
+def stalls(polls: DataFrame, k: int = 3, grace_seconds: int = 0, most: int = LONG) -> DataFrame:
     """(payer_id, island, polls, first_at, last_at): runs of at least ``k`` polls without growth after the grace period.
 
     ``polls``: payer_id, poll_id, at, n. A poll that grows, and the first one, starts an island.
     """
-    part = in_ranges(polls.select("payer_id", "poll_id", "at", "n"), ["payer_id", "at", "poll_id"])
-    ends = part.groupBy("payer_id", "part").agg(F.max_by("n", F.struct("at", "poll_id")).alias("last_n"), F.min("at").alias("from_at"))
-    begun = ends.groupBy("payer_id").agg(F.min("from_at").alias("begin"))
-    ends = carried(ends, ["payer_id"], before_n=F.last("last_n"))
-    ends = beside(ends, begun, ["payer_id"])
-    w = Window.partitionBy("payer_id", "part").orderBy("at", "poll_id")
-    held = beside(part, ends, ["payer_id", "part"]).withColumn("prior", F.when(F.row_number().over(w) == 1, F.col("before_n")).otherwise(F.lag("n").over(w)))
-    grown = held.withColumn("grew", (F.col("n") > F.col("prior")) | F.col("prior").isNull())
-    opened = carried(grown.groupBy("payer_id", "part").agg(F.count_if("grew").alias("islands")), ["payer_id"], before=F.sum("islands"))
-    within = grown.withColumn("opened", F.sum(F.col("grew").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    marked = beside(within, opened, ["payer_id", "part"]).withColumn("island", F.coalesce("opened", F.lit(0)) + F.coalesce("before", F.lit(0)))
+    own = polls.select("payer_id", "poll_id", "at", "n")
+    if not long_history(own, ["payer_id"], most):
+        w = Window.partitionBy("payer_id").orderBy("at", "poll_id")
+        prior = own.withColumns({"prior": F.lag("n").over(w), "begin": F.min("at").over(w)})
+        grown = prior.withColumn("grew", (F.col("n") > F.col("prior")) | F.col("prior").isNull())
+        marked = grown.withColumn("island", F.sum(F.col("grew").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    else:
+        cut, part = in_ranges(own, ["payer_id", "at", "poll_id"])
+        ends = cut.groupBy("payer_id", part).agg(F.max_by("n", F.struct("at", "poll_id")).alias("last_n"), F.min("at").alias("from_at"))
+        begun = ends.groupBy("payer_id").agg(F.min("from_at").alias("begin"))
+        ends = beside(carried(ends, ["payer_id"], part, before_n=F.last("last_n")), begun, ["payer_id"])
+        w = Window.partitionBy("payer_id", part).orderBy("at", "poll_id")
+        held = beside(cut, ends, ["payer_id", part]).withColumn("prior", F.when(F.row_number().over(w) == 1, F.col("before_n")).otherwise(F.lag("n").over(w)))
+        grown = held.withColumn("grew", (F.col("n") > F.col("prior")) | F.col("prior").isNull())
+        opened = carried(grown.groupBy("payer_id", part).agg(F.count_if("grew").alias("islands")), ["payer_id"], part, before=F.sum("islands"))
+        within = grown.withColumn("opened", F.sum(F.col("grew").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        marked = beside(within, opened, ["payer_id", part]).withColumn("island", F.coalesce("opened", F.lit(0)) + F.coalesce("before", F.lit(0)))
     flat = marked.filter(~F.col("grew") & (F.col("at") >= F.col("begin") + F.make_interval(secs=F.lit(grace_seconds))))
     return flat.groupBy("payer_id", "island").agg(F.count("*").alias("polls"), F.min("at").alias("first_at"), F.max("at").alias("last_at")).filter(F.col("polls") >= k)
 
@@ -202,6 +222,26 @@ def crosstab(counts: DataFrame, types: list[str]) -> DataFrame:
     return wide.withColumn("total", sum((F.col(t) for t in types[1:]), F.col(types[0]))).filter("total > 0")
 
 
+def status_grid(counts: DataFrame, types: list[str]) -> DataFrame:
+    """(payer_id, one column per type, total, payers): a row a payer with rows, the largest total first, and a last row of totals over all of them, whose payer_id is null.
+
+    ``counts``: payer_id, resource_type, n, with payers that aren't null. One pass: the totals
+    come from rolling up the payers of the pivoted sums. ``payers`` is 1 for a payer.
+    """
+    own = counts.filter(F.col("n") > 0).groupBy("payer_id").agg(
+        *(F.coalesce(F.sum(F.when(F.col("resource_type") == t, F.col("n"))), F.lit(0)).alias(t) for t in types), F.sum(F.when(F.col("resource_type").isin(types), F.col("n"))).alias("total")
+    ).filter("total > 0")
+    both = own.rollup("payer_id").agg(*(F.sum(t).alias(t) for t in types), F.sum("total").alias("total"), F.count("*").alias("payers"), F.grouping("payer_id").alias(".all"))
+    return both.filter("total is not null").orderBy("`.all`", F.desc("total"), "payer_id").drop(".all")
+
+
+def reconciled_files(lines: DataFrame) -> DataFrame:
+    """(file, lines, rejects, loaded, coverage_pct) of every export file: parsed lines with ``file``, ``reason`` and, for good ones, payer_id and id; an id counts once a file."""
+    good = F.col("reason").isNull()
+    out = lines.groupBy("file").agg(F.count("*").alias("lines"), F.count_if(~good).alias("rejects"), F.countDistinct(F.when(good, F.struct("payer_id", "id"))).alias("loaded"))
+    return out.withColumn("coverage_pct", pct(F.col("loaded"), F.col("lines")))
+
+
 def outcomes(log: DataFrame) -> DataFrame:
     return log.groupBy("outcome").agg(F.count("*").alias("n"))
 

@@ -103,10 +103,12 @@ def test_stalls_of_a_payer_in_many_ranges(spark, many_ranges):
             prior = n
         want += [(payer, i, len(ats), ats[0], ats[-1]) for i, ats in flat.items() if len(ats) >= 3]
     polls = spark.createDataFrame(rows, "payer_id string, poll_id long, at timestamp, n long")
-    got = [tuple(r) for r in runs.stalls(polls, 3, 600).collect()]
-    assert sorted(got, key=repr) == sorted(want, key=repr) and len(want) > 20
-    assert runs.in_ranges(polls, ["payer_id", "at"]).filter("payer_id = 'a'").select("part").distinct().count() > 1
-    assert runs.stalls(polls.limit(0)).count() == 0
+    for most in (0, runs.LONG):  # in ranges, and in one window
+        got = [tuple(r) for r in runs.stalls(polls, 3, 600, most).collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr) and len(want) > 20
+        assert runs.stalls(polls.limit(0), most=most).count() == 0
+    cut, part = runs.in_ranges(polls, ["payer_id", "at"])
+    assert cut.filter("payer_id = 'a'").select(part).distinct().count() > 1
 
 
 def test_prior_counts_of_a_payer_in_many_ranges(spark, many_ranges):
@@ -118,5 +120,53 @@ def test_prior_counts_of_a_payer_in_many_ranges(spark, many_ranges):
         if status in ("ok", "partial") and n is not None:
             last[p] = n
     history = spark.createDataFrame(rows, "payer_id string, resource_type string, run_id long, started_at timestamp, status string, resource_count long")
-    got = {(r.payer_id, r.run_id): r.prior_count for r in runs.prior_counts(history).collect()}
-    assert got == want
+    history = history.withColumns({"part": F.col("run_id") + 5, "newest": F.lit("own")})
+    for most in (0, runs.LONG):
+        found = runs.prior_counts(history, most=most).collect()
+        assert {(r.payer_id, r.run_id): r.prior_count for r in found} == want
+        assert all(r.part == r.run_id + 5 and r.newest == "own" for r in found)
+
+
+def test_windows_of_time_go_down_to_a_second(spark):
+    start, end = datetime(2024, 1, 1, tzinfo=timezone.utc), datetime(2024, 1, 2, tzinfo=timezone.utc)
+    rows = [(40_000 + i % 3,) for i in range(90)] + [(i * 7,) for i in range(40)] + [(-5,), (86_400,), (None,)]
+    df = spark.createDataFrame(rows, "s long").select((F.lit(1_704_067_200) + F.col("s")).cast("timestamp").alias("ts"))
+    for most, step in ((10, 3), (10, 8), (10, 30), (35, 5), (1000, 8)):
+        leaves = {(r.level, r.bucket): r.n for r in planner.time_buckets(df, F.col("ts"), start, end, most, step=step).collect()}
+        want, going = {}, [(0, 0, [s for (s,) in rows if s is not None and 0 <= s < 86_400])]
+        while going:
+            level, bucket, inside = going.pop()
+            if inside and (len(inside) <= most or 86_400 / 2**level <= 1):
+                want[(level, bucket)] = len(inside)
+            elif inside:
+                going += [(level + 1, b, [s for s in inside if s * 2 ** (level + 1) // 86_400 == b]) for b in (2 * bucket, 2 * bucket + 1)]
+        assert leaves == want
+    assert planner.seconds_deep(start, end) == 17 and planner.time_buckets(df.limit(0), F.col("ts"), start, end, 5).count() == 0
+
+
+def test_status_grid(spark):
+    counts = spark.createDataFrame([("a", "x", 3), ("a", "y", 4), ("b", "x", 9), ("c", "x", 0), ("d", "other", 5)], "payer_id string, resource_type string, n long")
+    got = [tuple(r) for r in runs.status_grid(counts, ["x", "y"]).collect()]
+    assert got == [("b", 9, 0, 9, 1), ("a", 3, 4, 7, 1), (None, 12, 4, 16, 2)]
+    assert runs.status_grid(counts.limit(0), ["x"]).collect() == []
+
+
+def test_entries_without_an_id_go(spark):
+    from rosterlens.sources import bundles
+
+    page = '{"entry":[{"resource":{"resourceType":"Location","id":""}},{"resource":{"resourceType":"Location","id":null}},{"resource":{"resourceType":"Location"}},{"resource":{"resourceType":"Location","id":"7"}},{}]}'
+    assert [r.resource for r in bundles.bundle_entries(spark.createDataFrame([(page,)], "page string")).collect()] == ['{"resourceType":"Location","id":"7"}']
+
+
+def test_lines_and_rejects_keep_their_file(spark, tmp_path):
+    from rosterlens.operators import flatten
+    from rosterlens.sources import bundles
+
+    (tmp_path / "a.ndjson").write_text('{"resourceType":"Location","id":"1"}\n\n{bad\n{"resourceType":"Location","id":"1"}\n')
+    (tmp_path / "b.ndjson").write_text('{"resourceType":"Patient","id":"1"}\n')
+    lines = bundles.read_lines(spark, f"file://{tmp_path}").withColumns({"payer_id": F.lit("p"), "source_base_url": F.lit("u")})
+    parsed = flatten.routed(lines).select("file", "payer_id", F.col("r.id").alias("id"), "reason")
+    got = {r.file.rsplit("/", 1)[1]: tuple(r)[1:] for r in runs.reconciled_files(parsed).collect()}
+    assert got == {"a.ndjson": (3, 1, 1, 33.3), "b.ndjson": (1, 1, 0, 0.0)}
+    ok, bad = bundles.read_ndjson(spark, f"file://{tmp_path}")
+    assert ok.count() == 3 and [r.file.rsplit("/", 1)[1] for r in bad.collect()] == ["a.ndjson"]
