@@ -4,8 +4,10 @@ A page is cut into blocks of text at block-level tags, and every block lies in o
 three regions: inside the page's article, inside something that names itself as not the
 article (menus, headers, footers, sidebars, notices, adverts, forms, comments, hidden
 parts), or unmarked. The article is what parsed ``article`` elements hold that don't lie
-apart, or ``main`` where it holds more text besides them; where more text lies outside
-the article than in it (a teaser, a note), what lies outside counts as unmarked.
+apart, or ``main`` where it holds more text besides them. All else that doesn't lie apart is
+unmarked, however much or little it is: a headline in ``main`` before the article, a teaser,
+a page without marks; so is what has a weak name (banner, legal, search) inside the article,
+which may be one of its own parts.
 
 The words of everything outside articles form one token stream per host, its pages laid
 end to end, pages with the same host and content once, so that mirrors don't cover each
@@ -14,11 +16,12 @@ tokens, equal ones of a batch of pages are one row with the pages counted (two k
 name), rows are dealt by host and first three tokens, and each shard is sorted. Walking
 down a shard, suffixes that share at least l tokens with their neighbours are a run, and
 the largest l from ``tokens`` to ``depth`` whose run has ``least`` distinct pages is the
-length of the longest repeat that a suffix starts. A stretch longer than ``depth`` is
-covered by the repeats of its suffixes. The union of a page's repeats covers its tokens:
+length of the longest repeat that a suffix starts. A bound on ``depth`` changes no result:
+pages that share a longer stretch share those of its suffixes that lie in it, each of
+``tokens`` or more, and these cover the stretch to its end. The union of a page's repeats covers its tokens:
 unmarked blocks that are covered are the site's boilerplate and go, unique runs stay.
 
-Text inside a marked article always stays, also where it recurs on other pages: shared
+Other text inside a marked article always stays, also where it recurs on other pages: shared
 passages and quotations are article text, and repeats alone would drop them.
 
 Null html gives an empty text, a null url lies on the host without a name. Repeated rows
@@ -62,8 +65,8 @@ _NAMED = re.compile(
     r"|comments?|commentlist|commentform|commenters?|disqus|repl(?:y|ies)|responses|discussion|cookies?|cookie(?:bar|banner|notice|consent)|consent|gdpr|notices?|alerts?|legal|copyright|disclaimer|newsletter|subscribe|signup|popup|modal|overlay"
     r"|share|sharing|social|related|recommended|widgets?|toolbar|pagination|pager|login|search|skip"
 )
-#: Names that may also be those of an article's own parts: they count outside articles only.
-_WEAK = re.compile("banner|side|repl(?:y|ies)|responses|discussion|notices?|alerts?|legal|copyright|disclaimer|consent|gdpr|overlay|search|skip|pager|toolbar")
+#: Names that may also be those of an article's own parts: inside it, the suffix array decides about what they hold.
+_WEAK = re.compile("banner|side|legal|copyright|disclaimer|consent|gdpr|overlay|search|skip|pager|toolbar")
 _HEADER = re.compile(r"(?:(?:site|page|top|main|global)[_-])?header")
 #: Parts of a name that don't change what it names; others (has-, with-, no-, -layout) do.
 _NEUTRAL = re.compile(
@@ -80,46 +83,53 @@ _MARK = re.compile(
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 
-def _names(token: str, inside: bool) -> bool:
-    """Whether a class or id as a whole names something apart; ``inside`` an article, weak names don't."""
+_UNSURE = 4
+
+
+def _names(token: str, inside: bool) -> int:
+    """Whether a class or id as a whole names something apart (1), or something that ``inside`` an article may be a part of it (``_UNSURE``)."""
     token = token.lower()
     if _HEADER.fullmatch(token):
-        return True
+        return 1
     parts = re.split("[-_]+", token)
     found = [x for x in parts if _NAMED.fullmatch(x)]
-    if inside and all(map(_WEAK.fullmatch, found)):
-        return False
-    return bool(found) and all(_NAMED.fullmatch(x) or _NEUTRAL.fullmatch(x) for x in parts)
+    if not found or not all(_NAMED.fullmatch(x) or _NEUTRAL.fullmatch(x) for x in parts):
+        return 0
+    return _UNSURE if inside and all(map(_WEAK.fullmatch, found)) else 1
 
 
 @lru_cache(maxsize=4096)
 def _named_apart(name: str, attributes: str, inside: bool) -> int:
-    """0: no, 1: by a class or id, 2: by one of readers' or other articles, 3: by a role or as hidden."""
+    """0: no, 1: by a class or id, 2: by one of readers' or other articles, 3: by a role or as hidden, _UNSURE: by weak names alone."""
     if not attributes or name in ("body", "html"):
         return 0
-    found = 0
+    found, unsure = 0, False
     for key, a, b, c in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), a or b or c
         if key in ("class", "id"):
-            for token in (x for x in value.split() if _names(x, inside)):
-                found = max(found, 2 if any(map(_READERS.fullmatch, re.split("[-_]+", token.lower()))) else 1)
+            for token in value.split():
+                kind = _names(token, inside)
+                unsure |= kind == _UNSURE
+                if kind == 1:
+                    found = max(found, 2 if any(map(_READERS.fullmatch, re.split("[-_]+", token.lower()))) else 1)
         if (key == "role" and value.lower() in _ROLES) or key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
             return 3
         if key == "style" and re.search(r"display\s*:\s*none", value, re.I):
             return 3
-    return found
+    return found or _UNSURE * unsure
 
 
-def _parse(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple[bool, bool, bool, str]], dict[int, list[int]]]:
-    """(apart, in an article, in main, text) of a page's blocks; and of elements apart by class or id that are or hold an article or main: the place -> [characters in it, whether main, whether readers'].
+def _parse(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple[bool, bool, bool, str, bool]], dict[int, list[int]]]:
+    """(apart, in an article, in main, text, weakly named) of a page's blocks; and of elements apart by class or id that are or hold an article or main: the place -> [characters in it, whether main, whether readers'].
 
     ``spared``: places of elements whose names don't count.
     """
-    out: list[tuple[bool, bool, bool, str]] = []
+    out: list[tuple[bool, bool, bool, str, bool]] = []
     parts: list[str] = []
     article = main = 0  # depths outside what lies apart
     held = 0  # depth of article and main elements in what lies apart
     apart: list[str] = []  # the open element that lies apart
+    unsure, within = "", 0  # the open element of a weak name, and how many of its kind are open
     kind, place = 0, -1
     holders: dict[int, list[int]] = {}
     closes = 0
@@ -130,7 +140,7 @@ def _parse(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple[
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                out.append((bool(apart), article > 0, main > 0, text))
+                out.append((bool(apart), article > 0, main > 0, text, within > 0))
                 if held and kind in (1, 2):
                     holders[place][0] += len(text)
             parts = []
@@ -153,6 +163,13 @@ def _parse(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple[
             cut()
         elif name in _SPACE:
             parts.append(" ")
+        if within and not apart and name == unsure and (closing or not attributes.endswith("/")):
+            if closing or name == "p":  # a paragraph ends where the next begins
+                if within == 1:
+                    cut()
+                within -= 1
+            else:
+                within += 1
         if closing:
             if apart:
                 held -= held > 0 and name in ("article", "main")
@@ -161,10 +178,10 @@ def _parse(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple[
                     if not closes:
                         cut()
                         apart.clear()
-            elif name == "article":
-                article -= article > 0
-            elif name == "main":
-                main -= main > 0
+            elif name in ("article", "main"):
+                article -= name == "article" and article > 0
+                main -= name == "main" and main > 0
+                within *= article > 0 or main > 0
             continue
         if name in _VOID or attributes.endswith("/"):
             continue
@@ -177,6 +194,11 @@ def _parse(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple[
                 hold(name)
             continue
         named = 0 if m.start() in spared else _named_apart(name, attributes, article > 0 or main > 0)
+        if named == _UNSURE:
+            if not within and name not in _VOID:
+                cut()
+                unsure, within = name, 1
+            named = 0
         if name in _APART and not (name == "header" and (article or main)) or named:
             cut()
             apart.append(name)
@@ -196,20 +218,18 @@ def _parse(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple[
 def blocks(page: str) -> list[tuple[int, str]]:
     """(region, text) of a page's blocks that hold text, in page order."""
     found, holders = _parse(page)
-    free = sum(len(t) for apart, _, _, t in found if not apart)
-    marked = any((a or m) and not apart for apart, a, m, _ in found)
+    free = sum(len(t) for apart, _, _, t, _ in found if not apart)
+    marked = any((a or m) and not apart for apart, a, m, _, _ in found)
     spared = frozenset(p for p, (n, main, readers) in holders.items() if n and (main or not free or not (marked or readers) and n > free))
     if spared:
         found, _ = _parse(page, spared)
     size = {(a, m): 0 for a in (False, True) for m in (False, True)}
-    for apart, a, m, t in found:
+    for apart, a, m, t, _ in found:
         if not apart:
             size[a, m] += len(t)
     articles, besides = size[True, False] + size[True, True], size[False, True]
     holder = 1 if articles and articles >= besides else 2 if besides else 0
-    inside = articles if holder == 1 else besides + size[True, True] if holder else 0
-    outside = CHROME if holder and sum(size.values()) - inside <= inside else PLAIN
-    return [(CHROME if b[0] else ARTICLE if holder and b[holder] else outside, b[3]) for b in found]
+    return [(CHROME if b[0] else ARTICLE if holder and b[holder] and not b[4] else PLAIN, b[3]) for b in found]
 
 
 _STREAM = "page long, content long, tokens binary, owners binary, page_id long, url string, html string"

@@ -38,8 +38,8 @@ BODY = "The story itself runs on for quite a few words, and then for some more."
         f"<div class='content has-sidebar'><article>{BODY}</article></div>",
         f"<article class='post with-comments no-sidebar'>{BODY}</article><footer>c</footer>",
         f"<div class='widget'><div><article>{BODY}</article></div></div>",
-        f"<div class='widget'><article>{BODY}</article></div><div>by us</div>",
-        f"<div id='search'><main>{BODY}</main></div><div>by us</div>",
+        f"<div class='widget'><article>{BODY}</article></div><footer>by us</footer>",
+        f"<div id='search'><main>{BODY}</main></div><div class='copyright'>by us</div>",
         f"<article></article><p>{BODY}</p>",
         f"<article><p>{BODY}</p><div class='share-buttons'>s</div></article><div class='site-footer'>f</div><section class='post-comments'><article>{BODY} {BODY}</article></section>",
     ],
@@ -104,13 +104,45 @@ def test_names_and_elements_that_look_like_others():
     def kept(page):
         return [t for r, t in pages.blocks(page) if r != pages.CHROME]
 
-    assert kept(f"<article-card>x</article-card><main>{BODY}</main>") == [BODY]
+    assert pages.blocks(f"<article-card>x</article-card><main>{BODY}</main>") == [(pages.PLAIN, "x"), (pages.ARTICLE, BODY)]
     assert kept(f"<article><section class='commentary'>a</section><p class='navy'>b</p><div class='legal'>c</div><p>{BODY}</p></article>") == ["a", "b", "c", BODY]
     assert kept(f"<article>{BODY}<p>x <math><mi>y</mi></math> <label>l</label> <object>o</object><canvas>z</canvas></p></article>") == [BODY, "x y l oz"]
     assert kept(f"<article>{BODY}<form><label>name</label></form><div class='comments'>c</div><div class='advert'>d</div></article>") == [BODY]
     assert kept(f"<div class='legal'>c</div><article>{BODY}</article>") == [BODY]
 
 
+@pytest.mark.parametrize("words", [1, 24, 25, 26, 60])
+def test_text_outside_an_article_is_judged_by_repeats_whatever_its_size(spark, words):
+    """Unique text stays beside an article of 25 words, however long it is; what three pages of the host share goes."""
+    rows = []
+    for i in range(4):
+        own, shared = " ".join(f"o{i}x{j}" for j in range(words)), " ".join(f"menu{j}" for j in range(12))
+        rows.append((i, f"http://h.x/{i}", f"<main><h1>Title {i}</h1><div>{shared}</div><div>{own}</div><article>{' '.join(f'a{i}y{j}' for j in range(25))}</article></main>"))
+    for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
+        i = r.page_id
+        assert r.text.split("\n\n") == [f"Title {i}", " ".join(f"o{i}x{j}" for j in range(words)), " ".join(f"a{i}y{j}" for j in range(25))]
+
+
+def test_weak_names_inside_articles_are_judged_and_others_go(spark):
+    legal, passage = "All rights in this text lie with whoever wrote it first", "A quoted passage that three articles of one host share word by word"
+    rows = [
+        (i, f"http://h.x/{i}", f"<article><p>{passage}</p><div class='notice'>n {i}</div><div class='alert'>a {i}</div><ul class='replies'><li>r {i}</ul><div class='responses'>s {i}</div><section class='discussion'>d {i}</section>"
+         f"<p class='legal'>{legal}<p>body {i}</p><div class='legal'>own {i}<div>deep {i}</div></div><div class='search'><p>{legal}</p></div><p>end {i}</p></article>")
+        for i in range(3)
+    ]
+    got = {r.page_id: r.text.split("\n\n") for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: [passage, f"body {i}", f"own {i}", f"deep {i}", f"end {i}"] for i in range(3)}
+
+
+def test_a_bound_on_compared_tokens_changes_no_cover(spark):
+    r = random.Random(3)
+    runs = [" ".join(f"s{k}w{j}" for j in range(r.randint(3, 40))) for k in range(12)]
+    rows = [(i, f"http://h.x/{i}", "".join(f"<p>{r.choice(runs)} {'u%dx%d ' % (i, k) * r.randint(0, 3)}{r.choice(runs)}</p>" for k in range(6))) for i in range(30)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = [sorted(tuple(x) for x in pages.main_text(df, depth=depth).collect()) for depth in (6, 8, 64)]
+    assert texts[0] == texts[1] == texts[2] and any(t[3] for t in texts[0]) and sum(t[3] for t in texts[0]) < sum(len(h) for _, _, h in rows)
+
+
 def test_very_long_pages(spark):
     """A page of 100,000 unmarked words and copies of a passage on three pages of its host."""
     passage = " ".join(f"p{i}" for i in range(50))
