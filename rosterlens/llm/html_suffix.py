@@ -4,7 +4,7 @@ A page is cut into blocks of text at block-level tags, and every block lies in o
 three regions: inside the page's article, inside something that names itself as not the
 article (menus, headers, footers, sidebars, notices, adverts, forms, comments, hidden
 parts), or unmarked. The article is what parsed ``article`` elements hold that don't lie
-apart, or ``main`` where it holds more text besides them. All else that doesn't lie apart is
+apart, or ``main`` where none holds text. All else that doesn't lie apart is
 unmarked, however much or little it is: a headline in ``main`` before the article, a teaser,
 a page without marks; so is what has a weak name (banner, legal, search) inside the article,
 which may be one of its own parts.
@@ -223,12 +223,7 @@ def blocks(page: str) -> list[tuple[int, str]]:
     spared = frozenset(p for p, (n, main, readers) in holders.items() if n and (main or not free or not (marked or readers) and n > free))
     if spared:
         found, _ = _parse(page, spared)
-    size = {(a, m): 0 for a in (False, True) for m in (False, True)}
-    for apart, a, m, t, _ in found:
-        if not apart:
-            size[a, m] += len(t)
-    articles, besides = size[True, False] + size[True, True], size[False, True]
-    holder = 1 if articles and articles >= besides else 2 if besides else 0
+    holder = next((h for h in (1, 2) if any(b[h] and not b[0] for b in found)), 0)  # an article, else main
     return [(CHROME if b[0] else ARTICLE if holder and b[holder] and not b[4] else PLAIN, b[3]) for b in found]
 
 

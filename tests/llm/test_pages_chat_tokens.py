@@ -51,7 +51,7 @@ def test_pages_keep_their_text(spark, page):
 
 def test_text_around_a_teaser_stays():
     found = pages.blocks(f"<main><p>{BODY}</p><article>card</article></main>")
-    assert found == [(pages.ARTICLE, BODY), (pages.ARTICLE, "card")]
+    assert found == [(pages.PLAIN, BODY), (pages.ARTICLE, "card")]
     assert pages.blocks(f"<div><p>{BODY}</p></div><article>card</article>") == [(pages.PLAIN, BODY), (pages.ARTICLE, "card")]
 
 
