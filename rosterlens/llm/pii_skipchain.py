@@ -3,18 +3,20 @@
 Nodes are the base matches (email, ip, card, phone patterns) and other number runs and
 address-like words of a text; labels are the kinds and 'none'. Distant nodes that repeat
 each other (same key) or look alike (same last digits, same local part) share potentials
-along skip edges, a star: each node to the base matches of its key; neighbouring nodes
-share them along chain edges.
+along skip edges, a star for each key, so that edges grow with nodes: the key's hub is a
+variable of its own, which has the label of the key's base matches where it has some, and is
+unknown where it has none. Neighbouring nodes share potentials along chain edges.
 
 The weights (one per label, one for skip and one for chain agreement) are trained by
 pseudo-likelihood, each node given its neighbours. Base matches are labelled with their
 kind, other nodes 'none', except those that repeat a base match: what they are no text
-tells, so they take no part. The likelihood is a sum over configurations (label, kinds
-among skip neighbours, left and right neighbour), of which there are at most 2880, counted
-over the whole corpus by Spark; the driver climbs from those counts. Base matches are
-clamped, so skip edges add to a node's own potential; message passing along the chain
-gives beliefs, and a node becomes a span when one label has a belief above one half: so a
-number written once in full and later without its prefix is found in all places.
+tells, so they take no part. The likelihood is a sum over configurations (label, labels
+among skip neighbours, left and right neighbour), of which there are at most 5760, counted
+over the whole corpus by Spark; the driver climbs from those counts. Decoding passes messages
+along chain edges and between nodes and hubs until they settle; base matches are clamped. A
+node becomes a span when one label has a belief above one half: so a number written once in
+full and later without its prefix is found in all places, and what speaks for a bare number
+in one place counts in the others.
 
 Work and memory per text are proportional to its nodes. Null and empty texts have no
 spans; a belief of exactly one half makes none. Repeated rows get a row each; a null doc_id
@@ -134,28 +136,46 @@ class Field:
         return np.log([1.0] * len(KINDS) + [max(1.0, np.exp(2 * self.chain) - 2)])
 
 
-def link(found: list[tuple], others: bool = False) -> np.ndarray:
-    """Skip edges: for every node and kind, whether there is a base node of the kind with the node's key (keys of under five characters don't count); for base nodes zeros, or with ``others`` whether there is another one."""
-    of_key: dict[str, np.ndarray] = {}
-    for _, _, kind, key in found:
-        if kind < len(KINDS) and len(key) >= 5:
-            of_key.setdefault(key, np.zeros(len(KINDS), int))[kind] += 1
-    out = np.zeros((len(found), len(KINDS)))
-    for i, (_, _, kind, key) in enumerate(found):
-        if key in of_key and (others or kind == len(KINDS)):
-            out[i] = of_key[key] - (np.arange(len(KINDS)) == kind) > 0
-    return out
+def link(found: list[tuple]) -> tuple[np.ndarray, list[list[int]]]:
+    """Skip edges: for every node that isn't a base match, the kinds of base matches of its key; and the nodes of each key that several have and no base match (keys of under five characters don't count)."""
+    of_key: dict[str, list[int]] = {}
+    for i, (_, _, _, key) in enumerate(found):
+        if len(key) >= 5:
+            of_key.setdefault(key, []).append(i)
+    out, hubs = np.zeros((len(found), len(KINDS))), []
+    for own in of_key.values():
+        kinds = {found[i][2] for i in own} - {len(KINDS)}
+        others = [i for i in own if found[i][2] == len(KINDS)]
+        if kinds:
+            out[np.ix_(others, sorted(kinds))] = 1
+        elif len(others) > 1:
+            hubs.append(others)
+    return out, hubs
 
 
 EDGE = len(LABELS)  # beyond the first or last node
+_MASKS = 1 << len(LABELS)
 
 
 def configurations(found: list[tuple]) -> list[int]:
-    """Of each labelled node its label, kinds among skip neighbours, and left and right neighbour, as one number."""
-    near = link(found, True) @ (1 << np.arange(len(KINDS)))
-    kind = [f[2] for f in found]
-    sides = [EDGE, *kind, EDGE]
-    return [k + len(LABELS) * (int(m) + 16 * (sides[i] + 6 * sides[i + 2])) for i, (k, m) in enumerate(zip(kind, near, strict=True)) if k < len(KINDS) or not m]
+    """Of each labelled node its label, labels among its labelled skip neighbours, and left and right neighbour, as one number."""
+    of_key: dict[str, np.ndarray] = {}
+    for _, _, kind, key in found:
+        if len(key) >= 5:
+            of_key.setdefault(key, np.zeros(len(LABELS), int))[kind] += 1
+    sides, out = [EDGE, *(f[2] for f in found), EDGE], []
+    for i, (_, _, kind, key) in enumerate(found):
+        alike = of_key.get(key)
+        based = alike is not None and alike[: len(KINDS)].any()
+        if kind == len(KINDS) and based:
+            continue
+        mask = 0
+        if alike is not None:
+            near = alike - (np.arange(len(LABELS)) == kind) > 0
+            near[len(KINDS)] &= not based  # beside a base match those have no label
+            mask = int(near @ (1 << np.arange(len(LABELS))))
+        out.append(kind + len(LABELS) * (mask + _MASKS * (sides[i] + 6 * sides[i + 2])))
+    return out
 
 
 def climb(counts: dict[int, float], ridge: float = 0.1, rounds: int = 60) -> Field:
@@ -163,11 +183,11 @@ def climb(counts: dict[int, float], ridge: float = 0.1, rounds: int = 60) -> Fie
     code = np.array(sorted(counts), np.int64)
     weight = np.array([counts[c] for c in code], float)
     label, rest = code % len(LABELS), code // len(LABELS)
-    skip, left, right = rest % 16, rest // 16 % 6, rest // 96
+    skip, left, right = rest % _MASKS, rest // _MASKS % 6, rest // (6 * _MASKS)
     n, names = len(code), np.arange(len(LABELS))
     x = np.zeros((n, len(LABELS), len(LABELS) + 2))  # of every label that a node could have
     x[:, names, names] = 1
-    x[:, : len(KINDS), -2] = skip[:, None] >> np.arange(len(KINDS)) & 1
+    x[:, :, -2] = skip[:, None] >> names & 1
     x[:, :, -1] = (left[:, None] == names).astype(int) + (right[:, None] == names)
     truth = x[np.arange(n), label]
     w = np.zeros(x.shape[2])
@@ -182,52 +202,57 @@ def climb(counts: dict[int, float], ridge: float = 0.1, rounds: int = 60) -> Fie
     return Field(float(w[-2]), float(w[-1]), tuple(float(b - w[len(KINDS)]) for b in w[: len(LABELS)]))
 
 
-def fit(found: DataFrame, prior: float = 50.0) -> Field:
-    """Weights trained on the configurations of all nodes of ``candidates``; at most 2880 counts reach the driver.
+def fit(found: DataFrame, prior: float = 3.0) -> Field:
+    """Weights trained on the configurations of all nodes of ``candidates``; at most 5760 counts reach the driver.
 
     ``prior``: agreements along skip edges taken as seen beforehand for each kind and each
-    pair of like neighbours, and 'none' nodes between two neighbours of that kind, so that
-    a corpus without repeated entities still has links that count whatever stands around
-    them, and neighbours alone don't make a span in it.
+    pair of like neighbours, and 'none' nodes between two neighbours of that kind: so few
+    that any corpus with repeats outweighs them, and enough that one without still has links
+    that count whatever stands around them.
     """
     rows = found.select(F.explode("configs").alias("config")).groupBy("config").count().collect()
     counts = {r["config"]: float(r["count"]) for r in rows}
     for k in range(len(KINDS)):
         agree = [(k, 1 << k, side) for side in (EDGE, len(KINDS), *range(len(KINDS)))]
         for label, skip, side in [*agree, (len(KINDS), 0, k)]:
-            config = label + len(LABELS) * (skip + 16 * (side + 6 * side))
+            config = label + len(LABELS) * (skip + _MASKS * (side + 6 * side))
             counts[config] = counts.get(config, 0.0) + prior
     return climb(counts)
 
 
-def beliefs(found: list[tuple], field: Field, rounds: int = 8) -> np.ndarray:
-    """Label marginals of a text's nodes by message passing; base nodes are clamped."""
+def beliefs(found: list[tuple], field: Field, rounds: int = 200, settled: float = 1e-6) -> np.ndarray:
+    """Label marginals of a text's nodes by message passing until no message moves; base nodes are clamped."""
     n, labels = len(found), len(LABELS)
-    own = np.tile(field.own(), (n, 1))
-    own[:, : len(KINDS)] += field.skip * link(found)
+    known, hubs = link(found)
+    own = np.zeros((n + len(hubs), labels))  # hubs stand behind the nodes
+    own[:n] = field.own()
+    own[:n, : len(KINDS)] += field.skip * known
     kind = np.asarray([f[2] for f in found])
-    sure = kind < len(KINDS)
+    sure = np.flatnonzero(kind < len(KINDS))
     own[sure] = -20.0
     own[sure, kind[sure]] = 0.0
-    src = np.concatenate([np.arange(n - 1), np.arange(1, n)])
-    dst = np.concatenate([np.arange(1, n), np.arange(n - 1)])
+    ends = [np.arange(n - 1), *(np.asarray(h) for h in hubs)]
+    starts = [np.arange(1, n), *(np.full(len(h), n + i) for i, h in enumerate(hubs))]
+    src, dst = np.concatenate([*starts, *ends]), np.concatenate([*ends, *starts])
     m = len(src) // 2
+    gain = np.expm1(np.where((src >= n) | (dst >= n), field.skip, field.chain))[:, None]  # agreement weighs exp(weight), the rest 1
     back = np.concatenate([np.arange(m, 2 * m), np.arange(m)])
     message = np.zeros((2 * m, labels))
     total = own
     for _ in range(rounds if m else 0):
         out = total[src] - message[back]
-        top = out.max(axis=1, keepdims=True)
-        p = np.exp(out - top)
-        all_ = p.sum(axis=1, keepdims=True)
-        new = np.log(all_ + p * np.expm1(field.chain))  # agreement weighs exp(weight), the rest 1
+        p = np.exp(out - out.max(axis=1, keepdims=True))
+        new = np.log(p.sum(axis=1, keepdims=True) + p * gain)
         new -= new.max(axis=1, keepdims=True)
+        moved = np.abs(new - message).max()
         message = 0.5 * message + 0.5 * new
         total = own.copy()
         for c in range(labels):
-            total[:, c] += np.bincount(dst, message[:, c], n)
+            total[:, c] += np.bincount(dst, message[:, c], len(own))
+        if moved < settled:
+            break
     p = np.exp(total - total.max(axis=1, keepdims=True))
-    return p / p.sum(axis=1, keepdims=True)
+    return (p / p.sum(axis=1, keepdims=True))[:n]
 
 
 def tagged(found: list[tuple], field: Field) -> list[tuple[int, int, int]]:
