@@ -57,19 +57,57 @@ def targets(tables: dict[str, DataFrame], names) -> DataFrame:
     return out.dropDuplicates(["payer_id", "target", "ref_id"])
 
 
+def _mentioned(refs: Column, at: int, target: str) -> Column:
+    return F.transform(refs, lambda r: F.struct(F.lit(at).alias("at"), F.lit(target).alias("target"), ref_id(r).alias("ref_id")))
+
+
+def mentions(tables: dict[str, DataFrame], checks: tuple[Check, ...] = CHECKS, links: dict[str, DataFrame] | None = None) -> DataFrame:
+    """(payer_id, at, target, ref_id): every reference with its check's place in ``checks``, and every id of a checked table with -1.
+
+    Each table is read once, for its references and its ids together. A check whose label is
+    in ``links`` takes its references from that table of (payer_id, id, ref), one row each.
+    """
+    links, wanted, out, some = links or {}, {c.target for c in checks}, None, False
+    for name, df in tables.items():
+        parts = []
+        for at, c in enumerate(checks):
+            if c.source == name and c.column in df.columns and c.label not in links:
+                values = F.col(c.column) if c.many else F.filter(F.array(c.column), lambda x: x.isNotNull())
+                parts.append(_mentioned(F.coalesce(values, F.array().cast("array<string>")), at, c.target))
+        some |= bool(parts)
+        if name in wanted:
+            parts.append(F.array(F.struct(F.lit(-1).alias("at"), F.lit(name).alias("target"), F.col("id").alias("ref_id"))))
+        if parts:
+            rows = df.select("payer_id", F.inline(F.concat(*parts)))
+            out = rows if out is None else out.unionByName(rows)
+    for at, c in enumerate(checks):
+        if c.label in links:
+            rows = links[c.label].filter(F.col("ref").isNotNull()).select("payer_id", F.lit(at).alias("at"), F.lit(c.target).alias("target"), ref_id(F.col("ref")).alias("ref_id"))
+            out, some = rows if out is None else out.unionByName(rows), True
+    if not some:
+        raise ValueError("no table holds a checked reference")
+    return out
+
+
 def check_all(tables: dict[str, DataFrame], checks: tuple[Check, ...] = CHECKS, links: dict[str, DataFrame] | None = None) -> DataFrame:
-    """(payer_id, label, total, resolved, dangling, pct) of every check, and a row with a null label per payer: one join for all.
+    """(payer_id, label, total, resolved, dangling, pct) of every check, and a row with a null label per payer.
 
-    Only the target table counts, not the type that a reference names. Equal references are
-    counted before the join, so an organization that a third of all roles name is one row in it.
-    Each check's counts go both to its own row and to the payer's, so nothing is read or joined twice.
+    Only the target table counts, not the type that a reference names. References and ids
+    meet in one aggregation by (payer_id, target, id), with a count for each check, instead of
+    a join: equal references are counted before they move, so an organization that a third of
+    all roles name is one row of each task.
     """
-    held = targets(tables, sorted({c.target for c in checks})).withColumn("hit", F.lit(1))
-    some = edges(tables, checks, links).groupBy("payer_id", "label", "target", "ref_id").agg(F.count("*").alias("n"))
-    joined = some.join(held, ["payer_id", "target", "ref_id"], "left")
-    counted = joined.groupBy("payer_id", "label").agg(F.sum("n").alias("total"), F.sum(F.when(F.col("hit") == 1, F.col("n")).otherwise(0)).alias("resolved"))
-    twice = counted.select("payer_id", F.explode(F.array("label", F.lit(None).cast("string"))).alias("label"), "total", "resolved")
-    both = twice.groupBy("payer_id", "label").agg(F.sum("total").alias("total"), F.sum("resolved").alias("resolved"))
+    by = mentions(tables, checks, links).groupBy("payer_id", "target", "ref_id")
+    met = by.agg(F.bool_or(F.col("at") == -1).alias("held"), *(F.count_if(F.col("at") == at).alias(f"n{at}") for at in range(len(checks))))
+    hit = F.col("held") & F.col("payer_id").isNotNull() & F.col("ref_id").isNotNull()
+    sums = [F.sum(f"n{at}").alias(f"t{at}") for at in range(len(checks))] + [F.sum(F.when(hit, F.col(f"n{at}")).otherwise(0)).alias(f"r{at}") for at in range(len(checks))]
+    wide = met.groupBy("payer_id").agg(*sums)
+    def row(label, places) -> Column:
+        total, resolved = (sum((F.col(f"{x}{at}") for at in places[1:]), F.col(f"{x}{places[0]}")) for x in "tr")
+        return F.struct(F.lit(label).cast("string").alias("label"), total.alias("total"), resolved.alias("resolved"))
+
+    rows = F.array(*(row(c.label, [at]) for at, c in enumerate(checks)), row(None, list(range(len(checks)))))
+    both = wide.select("payer_id", F.inline(rows)).filter("total > 0")
     return both.select("payer_id", "label", "total", "resolved", (F.col("total") - F.col("resolved")).alias("dangling"), pct(F.col("resolved"), F.col("total")).alias("pct"))
 
 
