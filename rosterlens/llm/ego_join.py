@@ -28,12 +28,13 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
 from .store import materialise, table
-from .vectors import matrix, rows_of
+from .vectors import matrix, rows_of, sum_matrices
 
 BLOCK = 4096
 LEAF = 256
@@ -62,7 +63,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def _axes(nodes: DataFrame, size: int) -> np.ndarray:
-    """Principal axes of the first ``size`` components, strongest first, from sums of products over all vectors (size^2 numbers reach the driver)."""
+    """About the ``BOX`` strongest principal axes of the first ``size`` components, from sums of products over all vectors, added up a tree of tasks."""
 
     def run(batches):
         total = np.zeros((size + 1, size))
@@ -71,16 +72,18 @@ def _axes(nodes: DataFrame, size: int) -> np.ndarray:
                 x = _unit(matrix([r for _, r in rows]))[:, :size]
                 total[: x.shape[1], : x.shape[1]] += x.T @ x
                 total[size, : x.shape[1]] += x.sum(axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size + 1)), pa.array(total.tolist(), pa.list_(pa.float64()))], names=["i", "v"])
+        node = TaskContext.get().partitionId()
+        yield pa.RecordBatch.from_arrays([pa.array([node] * (size + 1), pa.int64()), pa.array(range(size + 1), pa.int32()), pa.array([r.tobytes() for r in total], pa.binary())], names=["node", "i", "row"])
 
-    sums = nodes.select("vec").mapInArrow(run, "i long, v array<double>").select("i", F.posexplode("v").alias("j", "v"))
-    out = np.zeros((size + 1, size))
-    for r in sums.groupBy("i", "j").agg(F.sum("v").alias("v")).collect():
-        out[r["i"], r["j"]] = r["v"]
+    read = nodes.select("vec")
+    out = sum_matrices(read.mapInArrow(run, "node long, i int, row binary"), read.rdd.getNumPartitions(), size + 1, size)
     n = max(1.0, float(np.trace(out[:size])))  # about the number of vectors, as they are of length 1
     mean = out[size] / n
-    _, axes = np.linalg.eigh(out[:size] / n - np.outer(mean, mean))
-    return axes[:, ::-1]
+    spread = out[:size] / n - np.outer(mean, mean)
+    axes, _ = np.linalg.qr(np.random.default_rng(3).normal(size=(size, min(BOX, size))))
+    for _ in range(40):  # orthonormal at every step, so how near they come to the principal ones bears on speed alone
+        axes, _ = np.linalg.qr(spread @ axes)
+    return axes
 
 
 def _same_length(raw: list[bytes]) -> dict[int, list[tuple[int, bytes]]]:
@@ -113,8 +116,6 @@ def _blocks(nodes: DataFrame, axes: np.ndarray, eps: float, most: int) -> DataFr
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(grid[:, i]) for i in range(dims))], names=["id", "label", "times", "vec", *(f"c{i}" for i in range(dims))])
 
     def cut(batches):
-        from pyspark import TaskContext
-
         number = TaskContext.get().partitionId() << 40
         held: list = []
         key = None
