@@ -141,3 +141,20 @@ def test_spans_are_the_costs_of_every_pair_of_states():
         back, total = D.run_back(kinds, D._less(vector))
         m = D.spans(kinds)
         assert tuple(b + total + min(vector) for b in back) == tuple(min(m[a][b] + vector[b] for b in range(4)) for a in range(4))
+
+
+def test_same_as_sql(spark, tmp_path):
+    import duckdb
+
+    from rosterlens.llm.queries import ORACLE_SQL
+
+    r, rows = random.Random(9), []
+    for conv in (*range(60), None):
+        for turn in range(r.choice([1, 2, 6, 25])):
+            rows.append((conv, r.choice([turn, turn, turn + 2, None]), r.choice(["user", "assistant", "user", "assistant", "system", "tool", "", None]), r.choice([f"t {turn}!", f"t {turn}", "ok.", "ok", " \x0b", "", None, "ä. "])))
+    frame = spark.createDataFrame(rows, SCHEMA)
+    frame.repartition(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    want = {row[0]: tuple(row[1:]) for row in duck.execute(ORACLE_SQL["op11_repair"]).fetchall()}
+    assert _got(D.op11_repair(spark, str(tmp_path))) == want == _want(rows)
