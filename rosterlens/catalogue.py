@@ -192,9 +192,13 @@ def _composite_sql(scheme: str, weights: tuple) -> str:
 _SCORED = f"{_DIMS}, scored as ({' union all '.join(_composite_sql(s, w) for s, w in metrics.SCHEMES.items())})"
 
 
+_RULES = {t: tuple(Element(e, r, cs) for e, r, cs in es) for t, es in _POPULATION.items()}
+
+
 def _dimensions(spark, d) -> DataFrame:
+    """Dimensions from one aggregation a table and the reference checks."""
     tables, links = _role_tables(spark, d)
-    return metrics.dimensions(completeness_by_payer(spark, d), refs.check_all(tables, links=links), freshness(spark, d), uniqueness(spark, d), consistency(spark, d))
+    return metrics.measured_dimensions(metrics.measured(tables, _RULES, AS_OF), _RULES, refs.check_all(tables, links=links))
 
 
 @_query("dimension_scores", f", {_DIMS} select * from dims")
