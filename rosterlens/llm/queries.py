@@ -62,8 +62,8 @@ with recursive crc as (select {table} as crc),
 d as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, {code} % 20 as harm from conversations, crc),
 r as (select conv_id, turn, case when harm = 4 then 'user' else role end as role, case harm when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
   unnest(range(case when harm = 3 then 2 else 1 end)) as copy from d where harm <> 0),
-o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as i, row_number() over (partition by conv_id, role, text order by turn nulls first, copy) > 1 as again,
-  left(role, 1) as initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as body from r),
+n as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i from r),
+o as (select *, i > min(i) over (partition by conv_id, role, text) as again, left(role, 1) as initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as body from n),
 f as (select *, case when body = '' then 'blank' when again then 'duplicate' when right(body, 1) not in ('.', '!', '?') then 'truncated' end as fault,
   body <> '' and not again as stays, case when body <> '' and not again and right(body, 1) not in ('.', '!', '?') then 1 else 0 end as extra,
   i > 1 and lag(initial) over (partition by conv_id order by i) || initial not in ('su', 'ua', 'au') as illegal from o),
