@@ -49,7 +49,6 @@ _ROLES = {U: "user", A: "assistant"}
 _NEXT = (U, U, A, U)  # the state after the row that may come next, which is user but for U
 #: Costs of the states after a conversation's last row: nothing and ``a`` may end, the others insert first.
 END = (0, 4, 2, 0)
-_BLANK = r"[^\x20\x09-\x0D]"
 _KEYS = ("absent", "conv_id", "late", "at", "role", "text")
 _CONV = ("absent", "conv_id")
 # Bits of a row's kind: its initial (0 none of sua, else the state), must go, truncated; and a mark of its own for a first occurrence.
@@ -97,7 +96,7 @@ def ordered(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
 def _faults(text: Column) -> tuple[Column, Column]:
     """Whether a text is blank, and whether its last character that isn't white space is none of ``.!?``."""
-    end = F.regexp_replace(text, r"[\x20\x09-\x0D]+\z", "")
+    end = F.rtrim(text, F.lit(" \t\n\x0b\x0c\r"))
     return end == "", ~F.substring(end, -1, 1).isin(".", "!", "?")
 
 

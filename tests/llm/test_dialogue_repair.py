@@ -109,7 +109,7 @@ def test_chunks_passes_and_the_exact_way_out(spark, chunk, passes):
 
 
 def test_odd_rows_and_extra_columns(spark):
-    rows = [(None, 0, "user", "a."), (None, None, None, None), (1, None, "user", "x."), (1, None, "user", "x."), (2, 5, "user", "\x0b "), (3, 0, "assistant", "long. " * 50000)]
+    rows = [(None, 0, "user", "a."), (None, None, None, None), (1, None, "user", "x."), (1, None, "user", "x."), (2, 5, "user", "\x0b "), (3, 0, "assistant", "long. " * 50000), (4, 0, "user", "gap" + " " * 1_000_000 + "end"), (4, 1, "assistant", "end.\x0b\x0c\r\t\n "), (4, 2, "user", "end.\xa0")]
     frame = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as seq", "'x' as absent", "2 as times", "3 as state")
     assert _got(D.repaired(frame)) == _want(rows)
     assert D.repaired(frame.limit(0)).collect() == []
