@@ -17,7 +17,8 @@ STATES = [
     "NE", "NV", "NH", "NJ", "NM", "NY", "NC", "ND", "OH", "OK", "OR", "PA", "RI",
     "SC", "SD", "TN", "TX", "UT", "VT", "VA", "WA", "WV", "WI", "WY", "DC", "PR",
 ]
-INITIALS = [chr(c) for c in (*range(97, 123), *range(48, 58))]
+# What names are searched by.
+INITIALS = list("abcdefghijklmnopqrstuvwxyz0123456789")
 
 
 def as_list(text: Column, item: str) -> Column:

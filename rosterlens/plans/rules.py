@@ -55,33 +55,31 @@ class Check:
 
     source: str
     column: str
-    target: str
     many: bool
+    target: str
     label: str
 
 
-MANY, ONE = True, False
-
 # The reference columns, their targets and labels.
 CHECKS = (
-    Check("practitioner_role", "practitioner_ref", "practitioner", ONE, "PractitionerRole.practitioner"),
-    Check("practitioner_role", "organization_ref", "organization", ONE, "PractitionerRole.organization"),
-    Check("practitioner_role", "location_refs", "location", MANY, "PractitionerRole.location"),
-    Check("practitioner_role", "healthcare_service_refs", "healthcare_service", MANY, "PractitionerRole.healthcareService"),
-    Check("practitioner_role", "network_refs", "organization", MANY, "PractitionerRole.network"),
-    Check("organization_affiliation", "organization_ref", "organization", ONE, "OrganizationAffiliation.organization"),
-    Check("organization_affiliation", "participating_organization_ref", "organization", ONE, "OrganizationAffiliation.participatingOrganization"),
-    Check("organization_affiliation", "network_refs", "organization", MANY, "OrganizationAffiliation.network"),
-    Check("organization_affiliation", "location_refs", "location", MANY, "OrganizationAffiliation.location"),
-    Check("organization_affiliation", "healthcare_service_refs", "healthcare_service", MANY, "OrganizationAffiliation.healthcareService"),
-    Check("location", "managing_organization_ref", "organization", ONE, "Location.managingOrganization"),
-    Check("healthcare_service", "provided_by_ref", "organization", ONE, "HealthcareService.providedBy"),
-    Check("healthcare_service", "location_refs", "location", MANY, "HealthcareService.location"),
-    Check("insurance_plan", "owned_by_ref", "organization", ONE, "InsurancePlan.ownedBy"),
-    Check("insurance_plan", "administered_by_ref", "organization", ONE, "InsurancePlan.administeredBy"),
-    Check("insurance_plan", "coverage_area_refs", "location", MANY, "InsurancePlan.coverageArea"),
-    Check("insurance_plan", "network_refs", "organization", MANY, "InsurancePlan.network"),
-    Check("organization", "part_of_ref", "organization", ONE, "Organization.partOf"),
+    Check("practitioner_role", "practitioner_ref", False, "practitioner", "PractitionerRole.practitioner"),
+    Check("practitioner_role", "organization_ref", False, "organization", "PractitionerRole.organization"),
+    Check("practitioner_role", "location_refs", True, "location", "PractitionerRole.location"),
+    Check("practitioner_role", "healthcare_service_refs", True, "healthcare_service", "PractitionerRole.healthcareService"),
+    Check("practitioner_role", "network_refs", True, "organization", "PractitionerRole.network"),
+    Check("organization_affiliation", "organization_ref", False, "organization", "OrganizationAffiliation.organization"),
+    Check("organization_affiliation", "participating_organization_ref", False, "organization", "OrganizationAffiliation.participatingOrganization"),
+    Check("organization_affiliation", "network_refs", True, "organization", "OrganizationAffiliation.network"),
+    Check("organization_affiliation", "location_refs", True, "location", "OrganizationAffiliation.location"),
+    Check("organization_affiliation", "healthcare_service_refs", True, "healthcare_service", "OrganizationAffiliation.healthcareService"),
+    Check("location", "managing_organization_ref", False, "organization", "Location.managingOrganization"),
+    Check("healthcare_service", "provided_by_ref", False, "organization", "HealthcareService.providedBy"),
+    Check("healthcare_service", "location_refs", True, "location", "HealthcareService.location"),
+    Check("insurance_plan", "owned_by_ref", False, "organization", "InsurancePlan.ownedBy"),
+    Check("insurance_plan", "administered_by_ref", False, "organization", "InsurancePlan.administeredBy"),
+    Check("insurance_plan", "coverage_area_refs", True, "location", "InsurancePlan.coverageArea"),
+    Check("insurance_plan", "network_refs", True, "organization", "InsurancePlan.network"),
+    Check("organization", "part_of_ref", False, "organization", "Organization.partOf"),
 )
 
 DIMENSIONS = ("completeness", "conformance", "referential_integrity", "freshness", "uniqueness", "consistency")
