@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import normalize_reference
+from .shared import tasks_for
 
 
 def _payer(key: str) -> str:
@@ -86,9 +87,14 @@ def roles(spark: SparkSession, sf_dir: str, with_locations: bool = True) -> Data
 
 
 def role_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(payer_id, id, ref): the locations of roles, one row each; lines meet orders and their own repeats by the same key, on whole numbers."""
+    """(payer_id, id, ref): the locations of roles, one row each; lines meet orders and their own repeats by the same key, on whole numbers.
+
+    The orders name the number of tasks, which the lines take over: a repartition of the lines
+    would be left above the join, a second shuffle of the larger table.
+    """
     lines = raw(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
-    own = lines.join(raw(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", "left_semi").distinct()
+    orders = raw(spark, sf_dir, "orders").select("o_orderkey").repartition(tasks_for(lines), "o_orderkey")
+    own = lines.join(orders, "o_orderkey", "left_semi").distinct()
     return own.select(F.expr(_payer("o_orderkey")), F.col("o_orderkey").cast("string").alias("id"), F.concat(F.lit("Location/"), F.col("l_partkey").cast("string")).alias("ref"))
 
 

@@ -10,6 +10,8 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Rows of a table that one task of a shuffle takes, so that its memory doesn't follow the table's size.
+ROWS_A_TASK = 400_000
 _WRITTEN: WeakKeyDictionary = WeakKeyDictionary()
 _TEMPORARY: dict[str, str] = {}
 
@@ -33,6 +35,11 @@ def _folder(spark: SparkSession, path: str):
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def tasks_for(df: DataFrame) -> int:
+    """Partitions for a shuffle of ``df``, at most ``ROWS_A_TASK`` rows each on average. A number that is named isn't coalesced: adaptive execution packs by compressed bytes, and rows of whole numbers take 40 times these in memory."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_A_TASK))
+
+
 def pinned(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back."""
     path = pinned_root(df.sparkSession)
