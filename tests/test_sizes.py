@@ -24,3 +24,11 @@ def test_role_locations_take_tasks_by_rows(spark, data, no_broadcast):
     rows = projection.role_locations(spark, data)
     assert rows.count() > 10 * 400
     assert largest(rows) < 2 * 400  # adaptive execution used to pack all of them into one task
+
+
+def test_frontier_reads_locations_in_tasks_by_rows(spark, data, no_broadcast):
+    """No stage of the query deals the lines into fewer tasks than their rows ask for."""
+    df = catalogue.QUERIES["frontier_ids"](spark, data)
+    df.collect()
+    lines = projection.raw(spark, data, "lineitem").count()
+    assert f", {-(-lines // 400)})" in df._jdf.queryExecution().executedPlan().toString()
