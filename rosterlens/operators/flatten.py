@@ -24,10 +24,24 @@ _FIELDS = (
     "participatingOrganization struct<reference:string>, ownedBy struct<reference:string>, administeredBy struct<reference:string>, coverageArea string, plan array<struct<type:" + _C + ">>, "
     "connectionType struct<code:string>, payloadType string"
 )
+#: The members that each table's columns are taken from, beside those of all tables.
+_OWN = {
+    "organization": "name alias type active partOf identifier", "practitioner": "name active identifier qualification",
+    "practitioner_role": "active practitioner organization location healthcareService specialty code extension",
+    "location": "name status type address position managingOrganization", "healthcare_service": "name providedBy location type specialty category active",
+    "organization_affiliation": "organization participatingOrganization network location healthcareService specialty code active",
+    "insurance_plan": "name type ownedBy administeredBy coverageArea network plan", "endpoint_resource": "name status connectionType address managingOrganization payloadType",
+}
 _NAME = "struct<family:string,given:array<string>,text:string>"
 _ADDRESS = "struct<line:array<string>,city:string,state:string,postalCode:string,country:string>"
 
 
+def _fields(table: str | None) -> str:
+    """The schema to parse with: all members, or those that one table needs; others are then skipped unread."""
+    wanted = ("resourceType", "id", "meta", *_OWN[table].split()) if table else None
+    return _FIELDS if wanted is None else ", ".join(f for f in _FIELDS.split(", ") if f.split(" ")[0] in wanted)
+
+
 def _codes(field: str) -> Column:
     return S.codes(S.as_list(F.col(f"r.{field}"), _C))
 
@@ -92,23 +106,24 @@ def _columns(table: str) -> dict[str, Column]:
 RESOURCE_OF = {table: kind for kind, table in TYPES.items()}
 
 
-def checked(df: DataFrame) -> DataFrame:
+def checked(df: DataFrame, table: str | None = None) -> DataFrame:
     """``df(payer_id, source_base_url, resource)`` with the parsed resource, as ``r`` and as a variant, and why a row is rejected (null: it isn't).
 
     Each text is parsed once: ``inline`` of one struct keeps the optimiser from copying the
-    parse into every filter and column that reads a part of it.
+    parse into every filter and column that reads a part of it. Where one ``table`` is named,
+    only its members are parsed, and rows of other types are neither whole nor all checked.
     """
-    once = F.array(F.struct(F.from_json("resource", _FIELDS).alias("r"), F.try_parse_json("resource").alias("variant")))
+    once = F.array(F.struct(F.from_json("resource", _fields(table)).alias("r"), F.try_parse_json("resource").alias("variant")))
     parsed = df.select("*", F.inline(once))
-    lines = F.try_element_at(S.as_list(F.col("r.address"), _ADDRESS), F.lit(1))["line"]
-    located = F.col("r.resourceType") == "Location"
     reason = (
         F.when(F.col("variant").isNull(), "bad-json")
         .when(~F.coalesce(F.col("r.resourceType").isin(*RESOURCE_OF.values()), F.lit(False)), "unknown-type")
         .when(F.coalesce(F.col("r.id"), F.lit("")) == "", "missing-id")
-        .when(located & (S.bad_position(F.col("r.position.latitude")) | S.bad_position(F.col("r.position.longitude"))), "bad-position")
-        .when(located & S.bad_line(lines), "bad-address-line")
     )
+    if table in (None, "location"):
+        lines = F.try_element_at(S.as_list(F.col("r.address"), _ADDRESS), F.lit(1))["line"]
+        located = F.col("r.resourceType") == "Location"
+        reason = reason.when(located & (S.bad_position(F.col("r.position.latitude")) | S.bad_position(F.col("r.position.longitude"))), "bad-position").when(located & S.bad_line(lines), "bad-address-line")
     return parsed.withColumn("reason", reason)
 
 
@@ -131,7 +146,7 @@ def typed(rows: DataFrame, table: str, seen_at: datetime) -> DataFrame:
 
 def flatten(df: DataFrame, table: str, seen_at: datetime) -> DataFrame:
     """Typed rows of one table; rows of other types and rejects are left out."""
-    rows = checked(df).filter(F.col("reason").isNull() & (F.col("r.resourceType") == RESOURCE_OF[table]))
+    rows = checked(df, table).filter(F.col("reason").isNull() & (F.col("r.resourceType") == RESOURCE_OF[table]))
     return typed(rows.withColumn("raw_hash", S.variant_hash(F.col("variant"))), table, seen_at)
 
 

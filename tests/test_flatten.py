@@ -1,6 +1,9 @@
 import json
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
+from rosterlens.functions import scalars as S
 from rosterlens.operators import flatten as f
 
 SEEN = datetime(2024, 1, 1)
@@ -49,3 +52,20 @@ def test_rejects(spark):
     got = {r.reason: r.n for r in f.reject_summary(bad).collect()}
     assert got == {"bad-json": 1, "missing-id": 1, "unknown-type": 1, "bad-position": 1, "bad-address-line": 1, "ok": 1}
     assert f.rejects(bad).count() == 5
+
+
+def test_one_table_parses_its_own_members_only(spark):
+    df = spark.createDataFrame([("p", "u", '{"resourceType":"PractitionerRole","id":"1","address":5,"name":[{}],"location":{"reference":"Location/2"}}')], "payer_id string, source_base_url string, resource string")
+    rows = f.flatten(df, "practitioner_role", datetime(2024, 1, 1))
+    assert rows.first().location_refs == ["Location/2"]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "coverageArea" not in plan and "healthcareService" in plan
+
+
+def test_references_with_little_to_cut(spark):
+    odd = ["", "/", "//", "a", "a/b", "x//a//b", "/a/b/", "https://h/a/b?x=1#y", "#p", "?q", "a/b#", "a?x\ny/z", "a#\n", "//?", "a/b/?c//d", None]
+    df = spark.createDataFrame([(x,) for x in odd], "x string")
+    bare = F.regexp_replace("x", "[?#].*$", "")
+    parts = F.btrim(F.regexp_replace(bare, "/{2,}", "/"), F.lit("/"))
+    plain = F.when(F.contains(parts, F.lit("/")), F.substring_index(parts, "/", -2)).otherwise(bare)
+    assert all(r.a == r.b for r in df.select(S.normalize_reference(F.col("x")).alias("a"), plain.alias("b")).collect())
