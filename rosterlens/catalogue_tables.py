@@ -28,6 +28,8 @@ def _leaves_sql(rows: str, width: int, most: int, last: int) -> str:
     )
 
 
+#: One file of each of four deliveries for so many events; a delivery holds at most half of all, a file so two million rows.
+_EVENTS_A_FILE = 4_000_000
 _CLUSTER = "case when event_id % 2 = 0 then epoch_us(timestamp '2024-01-20 12:34:00') // 1000000 + event_id % 60 else cast(floor(epoch(ts)) as bigint) end"
 _GROUPS = [f"select 'payer_' || cast({k} % 5 as varchar) as payer_id, '{t}' as resource_type from {source}" for t, (source, k, _, _) in R.RESOURCES.items()]
 _GRID_TOTAL = ", ".join(f"count(*) filter (where resource_type = '{t}')::bigint as {t}" for t in _TABLES)
@@ -126,13 +128,18 @@ def register(query) -> None:
 
     @query("stream_deliveries", "select event_id, user_id from events", projected=False)
     def stream_deliveries(spark, d):
-        """Events delivered in order of time, many of them again in a later batch: each comes through once."""
+        """Events delivered in order of time, many of them again in a later batch: each comes through once.
+
+        A delivery's files follow its rows, not how many tasks read the events: every batch copies
+        and commits the state of all keys so far, so many small files cost most of the time.
+        """
         root = pinned_root(spark)
         events = P.raw(spark, d, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("at"))
+        files = max(2, -(-events.count() // _EVENTS_A_FILE))
         for n in range(4):
             cut = events.filter(F.pmod(F.floor(F.unix_timestamp("at") / 86400), F.lit(4)) == n)
             again = events.filter((F.col("event_id") % 3 == n % 3) & (F.pmod(F.floor(F.unix_timestamp("at") / 86400), F.lit(4)) < n))
-            cut.unionByName(again).write.mode("append").parquet(f"{root}/in")
+            cut.unionByName(again).repartition(files).write.mode("append").parquet(f"{root}/in")
         stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
         deliver(stream, ["event_id"], "at", "60 days", f"{root}/out", f"{root}/mark").awaitTermination()
         return spark.read.schema(events.schema).parquet(f"{root}/out").select("event_id", "user_id")

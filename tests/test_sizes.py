@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from rosterlens import catalogue
+from rosterlens import catalogue, catalogue_tables
 from rosterlens.sources import projection, shared
 
 
@@ -32,3 +32,14 @@ def test_frontier_reads_locations_in_tasks_by_rows(spark, data, no_broadcast):
     df.collect()
     lines = projection.raw(spark, data, "lineitem").count()
     assert f", {-(-lines // 400)})" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_deliveries_take_files_by_rows(spark, data, tmp_path, monkeypatch):
+    """However many tasks read the events, a delivery has as many files as its rows ask for, so the stream's batches follow the rows."""
+    monkeypatch.setattr(catalogue_tables, "pinned_root", lambda spark: f"file://{tmp_path}")
+    wide = spark.read.parquet(f"{data}/events.parquet").repartition(12)
+    monkeypatch.setattr(projection, "raw", lambda spark, d, name: wide)
+    rows = catalogue.QUERIES["stream_deliveries"](spark, data)
+    assert rows.count() == wide.count() == rows.distinct().count()
+    assert len(list((tmp_path / "in").glob("*.parquet"))) == 4 * 2
+    assert len([p for p in (tmp_path / "mark" / "commits").iterdir() if p.name.isdigit()]) <= 5
