@@ -15,10 +15,12 @@ from .sources import bundles
 from .sources.resources import RESOURCES, columns, expected_sql, present, resources
 
 AS_OF = datetime(2002, 6, 1, tzinfo=timezone.utc)
+#: Resources that one task flattens: some seconds of parsing.
+ROWS_A_TASK = 50_000
 
 
 def _flat(spark, d, table: str) -> DataFrame:
-    return flatten.flatten(resources(spark, d, table), table, AS_OF)
+    return flatten.flatten(resources(spark, d, table, ROWS_A_TASK), table, AS_OF)
 
 
 def _shown(df: DataFrame, table: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators.flatten import NPI
 from .projection import raw
+from .shared import spread
 
 
 @dataclass(frozen=True)
@@ -131,11 +132,12 @@ RESOURCES: dict[str, tuple[str, str, str, tuple[Field, ...]]] = {
 }
 
 
-def resources(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """(payer_id, source_base_url, resource) of one type."""
+def resources(spark: SparkSession, sf_dir: str, table: str, rows_a_task: int | None = None) -> DataFrame:
+    """(payer_id, source_base_url, resource) of one type; its rows in tasks of so many, if a number is given."""
     source, k, kind, fields = RESOURCES[table]
+    rows = raw(spark, sf_dir, source)
     members = [f"'\"resourceType\":\"{kind}\",\"id\":\"' || cast({k} as string) || '\"'", *(f"'\"{f.key}\":' || {f.json}" for f in fields if f.key)]
-    return raw(spark, sf_dir, source).select(
+    return (spread(rows, k, rows_a_task) if rows_a_task else rows).select(
         F.expr(f"concat('payer_', cast({k} % 5 as string))").alias("payer_id"), F.lit("https://h.example/fhir").alias("source_base_url"), F.expr(f"'{{' || concat_ws(',', {', '.join(members)}) || '}}'").alias("resource")
     )
 

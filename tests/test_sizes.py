@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from rosterlens import catalogue, catalogue_tables
+from rosterlens import catalogue, catalogue_resources, catalogue_tables
 from rosterlens.sources import projection, shared
 
 
@@ -43,3 +43,15 @@ def test_deliveries_take_files_by_rows(spark, data, tmp_path, monkeypatch):
     assert rows.count() == wide.count() == rows.distinct().count()
     assert len(list((tmp_path / "in").glob("*.parquet"))) == 4 * 2
     assert len([p for p in (tmp_path / "mark" / "commits").iterdir() if p.name.isdigit()]) <= 5
+
+
+def test_resources_are_flattened_in_tasks_by_rows(spark, data, monkeypatch):
+    """The orders lie in one small file, which one task used to read and parse whole."""
+    monkeypatch.setattr(catalogue_resources, "ROWS_A_TASK", 100)
+    roles = projection.raw(spark, data, "orders").count()
+    assert roles >= 1000 and projection.raw(spark, data, "orders").rdd.getNumPartitions() < 8
+    rows = catalogue.QUERIES["flatten_practitioner_role_resources"](spark, data)
+    assert rows.rdd.getNumPartitions() == -(-roles // 100) and largest(rows) < 2 * 100
+    df = catalogue.QUERIES["weakest_references"](spark, data)
+    df.collect()
+    assert f", {-(-roles // 100)})" in df._jdf.queryExecution().executedPlan().toString()
