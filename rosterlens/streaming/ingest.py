@@ -2,13 +2,15 @@
 
 A batch is a bounded set of files. One job parses each line once, tells its table and counts
 as it writes; every table then reads its own rows of that. Tables are merged by key in one
-commit each, so that a batch that runs again after a lost driver changes nothing.
+commit each, side by side, so that a batch that runs again after a lost driver changes nothing.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,6 +20,9 @@ from ..operators.merge import merge_into
 from ..sources.bundles import TYPES, some_lines
 from ..sources.shared import dropped, pinned_root
 
+#: Parsed rows of a table that one task makes columns of; parquet packs so many in few bytes that tasks by bytes are few and uneven.
+ROWS_A_TASK = 50_000
+
 
 def staged(lines: DataFrame, payer_id: str, base_url: str) -> tuple[DataFrame, dict[str, int], str]:
     """Parsed lines by table, as written to the shared folder by one job; how many lines that job saw of each table and in all; the folder."""
@@ -32,12 +37,19 @@ def staged(lines: DataFrame, payer_id: str, base_url: str) -> tuple[DataFrame, d
 def write_batch(lines: DataFrame, payer_id: str, base_url: str, tables: tuple[str, ...], out: str, seen_at: datetime, mode: str = "update", batch: int = 0) -> None:
     """Merge one batch of lines into every table under ``out``, and its counts; rejects are merged by their text, so that a repeat adds none."""
     rows, counts, path = staged(lines, payer_id, base_url)
-    for table in tables:
-        if counts[table]:
-            merge_into(typed(rows.filter(F.col("table_name") == table), table, seen_at), f"{out}/{table}", mode, same="raw_hash", seen="last_seen_at")
-    if counts["rejects"]:
-        wrong = rows.filter("table_name = 'rejects'").withColumn("id", F.sha2("resource", 256))
-        merge_into(wrong.select("payer_id", "id", "source_base_url", "resource", "reason", *(["file"] if "file" in rows.columns else [])), f"{out}/rejects", "insert")
+
+    def merge(table: str) -> None:
+        own = rows.filter(F.col("table_name") == table)
+        if table == "rejects":
+            wrong = own.withColumn("id", F.sha2("resource", 256))
+            merge_into(wrong.select("payer_id", "id", "source_base_url", "resource", "reason", *(["file"] if "file" in rows.columns else [])), f"{out}/rejects", "insert")
+        else:
+            merge_into(typed(own.repartition(-(-counts[table] // ROWS_A_TASK), "payer_id", "r.id"), table, seen_at), f"{out}/{table}", mode, same="raw_hash", seen="last_seen_at")
+
+    # a merge is a row of jobs, some of one task; the merges of other tables keep the cluster busy meanwhile
+    with ThreadPoolExecutor(len(tables) + 1) as pool:
+        for done in [pool.submit(inheritable_thread_target(lines.sparkSession)(merge), table) for table in (*tables, "rejects") if counts[table]]:
+            done.result()
     total = lines.sparkSession.createDataFrame([(counts["lines"], counts["rejects"])], "lines long, rejects long")
     total.write.mode("overwrite").parquet(f"{out}/counts/batch={batch}")
     dropped(lines.sparkSession, path)

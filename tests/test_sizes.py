@@ -1,10 +1,15 @@
 """What one task holds doesn't follow the size of a table."""
 
+import json
+from datetime import datetime
+from threading import Barrier
+
 import pytest
 from pyspark.sql import functions as F
 
 from rosterlens import catalogue, catalogue_resources, catalogue_tables
 from rosterlens.sources import projection, shared
+from rosterlens.streaming import ingest
 
 
 @pytest.fixture
@@ -55,3 +60,21 @@ def test_resources_are_flattened_in_tasks_by_rows(spark, data, monkeypatch):
     df = catalogue.QUERIES["weakest_references"](spark, data)
     df.collect()
     assert f", {-(-roles // 100)})" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tables_of_a_batch_are_merged_side_by_side_in_tasks_by_rows(spark, tmp_path, monkeypatch):
+    """Each merge waits for the other to begin; a table's parsed lines, few bytes of one file, are dealt by rows."""
+    both, tasks, merge_into = Barrier(2, timeout=60), {}, ingest.merge_into
+
+    def met(batch, path, *rest, **named):
+        both.wait()
+        tasks[path.rsplit("/", 1)[-1]] = batch.rdd.getNumPartitions()
+        merge_into(batch, path, *rest, **named)
+
+    monkeypatch.setattr(ingest, "merge_into", met)
+    monkeypatch.setattr(ingest, "ROWS_A_TASK", 10, raising=False)
+    lines = [json.dumps({"resourceType": kind, "id": str(i)}) for kind, n in (("Organization", 25), ("Location", 9)) for i in range(n)]
+    ingest.write_batch(spark.createDataFrame([(line,) for line in lines], "value string"), "p", "https://h", ("organization", "location"), f"file://{tmp_path}", datetime(2024, 1, 1))
+    assert tasks == {"organization": 3, "location": 1}
+    for table, n in (("organization", 25), ("location", 9)):
+        assert catalogue_tables.merge.read(spark, f"file://{tmp_path}/{table}").count() == n
