@@ -57,12 +57,13 @@ _SHOW = f"payer_id, label, total, resolved, total - resolved as dangling, {_pct(
 
 def _role_tables(spark, d) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Tables of the reference checks, and the roles' locations in long form."""
-    return P.tables(spark, d) | {"practitioner_role": P.roles(spark, d, False)}, {"PractitionerRole.location": P.role_locations(spark, d)}
+    return P.identified(spark, d), {"PractitionerRole.location": P.role_locations(spark, d)}
 
 
 @_query("ref_scalar", f", checks as ({_check_sql('PractitionerRole.practitioner', 'practitioner_role', 'practitioner_ref', 'practitioner')}) select {_SHOW} from checks")
 def ref_scalar(spark, d):
-    return refs.check_all({"practitioner_role": P.roles(spark, d, False), "practitioner": P.practitioner(spark, d)}, _ROLE_CHECKS[:1]).filter("label is not null")
+    tables = P.identified(spark, d)
+    return refs.check_all({t: tables[t] for t in ("practitioner_role", "practitioner")}, _ROLE_CHECKS[:1]).filter("label is not null")
 
 
 @_query("ref_array", f", checks as ({_check_sql('PractitionerRole.location', 'role_location', 'ref', 'location')}) select {_SHOW} from checks")
@@ -197,8 +198,8 @@ _RULES = {t: tuple(Element(e, r, cs) for e, r, cs in es) for t, es in _POPULATIO
 
 def _dimensions(spark, d) -> DataFrame:
     """Dimensions from one aggregation a table and the reference checks."""
-    tables, links = _role_tables(spark, d)
-    return metrics.measured_dimensions(metrics.measured(tables, _RULES, AS_OF), _RULES, refs.check_all(tables, links=links))
+    tables, (checked, links) = P.tables(spark, d) | {"practitioner_role": P.roles(spark, d, False)}, _role_tables(spark, d)
+    return metrics.measured_dimensions(metrics.measured(tables, _RULES, AS_OF), _RULES, refs.check_all(checked, links=links))
 
 
 @_query("dimension_scores", f", {_DIMS} select * from dims")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import normalize_reference
-from .shared import tasks_for
+from .shared import dealt, tasks_for
 
 
 def _payer(key: str) -> str:
@@ -98,6 +98,21 @@ def role_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.select(F.expr(_payer("o_orderkey")), F.col("o_orderkey").cast("string").alias("id"), F.concat(F.lit("Location/"), F.col("l_partkey").cast("string")).alias("ref"))
 
 
+def identified(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The tables of the reference checks, roles without locations, each dealt into tasks by rows.
+
+    A task of a check counts by id before anything moves, and one split of a file, cut by
+    bytes, holds millions of ids.
+    """
+    own = {
+        "organization": ("supplier", "s_suppkey", ORGANIZATION), "practitioner": ("customer", "c_custkey", PRACTITIONER),
+        "location": ("part", "p_partkey", LOCATION), "practitioner_role": ("orders", "o_orderkey", (*ROLE, RAW_PRACTITIONER)),
+    }
+    out = {name: dealt(raw(spark, sf_dir, source), key).selectExpr(*columns) for name, (source, key, columns) in own.items()}
+    roles = out["practitioner_role"].withColumn("practitioner_ref", normalize_reference(F.col("practitioner_raw"))).drop("practitioner_raw")
+    return out | {"practitioner_role": roles}
+
+
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw(spark, sf_dir, "events").selectExpr(*RUN)
 

@@ -40,6 +40,11 @@ def tasks_for(df: DataFrame) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_A_TASK))
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """``df`` dealt by ``key`` into tasks by rows, if it has more rows than one task should take."""
+    return df.repartition(tasks_for(df), key) if df.count() > ROWS_A_TASK else df
+
+
 def spread(df: DataFrame, key: str, rows: int) -> DataFrame:
     """``df`` dealt by ``key`` into tasks of at most ``rows`` rows on average. Files are read by bytes, and a few bytes of each row can ask for much work."""
     return df.repartition(max(1, -(-df.count() // rows)), key)

@@ -1,6 +1,7 @@
 """What one task holds doesn't follow the size of a table."""
 
 import json
+import re
 from datetime import datetime
 from threading import Barrier
 
@@ -39,6 +40,16 @@ def test_frontier_reads_locations_in_tasks_by_rows(spark, data, no_broadcast):
     assert f", {-(-lines // 400)})" in df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("name", ["ref_scalar", "ref_all_checks", "dimension_scores", "composite_score", "payer_ranking", "overview"])
+def test_checks_count_roles_in_tasks_by_rows(spark, data, no_broadcast, monkeypatch, name):
+    """Roles lie in one file; one task used to count the ids of them all before they moved."""
+    monkeypatch.setattr(shared, "ROWS_A_TASK", 100)
+    n = projection.raw(spark, data, "orders").count()
+    assert n > 10 * 100
+    plan = catalogue.QUERIES[name](spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(rf"hashpartitioning\(o_orderkey#\d+L?, {-(-n // 100)}\)", plan)
+
+
 def test_deliveries_take_files_by_rows(spark, data, tmp_path, monkeypatch):
     """However many tasks read the events, a delivery has as many files as its rows ask for, so the stream's batches follow the rows."""
     monkeypatch.setattr(catalogue_tables, "pinned_root", lambda spark: f"file://{tmp_path}")
