@@ -30,6 +30,8 @@ def _leaves_sql(rows: str, width: int, most: int, last: int) -> str:
 
 #: One file of each of four deliveries for so many events; a delivery holds at most half of all, a file so two million rows.
 _EVENTS_A_FILE = 4_000_000
+#: Lines of one gzipped export file; what a batch of such files holds beside its tables doesn't follow the tables' size.
+_LINES_A_FILE = 200_000
 _CLUSTER = "case when event_id % 2 = 0 then epoch_us(timestamp '2024-01-20 12:34:00') // 1000000 + event_id % 60 else cast(floor(epoch(ts)) as bigint) end"
 _GROUPS = [f"select 'payer_' || cast({k} % 5 as varchar) as payer_id, '{t}' as resource_type from {source}" for t, (source, k, _, _) in R.RESOURCES.items()]
 _GRID_TOTAL = ", ".join(f"count(*) filter (where resource_type = '{t}')::bigint as {t}" for t in _TABLES)
@@ -109,9 +111,9 @@ def register(query) -> None:
         """All eight types as one mixed stream of NDJSON files, each line parsed once, merged into eight tables; and the lines that the writing jobs counted."""
         root, lines = pinned_root(spark), None
         for t in _TABLES:
-            one = R.resources(spark, d, t).select(F.col("resource").alias("value"))
+            one = R.resources(spark, d, t, _LINES_A_FILE).select(F.col("resource").alias("value"))
             lines = one if lines is None else lines.unionByName(one)
-        lines.write.text(f"{root}/in")
+        lines.write.option("compression", "gzip").text(f"{root}/in")
         ingest(spark, f"{root}/in", "payer_0", "https://h.example/fhir", _TABLES, f"{root}/out", f"{root}/mark", AS_OF, files=64).awaitTermination()
         out = batch_counts(spark, f"{root}/out").agg(F.lit("lines").alias("table_name"), F.sum("lines").alias("n"))
         for t in _TABLES:

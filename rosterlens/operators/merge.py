@@ -52,7 +52,17 @@ def dotted(df: DataFrame, key) -> DataFrame:
     return df.withColumnsRenamed({k: f".{k}" for k in key})
 
 
-def merge_into(batch: DataFrame, path: str, mode: str = "update", key=KEY, buckets: int = 16, same: str | None = None, seen: str | None = None) -> None:
+def _bucket(rest, buckets: int) -> str:
+    return f"pmod(xxhash64({', '.join(rest)}), {buckets})"
+
+
+def by_place(df: DataFrame, tasks: int, rest=KEY[1:], buckets: int = 16) -> DataFrame:
+    """``df`` dealt into ``tasks`` even ones of rows that ``merge_into`` puts into the same or the next bucket, so that few files are written; ``rest`` are the key's columns after the first."""
+    within = f"pmod(shiftright(xxhash64({', '.join(rest)}), 16), 65536)"
+    return df.repartitionById(tasks, F.expr(f"cast(({_bucket(rest, buckets)} * 65536 + {within}) * {tasks} div ({buckets} * 65536) as int)"))
+
+
+def merge_into(batch: DataFrame, path: str, mode: str = "update", key=KEY, buckets: int = 16, same: str | None = None, seen: str | None = None, once: bool = False) -> None:
     """Merge a batch into a versioned table, placed by the key's first column and a hash of the rest.
 
     One commit: readers see the table before or after. Only places that the batch touches
@@ -64,38 +74,49 @@ def merge_into(batch: DataFrame, path: str, mode: str = "update", key=KEY, bucke
     ``seen`` is a column that says when a row was delivered. It lies beside the rows, a narrow
     part of its own, so a batch that brings nothing else new writes no rows: in update mode
     the whole batch has been seen, in insert mode its new rows. ``read`` joins the latest.
+
+    ``once`` says that no key comes twice in the batch. It is then written as a commit at once,
+    without a copy before, and published as it lies where the table knows none of its keys.
     """
     spark, by = batch.sparkSession, [key[0], BUCKET]
-    batch = pinned(one_per_key(batch, key).withColumn(BUCKET, F.expr(f"cast(pmod(xxhash64({', '.join(key[1:])}), {buckets}) as int)")))
+    batch = (batch if once else one_per_key(batch, key)).withColumn(BUCKET, F.expr(f"cast({_bucket(key[1:], buckets)} as int)"))
+    if once:
+        commit, places = versions.write(batch, path, "rows", by)
+        batch = versions.read_commit(spark, path, "rows", commit, batch.schema)
+    else:
+        batch = pinned(batch)
     rows = batch.drop(seen) if seen else batch
     known = versions.current(spark, path) or versions.Version()
     files = {part: dict(held) for part, held in known.files.items()}
     schemas = dict(known.schemas)
+    copies, rewritten = [], set()
     if "rows" not in schemas:
-        schemas["rows"], held = rows.schema, None
+        schemas["rows"] = rows.schema
         new = out = rows
-        rewritten: set[str] = set()
+        whole = True
     else:
         extra = [f for f in schemas["rows"] if f.name not in rows.columns]
         schemas["rows"] = StructType([*rows.schema.fields, *extra])
-        touched = {versions.place_of(spark, by, r) for r in rows.select(*by).distinct().collect()}  # at most payers x buckets
+        touched = set(places) if once else {versions.place_of(spark, by, r) for r in rows.select(*by).distinct().collect()}  # at most payers x buckets
         now = versions.Version(known.number, schemas, known.files)
         held = versions.read_part(spark, path, now, "rows", touched)
-        new = pinned(same_key(rows, dotted(held.select(*key), key), key, "left_anti"))
-        rest = [same] if same in rows.columns and same in held.columns else [c for c in rows.columns if c not in (*key, BUCKET)]
-        before = dotted(held.select(*key, F.struct(*rest, F.lit(1)).alias(".before"), *(F.col(f.name) for f in extra)), key)
-        other = ~F.struct(*rest, F.lit(1)).eqNullSafe(F.col("`.before`")) if mode == "update" else F.lit(False)
-        changed = pinned(same_key(rows, before, key, "inner").filter(other).drop(".before"))
-        rewritten = {versions.place_of(spark, by, r) for r in changed.select(*by).distinct().collect()}
-        rewritten |= {p for p in touched if len(files["rows"].get(p, ())) >= CROWDED}
-        stay = same_key(versions.read_part(spark, path, now, "rows", rewritten), dotted(changed.select(*key), key), key, "left_anti")
-        out = stay.unionByName(changed).unionByName(new, allowMissingColumns=True)
-    news = False
-    if rewritten or held is None or not new.isEmpty():
-        _commit(files, "rows", rewritten, *versions.write(out, path, "rows", by))
-        news = True
+        crowded = {p for p in touched if len(files["rows"].get(p, ())) >= CROWDED}
+        whole = once and not crowded and same_key(rows.select(*key), dotted(held.select(*key), key), key, "left_semi").isEmpty()
+        if not whole:
+            new = pinned(same_key(rows, dotted(held.select(*key), key), key, "left_anti"))
+            rest = [same] if same in rows.columns and same in held.columns else [c for c in rows.columns if c not in (*key, BUCKET)]
+            before = dotted(held.select(*key, F.struct(*rest, F.lit(1)).alias(".before"), *(F.col(f.name) for f in extra)), key)
+            other = ~F.struct(*rest, F.lit(1)).eqNullSafe(F.col("`.before`")) if mode == "update" else F.lit(False)
+            changed = pinned(same_key(rows, before, key, "inner").filter(other).drop(".before"))
+            copies = [new, changed]
+            rewritten = {versions.place_of(spark, by, r) for r in changed.select(*by).distinct().collect()} | crowded
+            stay = same_key(versions.read_part(spark, path, now, "rows", rewritten), dotted(changed.select(*key), key), key, "left_anti")
+            out = stay.unionByName(changed).unionByName(new, allowMissingColumns=True)
+    news = whole or bool(rewritten) or not new.isEmpty()
+    if news:
+        _commit(files, "rows", rewritten, *((commit, places) if once and whole else versions.write(out, path, "rows", by)))
     if seen:
-        delivered = (batch if mode == "update" else same_key(batch, dotted(new.select(*key), key), key, "left_semi")).select(*key, BUCKET, seen)
+        delivered = (batch if mode == "update" or whole else same_key(batch, dotted(new.select(*key), key), key, "left_semi")).select(*key, BUCKET, seen)
         crowded = {p for p, commits in files.get("seen", {}).items() if len(commits) >= CROWDED}
         if crowded:
             old = versions.read_part(spark, path, known, "seen", crowded)
@@ -106,7 +127,9 @@ def merge_into(batch: DataFrame, path: str, mode: str = "update", key=KEY, bucke
             news = True
     if news:
         versions.publish(spark, path, versions.Version(known.number + 1, schemas, files))
-    unpinned(batch, *(() if held is None else (new, changed)))
+    if once and not whole:
+        versions.discard(spark, path, "rows", commit)
+    unpinned(batch, *copies)
 
 
 def _commit(files: dict, part: str, replaced: set[str], commit: str, places: list[str]) -> None:

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rosterlens import catalogue, catalogue_resources, catalogue_tables
+from rosterlens.operators import merge, versions
 from rosterlens.sources import projection, shared
 from rosterlens.streaming import ingest
 
@@ -89,3 +90,70 @@ def test_tables_of_a_batch_are_merged_side_by_side_in_tasks_by_rows(spark, tmp_p
     assert tasks == {"organization": 3, "location": 1}
     for table, n in (("organization", 25), ("location", 9)):
         assert catalogue_tables.merge.read(spark, f"file://{tmp_path}/{table}").count() == n
+
+
+def _organizations(spark, name, *ids):
+    return spark.createDataFrame([(json.dumps({"resourceType": "Organization", "id": str(i), "name": name}),) for i in ids], "value string")
+
+
+def test_a_batch_of_new_keys_is_written_once(spark, tmp_path, monkeypatch):
+    """No copy beside the table where all keys are new and come once; repeated and known keys still end as one row, and no commit stays that no version names."""
+    out = f"file://{tmp_path}"
+
+    def write(day, lines):
+        ingest.write_batch(lines, "p", "https://h", ("organization",), out, datetime(2024, 1, day))
+        return {(r.id, r.name, r.last_seen_at.day) for r in merge.read(spark, f"{out}/organization").collect()}
+
+    with monkeypatch.context() as m:
+        m.setattr(merge, "pinned", lambda df: pytest.fail("a copy was written"))
+        write(1, _organizations(spark, "a", *range(40)))
+        assert write(2, _organizations(spark, "b", *range(40, 60))) == {(str(i), "a" if i < 40 else "b", 1 if i < 40 else 2) for i in range(60)}
+    got = write(3, _organizations(spark, "c", 39, 60).unionByName(_organizations(spark, "a", 38)))  # changed, new, delivered again
+    assert got >= {("39", "c", 3), ("60", "c", 3), ("38", "a", 3), ("37", "a", 1)} and len(got) == 61
+    got = write(4, _organizations(spark, "d", 61, 61, 0))  # a key twice in a batch
+    assert got >= {("61", "d", 4), ("0", "d", 4), ("39", "c", 3)} and len(got) == 62
+    write(5, _organizations(spark, "d", 61))  # nothing new but that it was seen
+    numbers = range(1, versions.current(spark, f"{out}/organization").number + 1)
+    named = {c for n in numbers for commits in versions.current(spark, f"{out}/organization", n).files["rows"].values() for c in commits}
+    assert {p.name.split("=")[1] for p in (tmp_path / "organization" / "rows").iterdir()} == named
+
+
+def test_tasks_of_a_merge_hold_few_places_each(spark):
+    rows = merge.by_place(spark.range(32_000).selectExpr("'p' as payer_id", "cast(id as string) as id"), 32)
+    bucket = F.expr("pmod(xxhash64(id), 16)")
+    tasks = rows.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"), F.countDistinct(bucket).alias("places")).collect()
+    assert len(tasks) == 32 and {t.places for t in tasks} == {1} and max(t.n for t in tasks) < 1200
+
+
+def test_lines_of_a_batch_are_parsed_in_tasks_by_rows(spark, monkeypatch):
+    seen, routed = [], ingest.routed
+    monkeypatch.setattr(ingest, "routed", lambda df: seen.append(df.rdd.getNumPartitions()) or routed(df))
+    monkeypatch.setattr(ingest, "ROWS_A_TASK", 10)
+    assert ingest.staged(_organizations(spark, "a", *range(95)).coalesce(1), "p", "https://h")[1]["organization"] == 95 and seen == [10]
+
+
+def test_shuffles_of_a_stream_go_with_their_jobs(spark, tmp_path, monkeypatch):
+    """The stream's own session says so; the user's stays as it is."""
+    name, found = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    before = spark.conf.get(name)
+    monkeypatch.setattr(ingest, "write_batch", lambda df, *_: found.append(df.sparkSession.conf.get(name)))
+    _organizations(spark, "a", 1).write.text(f"file://{tmp_path}/in")
+    ingest.ingest(spark, f"file://{tmp_path}/in", "p", "https://h", ("organization",), f"file://{tmp_path}/out", f"file://{tmp_path}/mark", datetime(2024, 1, 1)).awaitTermination()
+    assert found == ["true"] and spark.conf.get(name) == before
+
+
+def test_streamed_lines_lie_in_gzipped_files_by_rows(spark, data, monkeypatch):
+    """A batch takes so many files; what it holds follows their lines, not how many tasks read the tables."""
+
+    class Enough(Exception):
+        pass
+
+    def read(spark, path, *_, **named):
+        raise Enough(spark.read.text(path).groupBy(F.input_file_name().alias("file")).count().collect())
+
+    monkeypatch.setattr(catalogue_tables, "_LINES_A_FILE", 100, raising=False)
+    monkeypatch.setattr(catalogue_tables, "ingest", read)
+    with pytest.raises(Enough) as found:
+        catalogue.QUERIES["stream_tables"](spark, data)
+    files = found.value.args[0]
+    assert all(f.file.endswith(".gz") for f in files) and max(f["count"] for f in files) < 200
